@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnspark.llm import decontaminate, mixing, quality, tokens, toxicity, urls
+from tarnspark.llm import decontaminate, html, lines, mixing, near_dup, quality, tokens, toxicity, urls
 from tarnspark.llm.common import table
 
 
@@ -35,6 +35,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 _LISTED = ", ".join(f"('{u.split('://')[1].rstrip('/')}')" for u in urls.LISTED)
 
 #: The list names hosts without a path only, so a url is listed if its host, less ``www.``, ends in an entry.
@@ -61,7 +74,7 @@ FROM best b LEFT JOIN hit ON b.host = hit.host
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
