@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnspark.llm import decontaminate, html, lines, mixing, near_dup, quality, tokens, toxicity, urls
+from tarnspark.llm import decontaminate, html, lines, mixing, near_dup, quality, substrings, tokens, toxicity, urls
 from tarnspark.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_join(F.array_sort(F.transform("item_ids", lambda x: x.cast("string"))), ",")
@@ -48,6 +53,12 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _LISTED = ", ".join(f"('{u.split('://')[1].rstrip('/')}')" for u in urls.LISTED)
 
 #: The list names hosts without a path only, so a url is listed if its host, less ``www.``, ends in an entry.
@@ -74,7 +85,7 @@ FROM best b LEFT JOIN hit ON b.host = hit.host
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
