@@ -89,7 +89,7 @@ def excluded_domain(d: Column, entries=rules.EXCLUDED_DOMAINS) -> Column:
 
 def excluded(url: Column, suffixes=rules.FOREIGN_SUFFIXES, segments=rules.FOREIGN_PATHS, entries=rules.EXCLUDED_DOMAINS) -> Column:
     """Whether a url is left out; what can't be judged is."""
-    return F.coalesce(foreign_suffix(domain(url), suffixes) | foreign_path(path(url), segments) | excluded_domain(domain(url), entries), F.lit(True))
+    return url.isNull() | foreign_suffix(domain(url), suffixes) | foreign_path(path(url), segments) | excluded_domain(domain(url), entries)
 
 
 def result_link(href: Column) -> Column:
