@@ -1,0 +1,46 @@
+"""Every core query with SQL against DuckDB, on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+from tarnspark.plans import queries as Q
+
+SF = "/root/testdata/sf0.001"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF}/{t}.parquet"
+        con.execute(f"create view {t} as select * from read_parquet('{p if os.path.isfile(p) else p + '/*.parquet'}')")
+    return con
+
+
+def plain(v):
+    return round(v, 9) if isinstance(v, float) else v
+
+
+@pytest.mark.parametrize("name", list(Q.ORACLE))
+def test_query(spark, duck, name):
+    df = Q.QUERIES[name](spark, SF)
+    cols = sorted(df.columns)
+    got = sorted(([plain(r[c]) for c in cols] for r in df.collect()), key=repr)
+    done = duck.execute(Q.ORACLE[name])
+    names = [d[0] for d in done.description]
+    assert sorted(names) == cols
+    want = sorted(([plain(r[names.index(c)]) for c in cols] for r in done.fetchall()), key=repr)
+    assert got == want
+
+
+def test_rows_only(spark):
+    assert Q.QUERIES["q08_html_to_text"](spark, SF).where("length(body) > 0").count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    assert entry.entry(spark).count() > 0 and set(entry.oracle_sql()) <= set(entry.queries())
