@@ -10,9 +10,10 @@ Documents are range-partitioned by doc_id and sorted inside a task, which stream
 in the shared folder and renames it when it is whole: a task that runs again, or twice, leaves the same file.
 The files are then read back by tasks of their own.
 
-Encoding is cached a word at a time: the vocabulary's pre-tokens are encoded one by one by the tokenizer, so a pre-token's ids never depend on its
-neighbours. Texts with a special token's string, or with characters that the fast splitter might split otherwise than
-the tokenizer, are encoded whole by the tokenizer.
+Encoding is cached, for all tasks of a worker, by the parts between blanks: the byte-level pre-tokenizer never joins characters across a
+blank that is followed by a visible character, and merges stay inside pre-tokens, so the ids of a part never depend on its neighbours. Each new part is encoded by the tokenizer. Texts with
+other blanks are split into pre-tokens first; those with a special token's string, or with characters that this
+splitter might treat otherwise than the tokenizer, are encoded whole.
 
 Defined cases: null and empty texts are the end id alone; a null doc_id sorts first and is kept null; repeated rows
 are each written; an empty table writes no shard and gives no row.
@@ -20,6 +21,7 @@ are each written; an empty table writes no shard and gives no row.
 
 from __future__ import annotations
 
+import functools
 import io
 import os
 import re
@@ -46,6 +48,8 @@ _SPLIT = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\
 #: ... which differ for numbers that aren't decimal digits and for separators: texts with other characters than these take the tokenizer itself.
 _PLAIN = re.compile("[\\t\\n\\r -~\\xa0-\\xb1\\xb4-\\xb8\\xba\\xbb\\xbf-\\u02ff\\u2010-\\u2027\\u2030-\\u205e]*")
 _WORD_MARK = "<|"
+#: A blank before another white-space character.
+_DOUBLE = ("  ", " \n", " \t", " \r", " \xa0")
 
 
 def tokenizer_path() -> str:
@@ -54,29 +58,53 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder(dict):
-    """pre-token -> its ids as little-endian uint32 bytes."""
+class Encoder:
+    """Encodes texts part by part. ``known``: part -> its ids as little-endian uint32 bytes; a part that stands behind a blank is kept without it."""
 
-    def __init__(self, path: str, limit: int = 800_000):
-        super().__init__()
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. New pre-tokens of all the texts are encoded in one call."""
-        plain = [_WORD_MARK not in x and _PLAIN.fullmatch(x) is not None for x in texts]
-        pieces = [_SPLIT.findall(x) if p else None for x, p in zip(texts, plain, strict=True)]
-        if len(self) > self.limit:
-            self.clear()
-        new = list(set().union(*filter(None, pieces)) - self.keys())
-        self.update(zip(new, self.whole(new), strict=True))
-        odd = iter(self.whole([x for x, p in zip(texts, plain, strict=True) if not p]))
-        return [next(odd) if x is None else b"".join(map(self.__getitem__, x)) for x in pieces]
+        """The ids of each text. New parts of all the texts are encoded in one call."""
+        parts: list[list[str]] = []
+        odd: list[str] = []
+        for x in texts:
+            if _WORD_MARK in x or _PLAIN.fullmatch(x) is None:
+                parts.append([])
+                odd.append(x)
+            elif x.endswith(" ") or any(pair in x for pair in _DOUBLE):
+                # pre-tokens that begin with a blank are kept as others are, the rest under a mark of their own
+                parts.append([p[1:] if p[0] == " " and len(p) > 1 else "\0" + p for p in _SPLIT.findall(x)])
+            else:
+                first, *rest = x.split(" ")
+                parts.append([*(["\0" + first] if first else []), *rest])
+        if len(self.known) > self.limit:
+            self.known.clear()
+        new = list(set().union(*parts).difference(self.known))
+        self.known.update(zip(new, self.whole([p[1:] if p[0] == "\0" else " " + p for p in new]), strict=True))
+        plain = iter(self.whole(odd)) if odd else iter(())
+        marks = iter(odd)
+        held = next(marks, None)
+        out = []
+        for x, p in zip(texts, parts, strict=True):
+            if not p and held is x:
+                out.append(next(plain))
+                held = next(marks, None)
+            else:
+                out.append(b"".join(map(self.known.__getitem__, p)))
+        return out
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for each worker process: its parts serve the tasks that follow."""
+    return Encoder(path)
 
 
 def _groups(texts: list[str], most: int = 500_000):
@@ -178,7 +206,7 @@ def write_shards(docs: DataFrame, uri: str, vocabulary: str, shards: int | None
     def run(batches):
         from pyspark import TaskContext
 
-        shard, encoder, writer, total = TaskContext.get().partitionId(), Encoder(vocabulary), None, 0
+        shard, ids_of, writer, total = TaskContext.get().partitionId(), encoder(vocabulary).encode, None, 0
         fs, folder = _filesystem(uri)
         final = f"{folder}/shard-{shard:06d}.zst"
         own = f"{final}.{uuid.uuid4().hex}.tmp"
@@ -190,7 +218,7 @@ def write_shards(docs: DataFrame, uri: str, vocabulary: str, shards: int | None
                     fs.create_dir(folder, recursive=True)
                     out = fs.open_output_stream(own)
                     writer = Writer(out)
-                for doc_id, ids in zip(doc_ids[first:last], encoder.encode(texts[first:last]), strict=True):
+                for doc_id, ids in zip(doc_ids[first:last], ids_of(texts[first:last]), strict=True):
                     ids += end
                     total += len(ids) // 4
                     writer.add(doc_id, ids)
