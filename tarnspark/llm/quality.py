@@ -12,7 +12,6 @@ columns of the input are not read.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa

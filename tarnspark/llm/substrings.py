@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import drop, lookup, materialize
+from tarnspark.llm.common import drop, lookup, materialize, with_docs
 from tarnspark.llm.words import mix, utf8
 
 WINDOW, GRAM, HOT, PIECE = 100, 32, 200_000, 8_000_000
@@ -267,7 +267,7 @@ def _window_rows(batches):
 def _with_texts(rows: DataFrame, slim: DataFrame) -> DataFrame:
     """doc_id, text and want, the rows (gram, lo, hi) of the document."""
     want = materialize(rows.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("want")), "want")
-    return slim.join(lookup(want), "doc_id")
+    return with_docs(slim, want)
 
 
 def repeated_runs(slim: DataFrame, hot: int = HOT) -> DataFrame:
@@ -328,7 +328,7 @@ def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     usable = slim.where("doc_id is not null").join(odd, F.col("doc_id") == F.col("_odd"), "left_anti")
     runs = repeated_runs(usable, hot).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     runs = materialize(runs, "doc_runs")
-    cut = usable.join(lookup(runs), "doc_id").select("doc_id", "text", "runs").mapInArrow(_apply, "doc_id long, kept binary, spans array<struct<begin:int,end:int>>")
+    cut = with_docs(usable, runs).select("doc_id", "text", "runs").mapInArrow(_apply, "doc_id long, kept binary, spans array<struct<begin:int,end:int>>")
     whole = slim.join(lookup(runs.select(F.col("doc_id").alias("_cut"))), F.col("doc_id") == F.col("_cut"), "left_anti")
     whole = whole.select("doc_id", F.col("text").cast("binary").alias("kept"), F.expr("cast(array() as array<struct<begin:int,end:int>>)").alias("spans"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["begin"]))

@@ -48,6 +48,8 @@ _SPLIT = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\
 #: ... which differ for numbers that aren't decimal digits and for separators: texts with other characters than these take the tokenizer itself.
 _PLAIN = re.compile("[\\t\\n\\r -~\\xa0-\\xb1\\xb4-\\xb8\\xba\\xbb\\xbf-\\u02ff\\u2010-\\u2027\\u2030-\\u205e]*")
 _WORD_MARK = "<|"
+#: Letters, then signs.
+_TAILED = re.compile(r"([^\W\d_]+)((?:[^\s\w]|_)+)")
 #: A blank before another white-space character.
 _DOUBLE = ("  ", " \n", " \t", " \r", " \xa0")
 
@@ -59,17 +61,29 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Encodes texts part by part. ``known``: part -> its ids as little-endian uint32 bytes; a part that stands behind a blank is kept without it."""
+    """Encodes texts part by part. ``known``: part -> its ids as little-endian uint32 bytes; a part that stands behind a blank is kept without it.
+    When it is full it becomes ``old``, from which parts that are met again come back."""
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.known, self.old = Tokenizer.from_file(path), limit, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, new: set[str]) -> None:
+        """Encodes new parts. A word with signs behind it is two pre-tokens, so it takes the ids of both."""
+        joined = {p: m for p in new if (m := _TAILED.fullmatch(p))}
+        need = new.difference(joined).union(*[(m[1], "\0" + m[2]) for m in joined.values()])
+        kept = {p: x for p in need if (x := self.old.get(p)) is not None}
+        fresh = list(need.difference(kept).difference(self.known))
+        self.known.update(kept)
+        self.known.update(zip(fresh, self.whole([p[1:] if p[0] == "\0" else " " + p for p in fresh]), strict=True))
+        for p, m in joined.items():
+            self.known[p] = self.known[m[1]] + self.known["\0" + m[2]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. New parts of all the texts are encoded in one call."""
         parts: list[list[str]] = []
@@ -85,9 +99,8 @@ class Encoder:
                 first, *rest = x.split(" ")
                 parts.append([*(["\0" + first] if first else []), *rest])
         if len(self.known) > self.limit:
-            self.known.clear()
-        new = list(set().union(*parts).difference(self.known))
-        self.known.update(zip(new, self.whole([p[1:] if p[0] == "\0" else " " + p for p in new]), strict=True))
+            self.old, self.known = self.known, {}
+        self._learn(set().union(*parts).difference(self.known))
         plain = iter(self.whole(odd)) if odd else iter(())
         marks = iter(odd)
         held = next(marks, None)
