@@ -8,9 +8,8 @@ the shingle sequences: common / (a + b - common) >= 0.8.
 
 Equal texts are first folded into one representative. A sketch shared by up to ``SMALL`` representatives gives all its pairs. In a larger one each
 member meets the hub, the member that shares most sketches with others; where that leaves several components, the sketch is split by the members'
-next sketches, each part with a hub of its own, ``LEVELS`` times. Members that no hub took are then compared among themselves by an exact prefix-filter join
-on their rarest shingles. No step pairs the members of a large sketch with each other. A member whose similar texts all lie in a hub's component, none of them a hub
-it met, is the case that this can miss.
+next sketches, each part with a hub of its own, ``LEVELS`` times. Members that no hub took are then compared with all members of the large sketches they are in, and of
+those members' components, by an exact prefix-filter join on their rarest shingles. No step pairs the members of a large sketch that a hub took with each other.
 
 Defined cases: texts with under five words have one shingle, all their words; texts without words (null, empty) are their own
 class; rows without a doc_id get no class; repeated rows of a doc_id share a class, and if their texts differ the least text is the one verified;
@@ -172,7 +171,7 @@ def _shingle_rows(batches):
 
 
 def prefix_pairs(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """All pairs of documents (id, comp) that can be similar, without two of one component: of n shingles ordered from the rarest, similar texts
+    """All pairs of documents (id, comp, and open, if only pairs with an open one are wanted) that can be similar, without two of one component: of n shingles ordered from the rarest, similar texts
     share one of the first n - 0.8 n + 1, and from the first one that they share, at places i and j, no more than 1 + least(n - i, m - j)
     shingles can be common, which must reach what similarity asks. A shingle that many documents share stands early in few of them."""
     rows = materialize(docs.join(lookup(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(_shingle_rows, "id long, n int, shingle long"), "shingles")
@@ -182,9 +181,11 @@ def prefix_pairs(ids: DataFrame, docs: DataFrame) -> DataFrame:
     shared = rows.join(often, "shingle").withColumn("place", place)
     counts = shared.groupBy("id").agg(F.count("*").alias("shared"))
     shared = shared.join(counts, "id").withColumn("at", F.col("place") + F.col("n") - F.col("shared")).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 0.8 - 1e-9) + 1)
-    shared = materialize(shared.join(ids, "id").select("shingle", F.struct("id", "n", "comp", (F.col("n") - F.col("at") + 1).alias("left")).alias("x")), "prefixes")
-    pairs = shared.join(shared.select("shingle", F.col("x").alias("y")), "shingle").where("x.id < y.id").where(_NEAR).where(_REACH)
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    ids = ids if "open" in ids.columns else ids.withColumn("open", F.lit(True))
+    shared = materialize(shared.join(ids, "id").select("shingle", "open", F.struct("id", "n", "comp", (F.col("n") - F.col("at") + 1).alias("left")).alias("x")), "prefixes")
+    opened = shared.where("open").select("shingle", "x")
+    pairs = opened.join(shared.select("shingle", F.col("x").alias("y"), F.col("open").alias("both")), "shingle").where("x.id < y.id or not both").where(_NEAR).where(_REACH)
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -220,9 +221,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if first.limit(1).count():
         # members of large sketches that no hub took
         hubs = comps.select(F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
-        alone = first.join(comps, "id", "left").join(hubs, "hub", "left").select("id", F.coalesce("comp", "id").alias("comp"), F.coalesce("hub_comp", "hub").alias("hub_comp"))
-        alone = materialize(alone.where("comp != hub_comp").select("id", "comp").distinct(), "alone")
-        links = links.unionByName(verify(materialize(prefix_pairs(alone, slim), "pairs"), slim))
+        met = first.join(comps, "id", "left").join(hubs, "hub", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"), F.coalesce("hub_comp", "hub").alias("hub_comp"))
+        met = materialize(met, "met")
+        alone = met.where("comp != hub_comp").select("id").distinct()
+        # the members of their sketches and all that are connected to these
+        near = met.join(met.where("comp != hub_comp").select("key").distinct(), "key", "left_semi").select("comp").distinct()
+        every = folded.select("id").join(comps, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")).join(near, "comp", "left_semi")
+        every = materialize(every.join(alone.withColumn("open", F.lit(True)), "id", "left").select("id", "comp", F.coalesce("open", F.lit(False)).alias("open")), "alone")
+        links = links.unionByName(verify(materialize(prefix_pairs(every, slim), "pairs"), slim))
         comps = components(links)
     classes = folded.join(comps, "id", "left").select("content", F.coalesce("comp", "id").alias("class_id"))
     out = named.select("doc_id", "content").join(classes, "content").select("doc_id", "class_id")

@@ -124,3 +124,27 @@ def test_prefix_pairs_lose_none(spark):
     g = {i: N.shingles(cache.of(fold_words(t))) for i, t in rows}
     want = {(a, b) for a in g for b in g if a < b and N.similarity(g[a], g[b])}
     assert len(want) > 30 and want <= got and len(got) < len(g) * (len(g) - 1) // 2
+
+
+def test_chain_beside_a_hub(spark):
+    """The core's hub takes A, and B is similar to A alone."""
+    r = random.Random(19)
+
+    def new():
+        return f"w{r.randrange(10**7)}"
+
+    core = [new() for _ in range(300)]
+    rows = []
+    for _ in range(60):
+        w = list(core)
+        w[r.randrange(300)] = new()
+        rows.append(w)
+    a = list(core)
+    for i in r.sample(range(150), 3):
+        a[i] = new()
+    b = list(a)
+    for i in r.sample(range(150, 300), 6):
+        b[i] = new()
+    rows = [(i, " ".join(w)) for i, w in enumerate([*rows, a, b])]
+    got = {x.doc_id: x.class_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) == dict.fromkeys(range(62), 0)
