@@ -28,6 +28,8 @@ MIN_DOCS = 200
 #: The spread is that of the group's sketch (median to upper quartile); the least spread keeps a
 #: group whose values are nearly all equal from losing documents over tiny differences.
 MEASURES = {"symbol_ratio": (0.02, 5.0, None), "dup_line_ratio": (0.1, 5.0, None), "repeat_ratio": (0.1, 5.0, None), "word_length": (0.5, 6.0, 5.0)}
+#: Measures that are nearly always 0 have no spread to go by: their upper fence is the group's quantile TAIL, but at least this floor, far below the base rule.
+TAIL, FLOORS = 0.98, {"dup_line_ratio": 0.1, "repeat_ratio": 0.1}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SCHEMA = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -97,7 +99,8 @@ def fences(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     for m, (least, up, down) in MEASURES.items():
         sketch = F.when(F.col("n") >= min_docs, F.col(m)).when(F.col("n_lang") >= min_docs, F.col(f"{m}_lang")).otherwise(F.col(f"{m}_all"))
         q = lambda p, s=sketch: F.kll_sketch_get_quantile_double(s, F.lit(p))
-        out.append((q(0.5) + up * F.greatest(q(0.75) - q(0.5), F.lit(least))).alias(f"{m}_most"))
+        most = F.greatest(q(TAIL), F.lit(FLOORS[m])) if m in FLOORS else q(0.5) + up * F.greatest(q(0.75) - q(0.5), F.lit(least))
+        out.append(most.alias(f"{m}_most"))
         out.append((q(0.5) - down * F.greatest(q(0.5) - q(0.25), F.lit(least)) if down else F.lit(float("-inf"))).alias(f"{m}_least"))
     return groups.select(*out)
 

@@ -62,3 +62,14 @@ def test_same_result_for_any_partitioning(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     a, b = (sorted((r.doc_id, r.kept) for r in Q.judge(d).collect()) for d in (docs.repartition(7), docs.coalesce(1)))
     assert a == b
+
+
+def test_outliers_below_the_fixed_limits(spark):
+    """Repeats and duplicate lines that are rare in a group fail there; where they are usual, they pass."""
+    good = " ".join(f"word{i * 7 % 90}x{i}" for i in range(80))
+    repeats = " ".join(f"word{i}x{i}" for i in range(10, 70)) + (" " + " ".join(f"again{i}xx" for i in range(10))) * 2  # 20 of 80 words
+    doubled = "\n".join([" ".join(f"line{k}x{i}w" for i in range(12)) for k in range(12)] + ["onelines"] * 4)  # 3 of 16 lines, few words
+    rows = [(i, good + f" {i}", "en", "a") for i in range(300)] + [(1000, repeats, "en", "a"), (1001, doubled, "en", "a")]
+    rows += [(2000 + i, repeats + f" {i}", "en", "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in Q.judge(df).where("not kept").collect()} == {1000, 1001}
