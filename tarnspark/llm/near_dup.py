@@ -9,7 +9,7 @@ the shingle sequences: common / (a + b - common) >= 0.8.
 Equal texts are first folded into one representative. A sketch shared by up to ``SMALL`` representatives gives all its pairs. In a larger one each
 member meets the hub, the member that shares most sketches with others; where that leaves several components, the sketch is split by the members'
 next sketches, each part with a hub of its own, ``LEVELS`` times. Members that no hub took are then compared with all members of the large sketches they are in, and of
-those members' components, by an exact prefix-filter join on their rarest shingles. No step pairs the members of a large sketch that a hub took with each other.
+those members' components, by an exact prefix-filter join on their rarest shingles (rare by a counter table of fixed size, so only prefixes are shuffled). No step pairs the members of a large sketch that a hub took with each other.
 
 Defined cases: texts with under five words have one shingle, all their words; texts without words (null, empty) are their own
 class; rows without a doc_id get no class; repeated rows of a doc_id share a class, and if their texts differ the least text is the one verified;
@@ -28,7 +28,9 @@ from tarnspark.llm.common import drop, lookup, materialize
 from tarnspark.llm.components import components
 from tarnspark.llm.words import Hashes, fold_words, grams, mix
 
-SHINGLE, SIMILARITY, SKETCHES, PICKS, SMALL, LEVELS = 5, 0.8, 16, 3, 16, 2
+SHINGLE, SIMILARITY, SKETCHES, PICKS, SMALL, LEVELS = 5, 0.8, 16, 3, 16, 1
+#: Counters of shingles, 4 bytes each, that the prefix filter sends to every task.
+SLOTS = 1 << 20
 _MULTIPLIERS = mix(np.arange(SKETCHES, dtype=np.uint64), 77) | np.uint64(1)
 _SKETCH = "doc_id long, content binary, n int, sketch array<long>"
 
@@ -145,47 +147,87 @@ _NEAR = "x.id != y.id and x.comp != y.comp and 10 * least(x.n, y.n) >= 8 * great
 _REACH = "9 * least(x.left, y.left) >= 4 * (x.n + y.n)"
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """The rows whose key occurs more than once, with its count c."""
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key")
+
+
 def _pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of buckets (key, band, id, n, comp, weight) and the rows of large buckets with their hub: all pairs of
-    a small bucket, each member and the hub, the member of most weight, in a large one."""
-    groups = rows.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("weight", (-F.col("id")).alias("low"), *_MEMBER)).alias("hub")).where("c > 1")
-    members = rows.join(groups, "key")
-    small = members.where(F.col("c") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_MEMBER))).alias("m"))
+    """Candidate pairs of buckets (key, band, id, n, comp, weight, c) and the rows of large buckets with their hub: all pairs of
+    a small bucket, each member and the hub, the member of most weight, in a large one. Only small buckets are gathered; large ones meet a table of hubs."""
+    small = rows.where(F.col("c") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_MEMBER))).alias("m"))
     small = small.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.slice("m", F.col("i") + 2, F.lit(SMALL))).alias("y"))
-    large = members.where(F.col("c") > SMALL).withColumn("hub", F.struct(*[F.col(f"hub.{m}").alias(m) for m in _MEMBER]))
+    large = rows.where(F.col("c") > SMALL)
+    hubs = materialize(large.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("low"), *_MEMBER)).alias("hub")), "hubs")
+    large = materialize(large.join(lookup(hubs), "key").select("key", "band", "id", "n", "comp", "weight", F.struct(*[F.col(f"hub.{m}").alias(m) for m in _MEMBER]).alias("hub")), "large")
+    drop(hubs)
     pairs = small.unionByName(large.select(F.col("hub").alias("x"), F.struct(*_MEMBER).alias("y"))).where(_NEAR)
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), large.select("key", "band", "id", "n", "weight", F.col("hub.id").alias("hub"))
+    pairs = materialize(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+    return pairs, large.drop("comp").withColumn("hub", F.col("hub.id"))
+
+
+def shingle_counts(docs: DataFrame) -> np.ndarray:
+    """Upper bounds of how often each labelled shingle occurs: a table of ``SLOTS`` counters, whatever the number of documents."""
+
+    def run(batches):
+        cache, total, held, size = Hashes(), np.zeros(SLOTS, np.int64), [], 0
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                held.append((labelled(shingles(cache.of(fold_words(text)))) & np.uint64(SLOTS - 1)).astype(np.int64))
+                size += len(held[-1])
+                if size > SLOTS:
+                    total += np.bincount(np.concatenate(held), minlength=SLOTS)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["slot", "n"])
+
+    rows = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).where("n > 1").toArrow()
+    out = np.ones(SLOTS, np.int32)
+    out[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return out
 
 
-def _shingle_rows(batches):
-    cache = Hashes()
-    for b in batches:
-        ids, n, out = [], [], []
-        for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-            g = labelled(shingles(cache.of(fold_words(text))))
-            ids.append(np.full(len(g), doc_id, np.int64))
-            n.append(np.full(len(g), len(g), np.int32))
-            out.append(g.view(np.int64))
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, n, out)], ["id", "n", "shingle"])
+def prefix(g: np.ndarray, counts: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """(places, labelled shingles) of the first n - 0.8 n + 1 from the rarest on, without those that no other text has."""
+    h = labelled(g)
+    f = counts[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
+    order = np.lexsort((h, f))[: len(h) - int(np.ceil(len(h) * least - 1e-9)) + 1]
+    at = np.flatnonzero(f[order] > 1)
+    return at, h[order[at]]
 
 
 def prefix_pairs(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """All pairs of documents (id, comp, and open, if only pairs with an open one are wanted) that can be similar, without two of one component: of n shingles ordered from the rarest, similar texts
-    share one of the first n - 0.8 n + 1, and from the first one that they share, at places i and j, no more than 1 + least(n - i, m - j)
-    shingles can be common, which must reach what similarity asks. A shingle that many documents share stands early in few of them."""
-    rows = materialize(docs.join(lookup(ids.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(_shingle_rows, "id long, n int, shingle long"), "shingles")
-    often = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("f", "shingle"))
-    # shingles of one document come first in its order and match nothing
-    shared = rows.join(often, "shingle").withColumn("place", place)
-    counts = shared.groupBy("id").agg(F.count("*").alias("shared"))
-    shared = shared.join(counts, "id").withColumn("at", F.col("place") + F.col("n") - F.col("shared")).where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 0.8 - 1e-9) + 1)
+    """All pairs of documents (id, comp, and open, if only pairs with an open one are wanted) that can be similar, without two of one component: of n shingles in one order of all shingles, similar texts
+    share one of the first n - 0.8 n + 1, and from the first one that they share, at places i and j, no more than least(n - i, m - j)
+    shingles can be common, which must reach what similarity asks. The order is by the counters of ``shingle_counts``, then by hash, the same in every task; a shingle that
+    many documents share stands early in few of them. Only prefixes are shuffled."""
     ids = ids if "open" in ids.columns else ids.withColumn("open", F.lit(True))
-    shared = materialize(shared.join(ids, "id").select("shingle", "open", F.struct("id", "n", "comp", (F.col("n") - F.col("at") + 1).alias("left")).alias("x")), "prefixes")
+    own = docs.join(lookup(ids.withColumnRenamed("id", "doc_id")), "doc_id").select("doc_id", "text", "comp", "open")
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(own))
+
+    def run(batches):
+        cache = Hashes()
+        for b in batches:
+            rows: list[list[np.ndarray]] = [[], [], [], []]
+            for i, text in enumerate(b.column("text").to_pylist()):
+                g = shingles(cache.of(fold_words(text)))
+                at, h = prefix(g, counts.value)
+                for held, x in zip(rows, (np.full(len(at), i), np.full(len(at), len(g), np.int32), (len(g) - at).astype(np.int32), h.view(np.int64)), strict=True):
+                    held.append(x)
+            if rows[0]:
+                which, n, left, h = (np.concatenate(x) for x in rows)
+                named = [b.column(c).take(pa.array(which)) for c in ("doc_id", "comp", "open")]
+                yield pa.RecordBatch.from_arrays([*named, pa.array(n), pa.array(left), pa.array(h)], ["id", "comp", "open", "n", "left", "shingle"])
+
+    shared = own.mapInArrow(run, "id long, comp long, open boolean, n int, left int, shingle long").select("shingle", "open", F.struct("id", "n", "comp", "left").alias("x"))
+    shared = materialize(shared, "prefixes")
     opened = shared.where("open").select("shingle", "x")
     pairs = opened.join(shared.select("shingle", F.col("x").alias("y"), F.col("open").alias("both")), "shingle").where("x.id < y.id or not both").where(_NEAR).where(_REACH)
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    found = materialize(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+    drop(shared)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,27 +239,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     rows = folded.select("id", "n", F.posexplode("sketch").alias("band", "v")).select(F.xxhash64("band", "v").alias("key"), "band", "id", "n", F.col("id").alias("comp"))
     # only sketches that occur twice matter from here on; a document's weight is how many others share its sketches
-    counts = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    rows = materialize(rows.join(counts, "key"), "shared")
-    weights = rows.where(F.col("c") > SMALL).groupBy("id").agg(F.sum("c").alias("weight"))
-    rows = rows.join(weights, "id", "left").select("key", "band", "id", "n", "comp", F.coalesce("weight", F.lit(0)).alias("weight"))
+    shared = materialize(_counted(rows), "shared")
+    weights = shared.where(F.col("c") > SMALL).groupBy("id").agg(F.sum("c").alias("weight"))
+    rows = shared.join(weights, "id", "left").select("key", "band", "id", "n", "comp", F.coalesce("weight", F.lit(0)).alias("weight"), "c")
     links = comps = first = None
     for level in range(LEVELS + 1):
         pairs, large = _pairs(rows)
-        pairs, large = materialize(pairs, "pairs"), materialize(large, "large")
+        drop(shared)
         found = verify(pairs, slim)
+        drop(pairs)
         links = found if links is None else links.unionByName(found)
         drop(comps)
         comps = components(links)
         first = large if first is None else first
         named_large = large.join(comps, "id", "left").select("key", "band", "id", "n", "weight", F.coalesce("comp", "id").alias("comp"))
         mixed = named_large.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("key")
-        rest = materialize(named_large.join(mixed, "key", "left_semi"), "mixed")
-        if level == LEVELS or not rest.limit(1).count():
+        if level == LEVELS or not mixed.limit(1).count():
             break
+        rest = materialize(named_large.join(mixed, "key", "left_semi"), "mixed")
         # split by one more sketch, the next band's
         nxt = F.element_at("sketch", ((F.col("band") + level + 1) % SKETCHES + 1).cast("int"))
         rows = rest.join(folded.select("id", "sketch"), "id").select(F.xxhash64("key", nxt).alias("key"), "band", "id", "n", "comp", "weight")
+        rows = shared = materialize(_counted(rows), "shared")
+        drop(rest)
     if first.limit(1).count():
         # members of large sketches that no hub took
         hubs = comps.select(F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
@@ -228,8 +272,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         near = met.join(met.where("comp != hub_comp").select("key").distinct(), "key", "left_semi").select("comp").distinct()
         every = folded.select("id").join(comps, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")).join(near, "comp", "left_semi")
         every = materialize(every.join(alone.withColumn("open", F.lit(True)), "id", "left").select("id", "comp", F.coalesce("open", F.lit(False)).alias("open")), "alone")
-        links = links.unionByName(verify(materialize(prefix_pairs(every, slim), "pairs"), slim))
-        comps = components(links)
+        drop(met)
+        if every.where("open").limit(1).count():
+            pairs = prefix_pairs(every, slim)
+            links = links.unionByName(verify(pairs, slim))
+            drop(pairs)
+            drop(comps)
+            comps = components(links)
+        drop(every)
     classes = folded.join(comps, "id", "left").select("content", F.coalesce("comp", "id").alias("class_id"))
     out = named.select("doc_id", "content").join(classes, "content").select("doc_id", "class_id")
     return out.unionByName(sketches.where("doc_id is null or n = 0").select("doc_id", F.col("doc_id").alias("class_id")))

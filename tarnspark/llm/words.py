@@ -23,7 +23,7 @@ def fold_words(text: str | None) -> list[bytes]:
 class Hashes(dict):
     """word -> 64-bit hash, computed once a word; it is emptied when it grows past ``limit``."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -148,3 +148,34 @@ def test_chain_beside_a_hub(spark):
     rows = [(i, " ".join(w)) for i, w in enumerate([*rows, a, b])]
     got = {x.doc_id: x.class_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows) == dict.fromkeys(range(62), 0)
+
+
+def test_tables_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """A group that shares a passage, most of it taken by no hub: every written table at two sizes."""
+    real, rows = N.materialize, {}
+
+    def counted(df, tag):
+        out = real(df, tag)
+        rows[tag] = rows.get(tag, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    passage = " ".join(f"p{i}" for i in range(120))
+    made = []
+    for n in (150, 600):
+        r = random.Random(n)
+        docs = [(i, passage + " " + " ".join(f"q{r.randrange(9**5)}" for _ in range(r.randrange(10, 60)))) for i in range(n)]
+        rows.clear()
+        N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).count()
+        made.append(dict(rows))
+    assert made[1]["prefixes"] > 0
+    assert all(made[1][t] <= 6 * max(made[0][t], 150) for t in made[1]), made
+
+
+def test_very_long_text(spark):
+    words = [f"w{i}" for i in range(300_000)]
+    other = list(words)
+    other[1000:3000] = [f"x{i}" for i in range(2000)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:200_000]))]
+    got = {x.doc_id: x.class_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
