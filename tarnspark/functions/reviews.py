@@ -2,99 +2,80 @@
 
 from __future__ import annotations
 
-import json
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from tarnspark.functions import rules
 from tarnspark.functions.text import clean_text, collapse, decode_entities, strip, text_or_empty, truncate
 
 REVIEW = "struct<author:string,rating:double,date:string,text:string>"
 REVIEWS = f"array<{REVIEW}>"
-_REVIEW_TYPE = StructType().add("author", StringType()).add("rating", DoubleType()).add("date", StringType()).add("text", StringType())
-_PAGE = StructType().add("rating", DoubleType()).add("reviews", ArrayType(_REVIEW_TYPE))
 _BLOCK = r"""(?isU)<script[^>]+type=["']application/ld\+json["'][^>]*>([^<]+)</script>"""
 
 
+#: Types of a business that stands alone in a script; in lists and graphs only the first counts.
+BUSINESS_TYPES = ("LocalBusiness", "Organization", "ProfessionalService")
+
+
 def jsonld_texts(html: Column) -> Column:
     """The bodies of a page's structured-data scripts."""
     return F.transform(F.regexp_extract_all(html, F.lit(_BLOCK), 1), strip)
 
 
-def _decode(body: str) -> list:
-    """A body as a list of values; objects one after the other in a body are several values."""
-    try:
-        return [json.loads(body)]
-    except ValueError:
-        try:
-            return json.loads("[" + body.replace("}\n{", "},\n{") + "]")
-        except ValueError:
-            return []
+def _get(v: Column, path: str, kind: str) -> Column:
+    """What a VARIANT holds at a path, null if it isn't there or is of another kind."""
+    return F.try_variant_get(v, path, kind)
 
 
-def _business(bodies) -> dict:
-    """The first business among the values, their lists and graphs."""
+def _items(v: Column, path: str) -> Column:
+    return F.coalesce(_get(v, path, "array<variant>"), F.expr("cast(array() as array<variant>)"))
 
-    def typed(x, *names):
-        return isinstance(x, dict) and any(n in str(x.get("@type", "")) for n in names)
 
-    for value in (v for b in bodies for v in _decode(b)):
-        if isinstance(value, list):
-            inner = value
-        elif typed(value, "LocalBusiness", "Organization", "ProfessionalService"):
-            return value
-        else:
-            inner = value.get("@graph") if isinstance(value, dict) and isinstance(value.get("@graph"), list) else []
-        for x in inner:
-            if typed(x, "LocalBusiness"):
-                return x
-    return {}
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def _number(x):
-    try:
-        return None if x is None else float(x)
-    except (TypeError, ValueError):
-        return None
+def _typed(v: Column, names: tuple) -> Column:
+    kind = F.coalesce(_get(v, "$['@type']", "string"), F.lit(""))  # a list of types as its text
+    return _is_object(v) & kind.rlike("|".join(names))
 
 
-def _word(x) -> str:
-    return x if isinstance(x, str) else "" if x is None else str(x)
+def jsonld_values(html: Column) -> Column:
+    """The values of the structured-data scripts of a page. A body can hold several objects, each begun on a new line; it
+    counts if all of them parse. A body with one key twice in an object doesn't parse."""
+    parts = F.transform(jsonld_texts(html), lambda body: F.transform(F.split(body, r"(?<=\})\n(?=\{)"), F.try_parse_json))
+    return F.flatten(F.filter(parts, lambda values: F.forall(values, lambda v: v.isNotNull())))
 
 
-@F.pandas_udf(_PAGE)
-def jsonld_reviews(bodies: pd.Series) -> pd.DataFrame:
-    """Rating and reviews of the business in the bodies of ``jsonld_texts``. Fields can be single or lists, objects or words."""
+def jsonld_business(html: Column) -> Column:
+    """The first business of a page as VARIANT: a value of one of ``BUSINESS_TYPES``, or one of the first type in a list or graph."""
 
-    def one(texts):
-        business = _business([] if texts is None else texts)
-        total = business.get("aggregateRating")
-        rating = _number(total.get("ratingValue")) if isinstance(total, dict) else None
-        found = business.get("review") or []
-        out = []
-        for r in ([found] if isinstance(found, dict) else found if isinstance(found, list) else [])[:100]:
-            if isinstance(r, dict):
-                author, score = r.get("author"), r.get("reviewRating")
-                out.append({
-                    "author": _word(author.get("name") if isinstance(author, dict) else author if isinstance(author, str) else "").strip(),
-                    "rating": _number(score.get("ratingValue")) if isinstance(score, dict) else None,
-                    "date": _word(r.get("datePublished") or "").strip()[:32],
-                    "text": _word(r.get("reviewBody") or r.get("description") or ""),
-                })
-        return {"rating": rating, "reviews": out}
+    def businesses(v: Column) -> Column:
+        nested = F.when(_is_object(v), _items(v, "$['@graph']")).otherwise(_items(v, "$"))
+        return F.concat(F.filter(F.array(v), lambda x: _typed(x, BUSINESS_TYPES)), F.filter(nested, lambda x: _typed(x, BUSINESS_TYPES[:1])))
 
-    return pd.DataFrame([one(x) for x in bodies], columns=["rating", "reviews"])
+    return F.try_element_at(F.flatten(F.transform(jsonld_values(html), businesses)), F.lit(1))
 
 
-def page_reviews(html: Column) -> Column:
-    """struct of rating (two decimals) and reviews of a page."""
-    raw = jsonld_reviews(jsonld_texts(text_or_empty(html)))
-    reviews = F.transform(raw["reviews"], lambda r: F.struct(r["author"].alias("author"), r["rating"].alias("rating"), r["date"].alias("date"), strip(decode_entities(r["text"])).alias("text")))
-    return F.struct(F.round(raw["rating"], 2).alias("rating"), reviews.alias("reviews"))
+def _review(r: Column) -> Column:
+    """A review of structured data; its author is an object with a name, or a word."""
+    author = F.when(_is_object(_get(r, "$.author", "variant")), _get(r, "$.author.name", "string")).otherwise(F.when(F.schema_of_variant(_get(r, "$.author", "variant")) == "STRING", _get(r, "$.author", "string")))
+    body = F.coalesce(F.nullif(_get(r, "$.reviewBody", "string"), F.lit("")), _get(r, "$.description", "string"))
+    return F.struct(
+        strip(text_or_empty(author)).alias("author"), _get(r, "$.reviewRating.ratingValue", "double").alias("rating"),
+        F.substring(strip(text_or_empty(_get(r, "$.datePublished", "string"))), 1, 32).alias("date"), strip(decode_entities(text_or_empty(body))).alias("text"),
+    )
+
+
+def page_reviews(html: Column, most: int = 100) -> Column:
+    """struct of rating (two decimals) and reviews, of the first ``most`` entries, of the business in a page's structured data."""
+    business = jsonld_business(text_or_empty(html))
+    one = F.filter(F.array(_get(business, "$.review", "variant")), _is_object)
+    entries = F.slice(F.coalesce(_get(business, "$.review", "array<variant>"), one), 1, most)
+    reviews = F.transform(F.filter(entries, _is_object), _review)
+    return F.struct(F.round(_get(business, "$.aggregateRating.ratingValue", "double"), 2).alias("rating"), F.coalesce(reviews, F.expr(f"cast(array() as {REVIEWS})")).alias("reviews"))
 
 
 def fallback_rating(html: Column, site: str) -> Column:
@@ -113,8 +94,7 @@ def listing_grade(html: Column) -> Column:
 def listing_name(html: Column) -> Column:
     """The business name of a listing page, unless it is no name."""
     hits = [F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in (r'id="businessName"[^>]*>\s*([^<]+?)\s*<', r'class="[^"]*bpr-header-business-name[^"]*"[^>]*>\s*([^<]+?)\s*<')]
-    name = F.coalesce(*hits)
-    name = F.replace(F.replace(F.replace(collapse(name), F.lit("&amp;"), F.lit("&")), F.lit("&#39;"), F.lit("'")), F.lit("&quot;"), F.lit('"'))
+    name = decode_entities(collapse(F.coalesce(*hits)))
     return F.when((name != "") & (F.length(name) < 200) & (F.lower(name) != "about"), name)
 
 
@@ -166,6 +146,12 @@ def fenced_json(answer: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(strip(answer), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
 
 
+def answer_fields(answer: Column, fields: list[str]) -> Column:
+    """struct of ``fields`` of an extractor's JSON answer, empty where it lacks them, and ``parsed``, whether it is an object."""
+    v = F.try_parse_json(fenced_json(text_or_empty(answer)))
+    return F.struct(*[text_or_empty(_get(v, f"$.{f}", "string")).alias(f) for f in fields], _is_object(v).alias("parsed"))
+
+
 def api_reviews(response: Column) -> Column:
     """Reviews of a listing service's JSON response."""
     raw = F.from_json(response, "struct<reviews:array<struct<user:struct<name:string>,rating:double,time_created:string,text:string>>>")["reviews"]

@@ -141,6 +141,11 @@ def match_parameters(name: Column, address: Column, city: Column, state: Column)
     return F.struct(cut(name, 64).alias("name"), cut(F.split(F.coalesce(address, F.lit("")), ",")[0], 80).alias("address1"), cut(city, 40).alias("city"), cut(state, 3).alias("state"))
 
 
+def listing_profile(href: Column) -> Column:
+    """The profile url of a path in a listing site's results, without its query; else null."""
+    return F.when(href.rlike(rules.LISTING_PROFILE_PATH), F.concat(F.lit("https://www.bbb.org"), without_query(href)))
+
+
 def profile_link(href: Column, host: str, pattern: str) -> Column:
     """Candidate profile urls of a site."""
     return F.contains(domain_of(href), F.lit(host)) & href.rlike(pattern)

@@ -45,6 +45,12 @@ def partial_upsert(old: DataFrame, new: DataFrame, key: str, groups: dict[str, l
     return _joined(old, new.where(any_flag), key, "full" if insert else "left").select(*out)
 
 
+def update_rows(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``old`` with ``columns`` from ``new`` where it has the key, and ``replaced``, whether it has. No row is added."""
+    hit = F.col(f"n.{key}").isNotNull()
+    return _joined(old, new, key, "left").select(*[F.when(hit, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) if c in columns else F.col(f"o.{c}") for c in old.columns], hit.alias("replaced"))
+
+
 def fill_empty(old: DataFrame, new: DataFrame, key: str, column: str) -> DataFrame:
     """``column`` set only where it is null or empty and ``new`` has a value that isn't."""
     value = F.when((text_or_empty(F.col(f"o.{column}")) == "") & (text_or_empty(F.col(f"n.{column}")) != ""), F.col(f"n.{column}")).otherwise(F.col(f"o.{column}"))
@@ -70,10 +76,9 @@ def contact_overlay(extracted: Column, contacts: Column) -> Column:
     return F.when(F.size(contacts) > 0, F.array_join(contacts, ", ")).otherwise(text_or_empty(extracted))
 
 
-def logo_choice(extracted: Column, found: Column, cached: bool) -> Column:
+def logo_choice(extracted: Column, found: Column, cached: Column) -> Column:
     """Fresh results prefer the extractor's logo, cached ones the page's."""
-
-    return first_filled(found, extracted) if cached else first_filled(extracted, found)
+    return F.when(cached, first_filled(found, extracted)).otherwise(first_filled(extracted, found))
 
 
 def once_by_content(df: DataFrame, text: str, expensive, ident: list[str]) -> DataFrame:

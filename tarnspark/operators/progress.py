@@ -72,6 +72,29 @@ def after_retries(log: DataFrame, keys: list[str]) -> DataFrame:
     return log.groupBy(*keys).agg(stop.alias("_stop"), last.alias("_last")).select(*keys, F.coalesce("_stop", F.when(F.col("_last.status") == "blocked", "blocked").otherwise("error")).alias("status"))
 
 
+def row_range(rows: DataFrame, start: int, n: int) -> DataFrame:
+    """``n`` rows from ``start`` on, as far as there are rows."""
+    return rows.where(F.col("row_idx").between(start, start + n - 1))
+
+
+def retry_rows(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """The input rows of retry targets (row_idx, sites); targets beyond the input are skipped."""
+    return rows.join(targets, "row_idx")
+
+
+def reset(latest: DataFrame, targets: DataFrame, keys=("row_idx", "site_id")) -> DataFrame:
+    """Latest statuses with the targets set back to pending; attempts stay."""
+    marked = latest.join(targets.select(*keys).distinct().withColumn("_again", F.lit(True)), list(keys), "left")
+    return marked.withColumn("status", F.when(F.col("_again"), "pending").otherwise(F.col("status"))).select(*latest.columns)
+
+
+def mark_complete(rows: DataFrame, handled: DataFrame) -> DataFrame:
+    """rows (row_idx, row_complete) after a pass: every row that it handled is complete, whatever its statuses."""
+    seen = handled.select("row_idx").distinct().withColumn("_handled", F.lit(True))
+    done = F.coalesce("row_complete", F.lit(False)) | F.coalesce("_handled", F.lit(False))
+    return rows.join(seen, "row_idx", "left").withColumn("row_complete", done).select(*rows.columns)
+
+
 def retry_passes(grid_of, run_pass, passes: int = 3):
     """Bounded retries: ``grid_of()`` gives the current grid, ``run_pass(targets)`` handles one pass. Stops when no target is left.
     Returns the number of passes run. Nothing but a row's existence comes to the driver."""

@@ -1,8 +1,8 @@
 """Entity resolution: exact first-wins lookup, then a blocked fuzzy match for what it missed, then reviews.
 
-The fuzzy match never pairs a whole block: a score above zero needs a shared token that isn't a stop word, so
-both sides are joined on (block, token) for those tokens, and only tokens that can still reach the threshold
-are exploded on one side (the rarest-first prefix), which keeps frequent tokens of a big block out of the join.
+The fuzzy match never pairs a whole block: both sides are joined on (block, token) for the tokens of their rarest-first
+prefixes, which are as long as the threshold needs, so that frequent tokens of a big block stay out of the join; the places of a shared
+token bound what a pair can still reach. Stop words join like others; the score counts a pair as 0 if it shares nothing else.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tarnspark.functions import rules
 from tarnspark.functions.text import normalize_name, slug, text_or_empty, tokens
+from tarnspark.functions.urls import profile_link, without_fragment
+from tarnspark.operators.keyed import first_by, nest_top
 
 THRESHOLD = 0.7
 
@@ -44,6 +46,18 @@ def exact_match(left: DataFrame, right: DataFrame, keys: list[str], left_id: str
     return left.select(left_id, *keys).join(first, keys).select(left_id, F.col(f"_first.{right_id}").alias(right_id))
 
 
+def candidate_lists(right: DataFrame, keys: list[str], fields: list[str], ordinal: str, most: int = 100) -> DataFrame:
+    """keys and candidates, the first ``most`` rows of each key in order of ``ordinal``. The bound keeps a hot key from being one huge cell; matching never
+    needs more than the first."""
+    return nest_top(right, keys, [F.asc(ordinal)], fields, most, "candidates")
+
+
+def profile_candidates(links: DataFrame, key: str, href: str, ordinal: str, host: str, pattern: str, most: int = 5) -> DataFrame:
+    """key, href, ordinal: the first ``most`` distinct profile links of each key, without fragments."""
+    found = links.where(profile_link(F.col(href), host, pattern)).select(key, without_fragment(F.col(href)).alias(href), ordinal)
+    return first_by(found.groupBy(key, href).agg(F.min(ordinal).alias(ordinal)), [key], [F.asc(ordinal), F.asc(href)], most)
+
+
 def fuzzy_match(left: DataFrame, right: DataFrame, block: list[str], left_id: str, right_id: str, ordinal: str, tokens: str = "name_tokens", threshold: float = THRESHOLD, stop=rules.STOP_TOKENS) -> DataFrame:
     """left_id, right_id, score: the best right row of the block from ``threshold`` on, ties to the least ordinal.
 
@@ -60,11 +74,13 @@ def fuzzy_match(left: DataFrame, right: DataFrame, block: list[str], left_id: st
         exploded = df.select(ident, *block, F.size(own).alias("_n"), F.explode(own).alias("_t")).join(frequency, [*block, "_t"], "left")
         place = F.row_number().over(Window.partitionBy(ident).orderBy(F.coalesce("_f", F.lit(0)), "_t"))
         short = exploded.withColumn("_place", place).where(F.col("_place") <= F.col("_n") - F.ceil(F.col("_n") * F.lit(threshold) - 1e-9) + 1)
-        return short.select(ident, *block, "_t", F.col("_n").alias(f"_n_{ident}"))
+        return short.select(ident, *block, "_t", F.col("_n").alias(f"_n_{ident}"), (F.col("_n") - F.col("_place") + 1).alias(f"_left_{ident}"))
 
     x, y = prefix(a, "_a", left_id), prefix(b, "_b", right_id)
     n, m = F.col(f"_n_{left_id}"), F.col(f"_n_{right_id}")
     near = (m + 1e-9 >= threshold * n) & (n + 1e-9 >= threshold * m)
+    # from the first shared token on, no more than the tokens that are left on either side can be shared
+    near &= F.least(F.col(f"_left_{left_id}"), F.col(f"_left_{right_id}")) * (1 + threshold) + 1e-9 >= threshold * (n + m)
     pairs = x.join(y, [*block, "_t"]).where(near).select(left_id, right_id).distinct()
     scored = pairs.join(a.select(left_id, "_a"), left_id).join(b.select(right_id, "_ord", "_b"), right_id).withColumn("score", score(F.col("_a"), F.col("_b"), stop)).where(F.col("score") >= threshold)
     best = F.max(F.struct("score", (-F.col("_ord")).alias("_neg"), right_id)).alias("_best")
@@ -85,8 +101,6 @@ def match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, ordina
 def top_reviews(reviews: DataFrame, wanted: DataFrame, key: str, order: list[Column], n: int = 100) -> DataFrame:
     """The first ``n`` reviews of each wanted key. The semi-join comes before the ranking; Spark broadcasts the
     wanted keys if they are small."""
-    from tarnspark.operators.keyed import first_by
-
     return first_by(reviews.join(wanted.select(key).distinct(), key, "left_semi"), [key], order, n, rank="rank")
 
 

@@ -23,6 +23,11 @@ def work_units(keywords: DataFrame, locations: DataFrame, pages: int = 50, compl
     return units if completed is None else units.join(completed.select("keyword", "location", "page"), ["keyword", "location", "page"], "left_anti")
 
 
+def shuffled(units: DataFrame, seed: int = 0) -> DataFrame:
+    """The units in a random order that a seed repeats; ``place`` is their sort key."""
+    return units.withColumn("place", F.xxhash64(F.lit(seed), *units.columns)).orderBy("place", *units.columns)
+
+
 def unit_status(log: DataFrame) -> DataFrame:
     """The status of each unit from a log of (keyword, location, page, status, seq): a completed unit leaves the failed ones."""
     done = F.max(F.col("status") == "completed")

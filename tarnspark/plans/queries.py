@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,10 +101,11 @@ def q05_junk(spark, sf_dir):
 
 
 @query(r"""WITH e AS (SELECT doc_id, text, list_sort(list_filter(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}'), lambda x: lower(x))), lambda x: NOT contains(x, 'sentry.io')))[1:5] AS l FROM documents)
-SELECT doc_id, array_to_string(l, ',') AS emails, len(l)::INTEGER AS n_emails, regexp_matches(text, '(^|\D)\(?\d{3}\)?[\s\-.]?\d{3}[\s\-.]?\d{4}(\D|$)') AS has_phone FROM e""")
+SELECT doc_id, array_to_string(l, ',') AS emails, len(l)::INTEGER AS n_emails, regexp_matches(text, '(^|\D)\(?\d{3}\)?[\s\-.]?\d{3}[\s\-.]?\d{4}(\D|$)') AS has_phone,
+array_to_string(list_sort(list_distinct(regexp_extract_all(regexp_replace(text, '(\d{11,})', ' ', 'g'), '(?:^|[^0-9])(\(?\d{3}\)?[\s\-.]?\d{3}[\s\-.]?\d{4})(?:[^0-9]|$)', 1)))[1:5], ',') AS phones FROM e""")
 def q06_contacts(spark, sf_dir):
     found = table(spark, sf_dir, "documents").select("doc_id", P.emails(F.col("text"), ["sentry.io"]).alias("e"), P.phones(F.col("text")).alias("p"))
-    return found.select("doc_id", F.array_join("e", ",").alias("emails"), F.size("e").alias("n_emails"), (F.size("p") > 0).alias("has_phone"))
+    return found.select("doc_id", F.array_join("e", ",").alias("emails"), F.size("e").alias("n_emails"), (F.size("p") > 0).alias("has_phone"), F.array_join("p", ",").alias("phones"))
 
 
 @query("SELECT doc_id, md5(text) AS content_key, length(text)::BIGINT AS n_text, first_value(doc_id) OVER (PARTITION BY md5(text) ORDER BY doc_id) AS first_doc FROM documents")
@@ -156,12 +158,13 @@ def q10_names(spark, sf_dir):
     )
 
 
-@query("""WITH r AS (SELECT p_brand, p_type, min(p_partkey) AS first_key FROM part WHERE p_partkey % 2 = 1 GROUP BY ALL)
-SELECT p_partkey, first_key FROM part JOIN r USING (p_brand, p_type) WHERE p_partkey % 2 = 0""")
+@query("""WITH r AS (SELECT p_brand, p_size, min(p_partkey) AS first_key FROM part GROUP BY ALL)
+SELECT l.p_partkey, first_key FROM part l JOIN r ON l.p_brand = r.p_brand AND l.p_size + 1 = r.p_size""")
 def q11_exact_match(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    right = part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("first_key"), F.col("p_partkey").alias("ord"), "p_brand", "p_type")
-    return resolve.exact_match(part.where("p_partkey % 2 = 0"), right, ["p_brand", "p_type"], "p_partkey", "first_key", "ord")
+    """Every part with the first part of its brand that is one size larger."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    right = part.select(F.col("p_partkey").alias("first_key"), F.col("p_partkey").alias("ord"), "p_brand", "p_size")
+    return resolve.exact_match(part.withColumn("p_size", F.col("p_size") + 1), right, ["p_brand", "p_size"], "p_partkey", "first_key", "ord")
 
 
 _STOP = ["brand", "widget", "type"]
@@ -169,16 +172,18 @@ _STOP = ["brand", "widget", "type"]
 
 @query("""WITH p AS (SELECT p_partkey, p_type, lower(trim(regexp_replace(replace(p_name || ' ' || p_brand || ' ' || p_type || ' ' || p_size, '#', ' '), '\\s+', ' ', 'g'))) AS n FROM part),
 t AS (SELECT *, list_distinct(regexp_extract_all(n, '[\\p{L}\\p{N}_]+')) AS w FROM p),
+u AS (SELECT p_partkey, p_type, n || ' lot' AS n, list_distinct(list_concat(w, ['lot'])) AS w FROM t),
 s AS (SELECT a.p_partkey, b.p_partkey AS match, a.n = b.n AS exact, len(list_intersect(a.w, b.w)) AS i, len(list_distinct(list_concat(a.w, b.w))) AS u,
-  len(list_filter(list_intersect(a.w, b.w), lambda x: x NOT IN ('brand', 'widget', 'type'))) AS telling FROM t a JOIN t b USING (p_type) WHERE a.p_partkey % 2 = 0 AND b.p_partkey % 2 = 1),
+  len(list_filter(list_intersect(a.w, b.w), lambda x: x NOT IN ('brand', 'widget', 'type'))) AS telling FROM t a JOIN u b USING (p_type)),
 ok AS (SELECT p_partkey, match, CASE WHEN exact THEN 1.0::DOUBLE ELSE i::DOUBLE / u END AS score, CASE WHEN exact THEN 'exact' ELSE 'fuzzy' END AS how FROM s WHERE exact OR (telling > 0 AND i::DOUBLE / u >= 0.7))
 SELECT p_partkey, match, score, how FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY how, score DESC, match) AS k FROM ok) WHERE k = 1""")
 def q12_fuzzy_match(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     name = X.collapse(F.lower(F.replace(F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string")), F.lit("#"), F.lit(" "))))
     keys = part.select("p_partkey", F.col("p_type").alias("state_key"), F.lit("all").alias("city_slug"), name.alias("name_norm")).withColumn("name_tokens", X.tokens(F.col("name_norm")))
-    right = keys.where("p_partkey % 2 = 1").withColumns({"match": F.col("p_partkey"), "ord": F.col("p_partkey")}).drop("p_partkey")
-    return resolve.match(keys.where("p_partkey % 2 = 0"), right, "p_partkey", "match", "ord", stop=_STOP)
+    renamed = F.concat("name_norm", F.lit(" lot"))
+    right = keys.withColumns({"match": F.col("p_partkey"), "ord": F.col("p_partkey"), "name_norm": renamed, "name_tokens": X.tokens(renamed)}).drop("p_partkey")
+    return resolve.match(keys, right, "p_partkey", "match", "ord", stop=_STOP)
 
 
 _ORDER_13 = "l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax"
@@ -271,14 +276,14 @@ def q21_upsert(spark, sf_dir):
     return merge.upsert(c.where("c_custkey % 3 != 0"), new, "c_custkey", ["c_name", "c_mktsegment", "c_acctbal"])
 
 
-@query("""WITH o AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN '' ELSE c_name END AS c_name, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 7 != 0),
+@query("""WITH o AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN '' ELSE c_name END AS c_name, c_mktsegment, c_acctbal FROM customer),
 n AS (SELECT c_custkey, c_custkey % 2 = 0 AS a, c_custkey % 3 = 0 AS b, 'seg' || c_custkey AS c_mktsegment, -c_acctbal AS c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0),
 p AS (SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, o.c_name, CASE WHEN n.a THEN n.c_mktsegment ELSE o.c_mktsegment END AS c_mktsegment, CASE WHEN n.b THEN n.c_acctbal ELSE o.c_acctbal END AS c_acctbal FROM o FULL JOIN n ON o.c_custkey = n.c_custkey)
 SELECT c_custkey, CASE WHEN coalesce(p.c_name, '') = '' THEN customer.c_name ELSE p.c_name END AS c_name, p.c_mktsegment, p.c_acctbal FROM p JOIN customer USING (c_custkey)""")
 def q22_partial_upsert(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     k = F.col("c_custkey")
-    old = c.where("c_custkey % 7 != 0").withColumn("c_name", F.when(k % 4 == 0, None).when(k % 4 == 1, "").otherwise(F.col("c_name")))
+    old = c.withColumn("c_name", F.when(k % 4 == 0, None).when(k % 4 == 1, "").otherwise(F.col("c_name")))
     new = c.select("c_custkey", (k % 2 == 0).alias("a"), (k % 3 == 0).alias("b"), F.concat(F.lit("seg"), k.cast("string")).alias("c_mktsegment"), (-F.col("c_acctbal")).alias("c_acctbal"))
     merged = merge.partial_upsert(old, new, "c_custkey", {"a": ["c_mktsegment"], "b": ["c_acctbal"]})
     return merge.fill_empty(merged, c.select("c_custkey", "c_name"), "c_custkey", "c_name")
@@ -348,8 +353,13 @@ def _stream(spark, sf_dir, build, mode, folder):
 
 
 def _scratch(spark, tag):
+    """A new folder below the shared one; a local one only where that is unset and the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/{tag}-{next(tempfile._get_candidate_names())}" if base else "file://" + tempfile.mkdtemp(prefix=f"tarnspark-{tag}-")
+    if base:
+        return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return "file://" + tempfile.mkdtemp(prefix=f"tarnspark-{tag}-")
 
 
 @query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
@@ -365,7 +375,7 @@ def q29_stream_status(spark, sf_dir):
     folder = _scratch(spark, "status")
     rows = lambda s: claims.track(s.select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("status"), "ts", F.col("event_id").alias("seq")))
     tracked, out, check, mode = _stream(spark, sf_dir, rows, "update", folder)
-    claims.run_available(tracked, out, check, mode, lambda df, epoch: df.write.mode("append").parquet(out))
+    claims.run_available(tracked, out, check, mode, claims.epoch_writer(out))
     updates = spark.read.schema(claims.STATUS).parquet(out)
     return keyed.latest_by(updates, ["key"], ["status"], ["attempts"]).select("key", "status", "attempts")
 
@@ -388,13 +398,62 @@ def q32_most_common(spark, sf_dir):
     return keyed.most_common(table(spark, sf_dir, "pages"), F.regexp_extract_all("html", F.lit("<([a-zA-Z0-9]+)"), 1), 12)
 
 
-@query("""WITH l AS (SELECT c_nationkey AS k, c_custkey % 3 AS level, c_custkey FROM customer WHERE c_custkey % 11 != 0), b AS (SELECT *, min(level) OVER (PARTITION BY k) AS best FROM l)
+@query("""WITH l AS (SELECT c_nationkey AS k, c_custkey % 3 AS level, c_custkey FROM customer), b AS (SELECT *, min(level) OVER (PARTITION BY k) AS best FROM l)
 SELECT k, level, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY c_custkey) AS r FROM b WHERE level = best) WHERE r <= 5""")
 def q33_first_level(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").where("c_custkey % 11 != 0").select(F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 3).alias("level"), "c_custkey")
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 3).alias("level"), "c_custkey")
     return keyed.first_level(rows, ["k"], "level", [F.asc("c_custkey")], 5)
 
 
 @query("""SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def q34_uncovered(spark, sf_dir):
     return resolve.uncovered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query(f"""SELECT conv_id, max(rating) AS rating, count(*) FILTER (k <= 100)::INTEGER AS n_reviews, string_agg(author, ',' ORDER BY k) FILTER (k <= 100) AS authors, sum(rating) FILTER (k <= 100) AS ratings,
+string_agg(text || ' & "more"', '|' ORDER BY k) FILTER (k <= 100) AS texts FROM ({_TURNS}) GROUP BY conv_id""")
+def q35_structured_data(spark, sf_dir):
+    """Conversations as pages with structured data, read back: plain objects, lists and graphs by turns, escaped bodies."""
+    turns = _turns(spark, sf_dir, 1000)
+    review = lambda r: F.struct(F.struct(F.concat(F.lit(" "), r["author"]).alias("name")).alias("author"), F.struct(r["rating"].cast("string").alias("ratingValue")).alias("reviewRating"), r["date"].alias("datePublished"), F.concat(X.collapse(r["text"]), F.lit(" &amp; &quot;more&quot; ")).alias("reviewBody"))
+    business = F.struct(F.lit("LocalBusiness").alias("@type"), F.struct(F.array_max("reviews.rating").alias("ratingValue")).alias("aggregateRating"), F.transform("reviews", review).alias("review"))
+    body = F.replace(F.to_json(business), F.lit("<"), F.lit("\\u003c"))
+    other = F.lit('{"@type": "Person", "name": "x"}')
+    form = F.when(F.col("conv_id") % 4 == 0, body).when(F.col("conv_id") % 4 == 1, F.concat(F.lit("["), other, F.lit(", "), body, F.lit("]"))).when(F.col("conv_id") % 4 == 2, F.concat(F.lit('{"@graph": ['), body, F.lit("]}"))).otherwise(F.concat(other, F.lit("\n"), body))
+    html = F.concat(F.lit('<html><script type="application/ld+json">{bad</script><script type="application/ld+json">'), form, F.lit("</script></html>"))
+    page = turns.select("conv_id", R.page_reviews(html).alias("p"))
+    return page.select("conv_id", "p.rating", F.size("p.reviews").alias("n_reviews"), F.array_join("p.reviews.author", ",").alias("authors"), F.aggregate("p.reviews.rating", F.lit(0.0), lambda a, b: a + b).alias("ratings"), F.array_join("p.reviews.text", "|").alias("texts"))
+
+
+@query("""WITH n AS (SELECT c_custkey, c_custkey % 3 = 0 AS have, upper(c_name) AS c_name FROM customer) SELECT c.c_custkey, CASE WHEN have THEN n.c_name ELSE c.c_name END AS c_name, c_acctbal, have AS replaced FROM customer c JOIN n USING (c_custkey)""")
+def q36_update_rows(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    new = c.select(F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("c_custkey"), F.upper("c_name").alias("c_name"))
+    return merge.update_rows(c, new, "c_custkey", ["c_name"])
+
+
+@query("""SELECT l_suppkey, string_agg(l_partkey || ':' || l_linenumber, ',' ORDER BY k) AS candidates FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 10 + l_linenumber, l_partkey) AS k
+FROM (SELECT DISTINCT l_suppkey, l_partkey, l_linenumber, l_orderkey FROM lineitem)) WHERE k <= 20 GROUP BY l_suppkey""")
+def q37_candidate_lists(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber", F.struct(F.col("l_orderkey") * 10 + F.col("l_linenumber"), "l_partkey").alias("ord")).distinct()
+    found = resolve.candidate_lists(li, ["l_suppkey"], ["l_partkey", "l_linenumber"], "ord", 20)
+    names = F.transform("candidates", lambda r: F.concat_ws(":", r["l_partkey"].cast("string"), r["l_linenumber"].cast("string")))
+    return found.select("l_suppkey", F.array_join(names, ",").alias("candidates"))
+
+
+@query("""WITH f AS (SELECT user_id % 50 AS key, 'https://www.bbb.org/us/al/x-' || (event_id % 9) || '/profile/p' AS href, min(event_id) AS first_at FROM events WHERE event_id % 3 != 0 GROUP BY ALL)
+SELECT key, href, first_at FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY first_at, href) AS k FROM f) WHERE k <= 5""")
+def q38_profiles(spark, sf_dir):
+    host = F.when(F.col("event_id") % 3 == 0, "https://x.org").otherwise("https://www.bbb.org")
+    href = F.concat(host, F.lit("/us/al/x-"), (F.col("event_id") % 9).cast("string"), F.lit("/profile/p#"), F.col("event_id").cast("string"))
+    links = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("key"), href.alias("href"), F.col("event_id").alias("first_at"))
+    return resolve.profile_candidates(links, "key", "href", "first_at", "bbb.org", rules.LISTING_PROFILE_URL)
+
+
+@query(f"""SELECT row_idx, site_id, CASE WHEN status IN ('blocked', 'error') THEN 'pending' ELSE status END AS status, attempts, row_idx % 2 = 0 OR status = 'done' AS row_complete FROM ({_LATEST})""")
+def q39_reset(spark, sf_dir):
+    latest = progress.latest_status(_log(spark, sf_dir)).select("row_idx", "site_id", "status", "attempts")
+    again = progress.reset(latest, latest.where("status in ('blocked', 'error')"))
+    state = latest.select("row_idx", "site_id", (F.col("status") == "done").alias("row_complete"))
+    marked = progress.mark_complete(state, latest.where("row_idx % 2 = 0"))
+    return again.join(marked, ["row_idx", "site_id"]).select("row_idx", "site_id", "status", "attempts", "row_complete")

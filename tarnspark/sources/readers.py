@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -39,8 +39,12 @@ def seed(spark: SparkSession, path: str) -> DataFrame:
 
 def with_row_idx(df: DataFrame, name: str = "row_idx") -> DataFrame:
     """Numbers rows in file order, once, at ingest. Write the result; the number is the key from then on."""
-    rows = df.rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-    return df.sparkSession.createDataFrame(rows, T.StructType([T.StructField(name, T.LongType()), *df.schema.fields]))
+    placed = df.withColumn("_at", F.monotonically_increasing_id())  # the partition above 33 bits, the place in it below
+    counts = placed.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each input partition
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(starts), F.shiftright("_at", 33) == F.col("_part")).select(number.alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def written_rows(output: DataFrame, key: str = "_row_idx") -> DataFrame:

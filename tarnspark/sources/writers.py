@@ -28,8 +28,14 @@ def append_leads(df: DataFrame, path: str) -> None:
     write_csv(ready.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in names]), path, "append")
 
 
+def append_reviews(df: DataFrame, path: str, inputs: list[str]) -> None:
+    """Review rows in export order: null ratings empty, cells of reviews only for the sites that have them."""
+    write_csv(df.select(*[export_column(df, h) for h in export_headers(inputs)]), path, "append")
+
+
 def replace_parquet(df: DataFrame, path: str) -> None:
-    """Replace a table, also one that ``df`` reads: written beside it whole, then renamed."""
+    """Replace a table, also one that ``df`` reads: written beside it whole, then renamed. Between the two renames readers find no table;
+    if the second fails, the old one is put back."""
     spark = df.sparkSession
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     staged, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
@@ -39,6 +45,8 @@ def replace_parquet(df: DataFrame, path: str) -> None:
     if had and not fs.rename(Path(path), Path(old)):
         raise OSError(f"can't move {path}")
     if not fs.rename(Path(staged), Path(path)):
+        if had:
+            fs.rename(Path(old), Path(path))
         raise OSError(f"can't move {staged}")
     if had:
         fs.delete(Path(old), True)

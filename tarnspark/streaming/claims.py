@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def read_drops(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", files_per_batch: int = 100) -> DataFrame:
@@ -27,20 +24,21 @@ def claim(stream: DataFrame, keys: list[str], event_time: str | None = None, del
 STATUS = "key string, status string, attempts long, ts timestamp, seq long"
 
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    status, attempts, ts, seq = state.get if state.exists else (None, 0, pd.Timestamp(0), -1)
-    for b in batches:
-        attempts += len(b)
-        last = b.sort_values(["ts", "seq"]).iloc[-1]
-        if (last.ts, last.seq) > (ts, seq):
-            status, ts, seq = last.status, last.ts, int(last.seq)
-    state.update((status, attempts, ts, seq))
-    yield pd.DataFrame([{"key": key[0], "status": status, "attempts": attempts, "ts": ts, "seq": seq}])
+def track(stream: DataFrame) -> DataFrame:
+    """The status machine of (key, status, ts, seq) rows: in update mode, a row for each key of a batch with its last status and attempts so far.
+    A reset is a row with status ``pending``: it keeps the attempts (``reset_rows`` makes them)."""
+    last = F.max(F.struct("ts", "seq", "status"))
+    return stream.groupBy("key").agg(last.alias("_last"), F.count_if(F.col("status") != "pending").alias("attempts")).select("key", "_last.status", "attempts", "_last.ts", "_last.seq")
 
 
-def track(stream: DataFrame) -> DataFrame:
-    """The status machine of (key, status, ts, seq) rows: an update for each key of a batch with its last status and attempts so far."""
-    return stream.groupBy("key").applyInPandasWithState(_advance, STATUS, "status string, attempts long, ts timestamp, seq long", "update", GroupStateTimeout.NoTimeout)
+def reset_rows(targets: DataFrame, ts: Column, seq: Column) -> DataFrame:
+    """The rows of a log that set keys back to pending."""
+    return targets.select("key", F.lit("pending").alias("status"), ts.alias("ts"), seq.alias("seq"))
+
+
+def epoch_writer(sink: str):
+    """A foreachBatch function that writes each epoch to a folder of its own, so that a batch that is played again replaces itself."""
+    return lambda df, epoch: df.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", batch: Any = None) -> None:
