@@ -1,15 +1,15 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a word target: its weight's share of the budget, at most ``MAX_REPEAT`` times its
-own size, the excess dealt again by weight. With ratio = target / size, each document first gets
+own size, the excess dealt again by weight. The sources that reach that limit are the first in the order of limit / weight, so sums over
+that order give all targets at once. With ratio = target / size, each document first gets
 floor(ratio) certain copies; the rest of the target is a Pareto sample with inclusion probability
-frac(ratio): documents are ranked by (U / (1 - U)) / (p / (1 - p)), U a hash of the document, and taken
-in that order while the target holds. Only (source, doc_id, size, U) rows are ranked, never texts, and
-the ranks of a source come from sums over ``SLICES`` slices of the odds, so that a hot source is no
-single task: one slice of it is sorted to place the cut.
+p = frac(ratio): documents are ranked by (u / (1 - u)) / (p / (1 - p)), u a hash of the document, and taken
+in that order while the target holds. Only (source, doc_id, size, u) rows are ranked, never texts. The last rank taken is found by sums over ``SLICES`` even slices of u, then over as many slices of the
+slice where the target ends, ``LEVELS`` times, so that no task sorts a source: what is sorted at the end is about one row in ``SLICES`` ** ``LEVELS``, summed by rank. Sources that need whole copies only aren't ranked.
 
 Defined cases: null or empty texts have size 0 and take 0 words; null source is a source of its own,
-sorted last; rows with one doc_id and text share a fate, null ids too; an empty table gives none.
+sorted last; rows with one doc_id and text, or of one rank, share a fate, null ids too; an empty table gives none; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -17,29 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import lookup, materialize
+from tarnspark.llm.common import drop, lookup, materialize
 
-WEIGHTS, BUDGET, MAX_REPEAT, SLICES = (5.0, 2.0, 1.0), 1.5, 2.0, 4096
-#: Sources whose targets are computed on the driver; each is one row of a few bytes.
-MAX_SOURCES = 1_000_000
-
-
-def share(sizes: list[int], weights: list[float], total: float, most: float = MAX_REPEAT) -> list[float]:
-    """Shares of ``total`` by weight, none above ``most`` times its size; the excess is dealt again."""
-    out, free = [0.0] * len(sizes), {i for i in range(len(sizes)) if sizes[i] > 0}
-    left = total
-    while free:
-        unit = left / sum(weights[i] for i in sorted(free))
-        full = [i for i in sorted(free) if weights[i] * unit >= most * sizes[i]]
-        if not full:
-            for i in free:
-                out[i] = weights[i] * unit
-            break
-        for i in full:
-            out[i] = most * sizes[i]
-            left -= out[i]
-            free.discard(i)
-    return out
+WEIGHTS, BUDGET, MAX_REPEAT, SLICES, LEVELS = (5.0, 2.0, 1.0), 1.5, 2.0, 256, 3
 
 
 def document_sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -51,44 +31,64 @@ def document_sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 def targets(sizes: DataFrame, budget: float = BUDGET, weights: tuple = WEIGHTS, most: float = MAX_REPEAT) -> DataFrame:
     """source, source_size, target: one row a source."""
-    spark = sizes.sparkSession
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows.sort(key=lambda r: (r.source is None, (r.source or "").encode("utf-8", "surrogatepass")))
-    n = [r.n for r in rows]
-    got = share(n, [weights[i % len(weights)] for i in range(len(rows))], budget * sum(n), most)
-    return spark.createDataFrame([(r.source, r.n, t) for r, t in zip(rows, got, strict=True)], "source string, source_size long, target double")
+    own = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # one row a source stands in these windows; null comes last, and binary order is that of code points
+    place = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.encode("source", "utf-8"))) - 1
+    own = own.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int")))
+    limit = F.when(F.col("source_size") > 0, most * F.col("source_size")).otherwise(0.0)
+    own = own.withColumns({"limit": limit, "weight": F.when(F.col("source_size") > 0, F.col("weight")).otherwise(0.0)})
+    by = Window.orderBy(F.when(F.col("weight") > 0, F.col("limit") / F.col("weight")).otherwise(-1.0), "source")
+    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    total = budget * F.sum("source_size").over(every)
+    left = total - F.coalesce(F.sum("limit").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    free = F.sum("weight").over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    own = own.withColumn("full", (F.col("weight") == 0) | (F.col("weight") * (left / F.greatest(free, F.lit(1e-300))) >= F.col("limit"))).withColumn("total", total)
+    unit = (F.col("total") - F.sum(F.when(F.col("full"), F.col("limit")).otherwise(0.0)).over(every)) / F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(every)
+    return own.select("source", "source_size", F.when(F.col("full"), F.col("limit")).otherwise(F.col("weight") * unit).alias("target"))
+
+
+def _last_taken(ranked: DataFrame) -> DataFrame:
+    """source_of and last, the greatest rank that is taken, of rows (source_of, need, size, u, rank); no row for a source that takes none of them."""
+    cuts = None  # source_of, cut: the slice in which the target ends, before: the words of the slices before it
+    inside = ranked
+    for level in range(1, LEVELS + 1):
+        if cuts is not None:
+            inside = ranked.join(cuts, "source_of").where(F.floor(F.col("u") * float(SLICES ** (level - 1))) == F.col("cut"))
+        before = F.lit(0).cast("long") if cuts is None else F.col("before")
+        words = inside.groupBy("source_of", F.floor(F.col("u") * float(SLICES**level)).alias("slice")).agg(F.sum("size").alias("words"), F.first("need").alias("need"), F.first(before).alias("before"))
+        upto = Window.partitionBy("source_of").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)  # at most SLICES rows a source
+        words = words.withColumn("upto", F.sum("words").over(upto) + F.col("before"))
+        # the first slice that ends beyond the target, or the last of all
+        ends = F.struct((F.col("upto") <= F.col("need")).alias("within"), F.when(F.col("upto") > F.col("need"), F.col("slice")).otherwise(-F.col("slice")).alias("order"), "slice", (F.col("upto") - F.col("words")).alias("before"))
+        cuts = lookup(materialize(words.groupBy("source_of").agg(F.min(ends).alias("cut")).select("source_of", F.col("cut.slice").alias("cut"), F.col("cut.before").alias("before")), "cuts"))
+    edge = ranked.join(cuts, "source_of").where(F.floor(F.col("u") * float(SLICES**LEVELS)) == F.col("cut"))
+    edge = edge.groupBy("source_of", "rank").agg(F.sum("size").alias("words"), F.first("need").alias("need"), F.first("before").alias("before"))
+    upto = F.sum("words").over(Window.partitionBy("source_of").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    # the document that crosses the target is taken if that ends nearer to it
+    edge = edge.withColumn("taken", upto - F.col("words") / 2.0 <= F.col("need"))
+    last = F.coalesce(F.max(F.when(F.col("taken"), F.struct("rank", F.lit(True).alias("own")))), F.struct(F.min("rank").alias("rank"), F.lit(False).alias("own")))
+    return edge.groupBy("source_of").agg(last.alias("last")).select("source_of", F.col("last.rank").alias("last"), F.col("last.own").alias("with_last"))
 
 
 def plan(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies."""
+    """doc_id, source, size, source_size, target, u, copies."""
     sizes = materialize(document_sizes(docs, seed), "sizes")
-    goal = lookup(targets(sizes).withColumnRenamed("source", "source_of"))
+    goal = materialize(targets(sizes), "targets")
     ratio = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
-    odds = lambda p: p / (1 - p)
-    ranked = sizes.join(goal, F.col("source").eqNullSafe(F.col("source_of"))).withColumn("certain", F.floor(ratio + 1e-12).cast("int"))
-    ranked = ranked.withColumn("p", F.least(F.greatest(ratio - F.col("certain"), F.lit(1e-12)), F.lit(1 - 1e-12)))
-    ranked = ranked.withColumn("rank", odds(F.col("u")) / odds(F.col("p")))
-    ranked = ranked.withColumn("slice", F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * SLICES), F.lit(SLICES - 1)).cast("int"))
+    goal = goal.withColumn("certain", F.floor(ratio + 1e-12).cast("int"))
     need = F.col("target") - F.col("certain") * F.col("source_size")
-
-    slices = ranked.groupBy("source_of", "slice").agg(F.sum("size").alias("words"), F.first(need).alias("need"))
-    upto = Window.partitionBy("source_of").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)  # SLICES rows a source at most
-    slices = slices.withColumn("upto", F.sum("words").over(upto))
-    cut = slices.where("upto > need").groupBy("source_of").agg(F.min("slice").alias("cut"), F.min_by(F.col("upto") - F.col("words"), "slice").alias("before"))
-    cut = lookup(materialize(cut, "cuts").withColumnRenamed("source_of", "cut_of"))
-    ranked = ranked.join(cut, F.col("source_of").eqNullSafe(F.col("cut_of")), "left")
-
-    inside = Window.partitionBy("source_of").orderBy("rank")  # the default frame: equal ranks share a fate
-    edge = ranked.where("slice = cut").withColumn("words", F.sum("size").over(inside) + F.col("before"))
-    # the document that crosses the target is taken if that ends nearer to it
-    edge = edge.withColumn("more", (F.col("words") - F.col("size") / 2.0 <= need).cast("int"))
-    rest = ranked.where("cut is null or slice != cut").withColumn("words", F.lit(None).cast("long")).withColumn("more", F.coalesce(F.col("slice") < F.col("cut"), F.lit(True)).cast("int"))
-    both = edge.unionByName(rest)
     # a target at a whole number of copies leaves nothing to sample
-    copies = F.col("certain") + F.when(need >= 0.5, F.col("more")).otherwise(0)
-    return both.select("doc_id", "source", "size", "source_size", "target", "u", F.least(copies, F.lit(int(MAX_REPEAT))).alias("copies"))
+    goal = goal.withColumns({"need": F.when(need >= 0.5, need).otherwise(0.0), "p": F.least(F.greatest(ratio - F.col("certain"), F.lit(1e-12)), F.lit(1 - 1e-12))}).withColumnRenamed("source", "source_of")
+    same = F.col("source").eqNullSafe(F.col("source_of"))
+    odds = lambda p: p / (1 - p)
+    rank = odds(F.col("u")) / odds(F.col("p"))
+    code = F.coalesce(F.concat(F.lit("="), F.col("source_of")), F.lit(""))  # a name that is never null
+    ranked = sizes.join(lookup(goal.where("need > 0")), same).select(code.alias("source_of"), "need", "size", "u", rank.alias("rank"))
+    last = _last_taken(ranked)
+    goal = materialize(goal.withColumn("code", code).join(last.withColumnRenamed("source_of", "code"), "code", "left"), "goals")
+    more = (F.col("need") > 0) & ((rank < F.col("last")) | (rank == F.col("last")) & F.col("with_last"))
+    copies = F.least(F.col("certain") + F.coalesce(more, F.lit(False)).cast("int"), F.lit(int(MAX_REPEAT)))
+    return sizes.join(lookup(goal), same).select("doc_id", "source", "size", "source_size", "target", "u", copies.alias("copies"))
 
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:

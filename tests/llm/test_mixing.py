@@ -62,7 +62,60 @@ def test_edges(spark):
     assert M.mix(nulls).count() == 2
 
 
-def test_pareto_ranks_are_odds(spark):
-    assert M.share([100, 100, 100], [5, 2, 1], 450.0) == pytest.approx([200.0, 500 / 3, 250 / 3])
-    assert M.share([0, 10], [5, 2], 15.0) == pytest.approx([0.0, 15.0])
-    assert M.share([10, 10], [1, 1], 100.0) == [20.0, 20.0]
+def targets(spark, sizes):
+    rows = [(s, n) for s, n in sizes.items()]
+    return {r.source: r.target for r in M.targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+
+
+def test_targets_against_trial_and_error(spark):
+    assert targets(spark, {"a": 0, "b": 10}) == {"a": 0.0, "b": 15.0}
+    for sizes in ({"a": 100, "b": 100, "c": 100}, {"a": 7, "b": 90, "c": 1000, "d": 3, None: 5, "é": 0, "Z": 12}, {"a": 1}, {f"s{i}": i * i % 97 for i in range(300)}):
+        want = brute_shares(sizes, 1.5 * sum(sizes.values()))
+        got = targets(spark, sizes)
+        assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def brute_pareto(rows, goal):
+    """doc -> copies by sorting each source by its ranks. rows: (doc_id, source, size, u)."""
+    out = {}
+    for s, (n, target) in goal.items():
+        mine = [r for r in rows if r[1] == s]
+        certain = int(target / max(n, 1) + 1e-12)
+        need, p = target - certain * n, target / max(n, 1) - certain
+        for r in mine:
+            out[r[0]] = certain
+        if need < 0.5:
+            continue
+        rank = {r[0]: (r[3] / (1 - r[3])) / (p / (1 - p)) for r in mine}
+        upto = 0
+        for x in sorted(set(rank.values())):
+            tied = [r for r in mine if rank[r[0]] == x]
+            words = sum(r[2] for r in tied)
+            upto += words
+            if upto - words / 2 <= need:
+                for r in tied:
+                    out[r[0]] += 1
+    return out
+
+
+@pytest.mark.parametrize("slices", [2, 256])
+def test_pareto_order_against_sorting(spark, monkeypatch, slices):
+    """Whole sources sorted by rank, with repeated rows; two slices a level leave many rows to the last sort."""
+    monkeypatch.setattr(M, "SLICES", slices)
+    rows = [(i, "w " * (i * 13 % 29), f"s{i % 7 if i % 3 else 0}") for i in range(900)] + [(2000, "a b c " * 50, "one"), (3000, "x y", None), (3001, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    twice = docs.unionByName(docs.where("doc_id % 10 = 0"))  # repeated rows tie
+    for d in (docs, twice):
+        got = M.plan(d).collect()
+        goal = {r.source: (r.source_size, r.target) for r in got}
+        numbered = [(i, r.source, r["size"], r.u) for i, r in enumerate(got)]
+        want = brute_pareto(numbered, goal)
+        assert {i: r.copies for i, r in enumerate(got)} == want
+        by = {}
+        for r in got:
+            assert by.setdefault(r.doc_id, r.copies) == r.copies
+
+
+def test_very_long_text_and_one_hot_source(spark):
+    rows = [(i, "w " * (400_000 if i == 5 else 3), "hot") for i in range(300)] + [(1000 + i, "v v v v", f"s{i}") for i in range(5)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"))
