@@ -1,7 +1,8 @@
-"""Connected components of an edge table by least labels and pointer jumping.
+"""Connected components of an edge table by contraction.
 
-Each round takes the least label among a node's neighbours (a partial aggregate before the shuffle, so a node with very many links
-is no single group of rows) and then the label of that label, which halves long paths. Every round ends in a written table.
+Each round points every node at its least neighbour (a partial aggregate before the shuffle, so a node with very many links
+is no single group of rows), goes on from there once more, and replaces the ends of all edges by the nodes they point at. What has become one node drops
+out, so that the tables of the rounds shrink and long chains halve twice a round. At the end the pointers are followed back from the last round to the first. Every round ends in written tables.
 Only counts come to the driver.
 """
 
@@ -13,21 +14,33 @@ from pyspark.sql import functions as F
 from tarnspark.llm.common import drop, materialize
 
 
+def _once(edges: DataFrame) -> DataFrame:
+    return edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges``: columns a and b of one type that can be ordered. Returns id and comp, the least id of its component, for every node of an edge."""
-    own = materialize(edges.select("a", "b").where("a != b").unionByName(edges.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(own.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low")).select("id", F.least("id", "low").alias("comp")), "labels")
+    own, rounds = materialize(_once(edges.select("a", "b")), "edges"), []
     while True:
-        low = own.join(labels, own.b == labels.id).groupBy("a").agg(F.min("comp").alias("low"))
-        near = labels.join(low, labels.id == low.a, "left").select("id", "comp", F.least("comp", "low").alias("new"))
-        near = materialize(near, "near")
-        up = near.select(F.col("id").alias("at"), F.col("new").alias("up"))
-        nxt = materialize(near.join(up, near.new == up["at"], "left").select("id", F.least("new", "up").alias("comp"), (F.least("new", "up") != F.col("comp")).alias("moved")), "labels")
-        moved = nxt.where("moved").limit(1).count()
-        drop(labels)
+        ends = own.select(F.col("a").alias("id"), "b").unionByName(own.select(F.col("b").alias("id"), F.col("a").alias("b")))
+        near = materialize(ends.groupBy("id").agg(F.min("b").alias("low")).select("id", F.least("id", "low").alias("low")), "near")
+        up = near.select(F.col("id").alias("at"), F.col("low").alias("comp"))
+        to = materialize(near.join(up, near.low == up["at"]).select("id", "comp"), "labels")
         drop(near)
-        path, labels = nxt._tarn_path, nxt.select("id", "comp")
-        labels._tarn_path = path
-        if not moved:
+        rounds.append(to)
+        left, right = to.select(F.col("id").alias("a"), F.col("comp").alias("x")), to.select(F.col("id").alias("b"), F.col("comp").alias("y"))
+        nxt = materialize(_once(own.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))), "edges")
+        drop(own)
+        own = nxt
+        if not own.limit(1).count():
             drop(own)
-            return labels
+            break
+    out = rounds.pop()
+    while rounds:
+        to = rounds.pop()
+        last = out.select(F.col("id").alias("at"), F.col("comp").alias("end"))
+        joined = materialize(to.join(last, to.comp == last["at"], "left").select("id", F.coalesce("end", "comp").alias("comp")), "labels")
+        drop(out)
+        drop(to)
+        out = joined
+    return out
