@@ -5,11 +5,11 @@
 term's positions. A shard is whole for its documents, so queries need no shuffle and a hot term, source or
 passage lies spread over all shards. ``search`` counts the test terms over all shards, then intersects, in each shard and
 for each window of the test set, the offset-adjusted position lists from the window's rarest term on; with slop 0
-the result are exact phrases, else proximity matches (every term within ``slop`` words of its place). Test items are sent to the tasks in blocks of at
-most ``BLOCK_WORDS`` words, a pass over the index for each.
+the result are exact phrases, else proximity matches (every term within ``slop`` words of its place). Test items are a table of chunks of at most ``CHUNK_WORDS`` words, each
+with the windows that start in it, dealt into blocks of about ``BLOCK_WORDS`` words by a hash. One block at a time, of a counted size, is broadcast as numbers; its hits are written before the next.
 
 Defined cases: null and empty texts have no words and are never hit, null or wordless items have no window; items without an id are
-ignored; null doc_ids and repeated rows are documents of their own; empty tables work on either side.
+ignored, ids of any type are taken as text; null doc_ids and repeated rows are documents of their own; empty tables work on either side.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import materialize
+from tarnspark.llm.common import drop, materialize
 from tarnspark.llm.words import Hashes, fold_words
 
-WINDOW, SHARD_WORDS, BLOCK_WORDS = 13, 1_000_000, 500_000
+WINDOW, SHARD_WORDS, BLOCK_WORDS, CHUNK_WORDS = 13, 1_000_000, 500_000, 50_000
 _INDEX = "shard string, doc_ids array<bigint>, lengths binary, terms binary, counts binary, positions binary"
 
 
@@ -66,19 +66,16 @@ def _binary(batch, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in batch.column(name).to_pylist()]
 
 
-def windows_of(items: list[tuple[int, str]], width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes laid end to end, item of each window, its start in them, its length)."""
-    cache, flat, owner, start, length, at = Hashes(), [], [], [], [], 0
-    for item, text in items:
-        w = cache.of(fold_words(text))
-        k = min(width, len(w))
-        for s in range(len(w) - k + 1 if k else 0):
-            owner.append(item)
-            start.append(at + s)
-            length.append(k)
-        flat.append(w)
-        at += len(w)
-    return np.concatenate(flat or [np.empty(0, np.uint64)]), np.array(owner, np.int64), np.array(start, np.int64), np.array(length, np.int64)
+def windows_of(chunks: list[tuple[str, np.ndarray]], width: int = WINDOW) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes laid end to end, names of items, and of each window: the place of its item's name, its start, its length)."""
+    names: dict[str, int] = {}
+    size = np.array([len(w) for _, w in chunks], np.int64)
+    length = np.minimum(size, width)
+    count = size - length + 1
+    first = np.repeat(np.cumsum(size) - size, count)
+    start = first + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    owner = np.repeat(np.array([names.setdefault(i, len(names)) for i, _ in chunks], np.int64), count)
+    return np.concatenate([w for _, w in chunks]), list(names), owner, start, np.repeat(length, count)
 
 
 def count_terms(index: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -96,8 +93,9 @@ def count_terms(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["k", "n"])
 
     out = np.zeros(len(terms), np.int64)
-    for r in index.select("terms", "counts").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r.k] = r.n
+    rows = index.select("terms", "counts").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out[rows.column("k").to_numpy()] = rows.column("n").to_numpy()
+    shared.unpersist()
     return out
 
 
@@ -134,19 +132,19 @@ def _intersect(keys: np.ndarray, have: np.ndarray, ends: np.ndarray, doc_first:
     return np.concatenate(found_w or [np.empty(0, np.int64)]), np.concatenate(found_p or [np.empty(0, np.int64)])
 
 
-def search(index: DataFrame, items: list[tuple[int, str]], width: int = WINDOW, slop: int = 0) -> DataFrame:
+def search(index: DataFrame, chunks: list[tuple[str, np.ndarray]], width: int = WINDOW, slop: int = 0) -> DataFrame:
     """One row for each document with a match of one block of items: shard, ord (its place in the shard), doc_id, spans
-    (begin and end of the runs of covered words) and item_ids."""
-    flat, owner, start, length = windows_of(items, width)
-    terms = np.unique(flat)
-    frequency = count_terms(index, terms)
-    order = np.zeros((len(start), width), np.int64)  # offsets of a window's words, rarest first
-    for i, (s, k) in enumerate(zip(start, length, strict=True)):
-        order[i, :k] = np.argsort(frequency[np.searchsorted(terms, flat[s : s + k])], kind="stable")
-    shared = index.sparkSession.sparkContext.broadcast((flat, owner, start, length, order))
+    (begin and end of the runs of covered words) and item_ids. The rows are written."""
+    flat, names, owner, start, length = windows_of(chunks, width)
+    terms, at = np.unique(flat, return_inverse=True)
+    frequency = count_terms(index, terms)[at]
+    within = np.arange(width) < length[:, None]
+    order = np.argsort(np.where(within, frequency[np.minimum(start[:, None] + np.arange(width), len(flat) - 1)], np.iinfo(np.int64).max), axis=1, kind="stable")
+    order = np.where(within, order, 0)  # offsets of a window's words, rarest first
+    shared = index.sparkSession.sparkContext.broadcast((flat, names, owner, start, length, order))
 
     def run(batches):
-        flat, owner, start, length, order = shared.value
+        flat, names, owner, start, length, order = shared.value
         for b in batches:
             cells = [_binary(b, "lengths", np.uint32), _binary(b, "terms", np.uint64), _binary(b, "counts", np.uint32), _binary(b, "positions", np.uint32)]
             for shard, doc_ids, lengths, have, counts, places in zip(b.column("shard").to_pylist(), b.column("doc_ids").to_pylist(), *cells, strict=True):
@@ -168,14 +166,16 @@ def search(index: DataFrame, items: list[tuple[int, str]], width: int = WINDOW,
                     np.add.at(cover, np.clip(p[mine] + length[w[mine]] - doc_first[d], 0, lengths[d]), -1)
                     on = np.diff(np.r_[0, (np.cumsum(cover)[:-1] > 0).astype(np.int8), 0])
                     spans = [{"b": int(x), "e": int(y)} for x, y in zip(np.flatnonzero(on == 1), np.flatnonzero(on == -1), strict=True)]
-                    rows.append((shard, int(d), doc_ids[d], spans, np.unique(owner[w[mine]]).tolist()))
+                    rows.append((shard, int(d), doc_ids[d], spans, [names[i] for i in np.unique(owner[w[mine]])]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _HIT_KINDS, strict=True)], ["shard", "ord", "doc_id", "spans", "item_ids"])
 
-    return index.select("shard", "doc_ids", "lengths", "terms", "counts", "positions").mapInArrow(run, _HITS)
+    found = materialize(index.select("shard", "doc_ids", "lengths", "terms", "counts", "positions").mapInArrow(run, _HITS), "hits")
+    shared.unpersist()
+    return found
 
 
-_HITS = "shard string, ord int, doc_id bigint, spans array<struct<b:int,e:int>>, item_ids array<bigint>"
-_HIT_KINDS = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())])), pa.list_(pa.int64())]
+_HITS = "shard string, ord int, doc_id bigint, spans array<struct<b:int,e:int>>, item_ids array<string>"
+_HIT_KINDS = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.struct([("b", pa.int32()), ("e", pa.int32())])), pa.list_(pa.string())]
 
 
 def _documents(index: DataFrame) -> DataFrame:
@@ -187,18 +187,41 @@ def _documents(index: DataFrame) -> DataFrame:
     return index.select("shard", "doc_ids", "lengths").mapInArrow(run, "shard string, ord int, doc_id long, n_words long")
 
 
+def item_chunks(items: DataFrame, width: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """item_id, chunk, n and words (hashes end to end): pieces of the items that overlap so that each window is in one."""
+
+    def run(batches):
+        cache = Hashes()
+        for b in batches:
+            rows = [[], [], [], []]
+            for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                w = cache.of(fold_words(text))
+                for i, s in enumerate(range(0, max(len(w) - width + 1, min(1, len(w))), chunk_words)):
+                    part = w[s : s + chunk_words + width - 1]
+                    for held, x in zip(rows, (item, i, len(part), part.tobytes()), strict=True):
+                        held.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.string(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["item_id", "chunk", "n", "words"])
+
+    slim = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    return slim.mapInArrow(run, "item_id string, chunk int, n long, words binary")
+
+
 def blocks(items: DataFrame, block_words: int = BLOCK_WORDS):
-    """The items in lists of at most ``block_words`` words (or one item). One block is on the driver at a time."""
-    held, n = [], 0
-    for r in items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").toLocalIterator():
-        size = len(fold_words(r.text))
-        if held and n + size > block_words:
-            yield held
-            held, n = [], 0
-        held.append((r.item_id, r.text))
-        n += size
-    if held:
-        yield held
+    """The chunks of the items, (item_id, word hashes), in lists of at most four times ``block_words`` words (or one chunk). One block is on the driver at a time."""
+    chunks = materialize(item_chunks(items), "items")
+    size = chunks.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    n, most = -(-(size.n or 0) // block_words), 0
+    while n:
+        block = F.pmod(F.xxhash64("item_id", "chunk"), F.lit(n))
+        most = chunks.groupBy(block.alias("block")).agg(F.sum("n").alias("n")).agg(F.max("n").alias("n")).first().n
+        if most <= max(4 * block_words, size.most) or n > 4 * size.n:  # equal chunks of one name share a block
+            break
+        n *= 2
+    for i in range(n):
+        rows = chunks.where(block == i).select("item_id", "words").toArrow()
+        if rows.num_rows:
+            yield [(item, np.frombuffer(w, np.uint64)) for item, w in zip(rows.column("item_id").to_pylist(), rows.column("words").to_pylist(), strict=True)]
+    drop(chunks)
 
 
 def contamination(docs: DataFrame, items: DataFrame, slop: int = 0) -> DataFrame:
@@ -210,11 +233,11 @@ def contamination(docs: DataFrame, items: DataFrame, slop: int = 0) -> DataFrame
         hits = found if hits is None else hits.unionByName(found)
     every = _documents(index)
     if hits is None:
-        return every.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.expr("cast(array() as array<struct<b:int,e:int>>)").alias("spans"), F.expr("cast(array() as array<bigint>)").alias("item_ids"))
+        return every.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.expr("cast(array() as array<struct<b:int,e:int>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("item_ids"))
     hits = hits.groupBy("shard", "ord").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
     out = every.join(hits, ["shard", "ord"], "left")
     n_hit = F.expr("aggregate(spans, named_struct('upto', 0, 'n', 0L), (s, x) -> named_struct('upto', greatest(s.upto, x.e), 'n', s.n + greatest(0, x.e - greatest(s.upto, x.b))), s -> s.n)")
-    return out.select("doc_id", "n_words", F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"), F.coalesce("spans", F.expr("cast(array() as array<struct<b:int,e:int>>)")).alias("spans"), F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)")).alias("item_ids"))
+    return out.select("doc_id", "n_words", F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"), F.coalesce("spans", F.expr("cast(array() as array<struct<b:int,e:int>>)")).alias("spans"), F.coalesce("item_ids", F.expr("cast(array() as array<string>)")).alias("item_ids"))
 
 
 def is_contaminated() -> F.Column:

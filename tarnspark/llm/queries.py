@@ -20,7 +20,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    names = F.array_join(F.array_sort(F.transform("item_ids", lambda x: x.cast("string"))), ",")
+    names = F.array_join(F.array_sort("item_ids"), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(names.cast("binary"), 256).alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
@@ -54,6 +54,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's script stands at the top of the repository, beside this package."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)

@@ -92,5 +92,24 @@ def test_proximity(spark):
     item = "alpha beta gamma delta epsilon"
     docs = [(1, "x alpha beta gamma delta epsilon"), (2, "alpha x beta gamma delta epsilon"), (3, "alpha x x x beta gamma delta epsilon"), (4, "epsilon delta gamma beta alpha"), (5, "alpha beta gamma delta"), (6, "epsilon")]
     index = D.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
-    near = lambda slop: {r.doc_id for r in D.search(index, [(1, item)], slop=slop).collect()}
+    [block] = D.blocks(spark.createDataFrame([(1, item)], "item_id int, text string"))
+    near = lambda slop: {r.doc_id for r in D.search(index, block, slop=slop).collect()}
     assert near(0) == {1} and near(1) == {1, 2} and near(3) == {1, 2, 3}
+
+
+def test_ids_that_are_no_numbers_and_chunks_of_long_items(spark, monkeypatch):
+    real = D.item_chunks
+    monkeypatch.setattr(D, "item_chunks", lambda items: real(items, chunk_words=7))
+    docs, items = fixture()
+    named = [(None if i is None else f"item-{i}", t) for i, t in items]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(named, "item_id string, text string")
+    rows = D.contamination(d, b).select("doc_id", "n_words", "n_hit", F.size("item_ids").alias("n"), F.sha2(F.array_join(F.array_sort("item_ids"), ",").cast("binary"), 256).alias("s"), D.is_contaminated().alias("c")).collect()
+    assert sorted((repr(r[0]), *r[1:]) for r in rows) == brute(docs, named)
+
+
+def test_very_long_text(spark):
+    r = random.Random(9)
+    long = " ".join(f"w{r.randrange(5000)}" for _ in range(400_000))
+    items = [(1, " ".join(long.split()[200_000:200_040])), (2, "no such words here at all in any of the texts that are there")]
+    got = D.contamination(spark.createDataFrame([(1, long), (2, "x")], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got} == {(1, 400_000, 40, ("1",)), (2, 1, 0, ())}
