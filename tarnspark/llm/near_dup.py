@@ -7,7 +7,7 @@ share a sketch are verified by a banded alignment (longest common subsequence wi
 the shingle sequences: common / (a + b - common) >= 0.8.
 
 Equal texts are first folded into one representative. A sketch shared by up to ``SMALL`` representatives gives all its pairs. In a larger one each
-member meets the hub, the member that shares most sketches with others; where that leaves several components, the sketch is split by the members'
+member meets the hub, the member that shares most sketches with others, and two more; where that leaves several components, the sketch is split by the members'
 next sketches, each part with a hub of its own, ``LEVELS`` times. Members that no hub took are then compared with all members of the large sketches they are in, and of
 those members' components, by an exact prefix-filter join on their rarest shingles (rare by a counter table of fixed size, so only prefixes are shuffled). No step pairs the members of a large sketch that a hub took with each other.
 
@@ -154,16 +154,19 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 def _pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs of buckets (key, band, id, n, comp, weight, c) and the rows of large buckets with their hub: all pairs of
-    a small bucket, each member and the hub, the member of most weight, in a large one. Only small buckets are gathered; large ones meet a table of hubs."""
+    a small bucket; in a large one each member and the hub, the member of most weight, and two members by chance, whose groups then are one in the exact join, however
+    many links they have. Only small buckets are gathered; large ones meet a table of hubs."""
     small = rows.where(F.col("c") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*_MEMBER))).alias("m"))
     small = small.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.slice("m", F.col("i") + 2, F.lit(SMALL))).alias("y"))
     large = rows.where(F.col("c") > SMALL)
-    hubs = materialize(large.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("low"), *_MEMBER)).alias("hub")), "hubs")
-    large = materialize(large.join(lookup(hubs), "key").select("key", "band", "id", "n", "comp", "weight", F.struct(*[F.col(f"hub.{m}").alias(m) for m in _MEMBER]).alias("hub")), "large")
+    chance = F.struct(F.xxhash64("key", "id").alias("draw"), *_MEMBER)
+    hubs = large.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("low"), *_MEMBER)).alias("hub"), F.min(chance).alias("low"), F.max(chance).alias("high"))
+    hubs = materialize(hubs.select("key", F.array(*[F.struct(*[F.col(f"{h}.{m}").alias(m) for m in _MEMBER]) for h in ("hub", "low", "high")]).alias("hubs")), "hubs")
+    large = materialize(large.join(lookup(hubs), "key").select("key", "band", "id", "n", "comp", "weight", "hubs"), "large")
     drop(hubs)
-    pairs = small.unionByName(large.select(F.col("hub").alias("x"), F.struct(*_MEMBER).alias("y"))).where(_NEAR)
+    pairs = small.unionByName(large.select(F.explode("hubs").alias("x"), F.struct(*_MEMBER).alias("y"))).where(_NEAR)
     pairs = materialize(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
-    return pairs, large.drop("comp").withColumn("hub", F.col("hub.id"))
+    return pairs, large.select("key", "band", "id", "n", "weight", F.col("hubs")[0]["id"].alias("hub"))
 
 
 def shingle_counts(docs: DataFrame) -> np.ndarray:
@@ -287,9 +290,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns: the one with the least doc_id. Documents without an id have no
-    class and go; of several rows with one doc_id any one stays."""
+    class and go; of several rows with one doc_id the one with the least text stays, then the one whose columns are the least as JSON."""
     kept = near_duplicates(docs).where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
     kept = materialize(kept, "kept")
     once = docs.join(kept.where("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    twice = docs.join(lookup(kept.where("_n > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = docs.join(lookup(kept.where("_n > 1").select("doc_id")), "doc_id", "left_semi")
+    twice = twice.groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("_row")).select("_row.*")
     return once.unionByName(twice)

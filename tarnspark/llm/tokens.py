@@ -7,13 +7,14 @@ skippable frame at the end of the file. Any zstandard reader decodes the whole f
 frames that hold the documents asked for, and checks their checksums.
 
 Documents are range-partitioned by doc_id and sorted inside a task, which streams its shard to a file of its own
-in the shared folder and renames it when it is whole: a task that runs again, or twice, leaves the same file.
+in the shared folder and renames it when it is whole: a task that runs again, or twice, makes the same file, and the first that is whole stays. What tasks
+that were lost left behind is deleted at the end.
 The files are then read back by tasks of their own.
 
 Encoding is cached, for all tasks of a worker, by the parts between blanks: the byte-level pre-tokenizer never joins characters across a
 blank that is followed by a visible character, and merges stay inside pre-tokens, so the ids of a part never depend on its neighbours. Each new part is encoded by the tokenizer. Texts with
 other blanks are split into pre-tokens first; those with a special token's string, or with characters that this
-splitter might treat otherwise than the tokenizer, are encoded whole.
+splitter might treat otherwise than the tokenizer, are encoded whole, and so is every text if the vocabulary isn't a plain byte-level one.
 
 Defined cases: null and empty texts are the end id alone; a null doc_id sorts first and is kept null; repeated rows
 are each written; an empty table writes no shard and gives no row.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import io
+import json
 import os
 import re
 import struct
@@ -69,6 +71,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known, self.old = Tokenizer.from_file(path), limit, {}, {}
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        split = made.get("pre_tokenizer") or {}
+        self.by_parts = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and made.get("normalizer") is None
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,7 +95,7 @@ class Encoder:
         parts: list[list[str]] = []
         odd: list[str] = []
         for x in texts:
-            if _WORD_MARK in x or _PLAIN.fullmatch(x) is None:
+            if not self.by_parts or _WORD_MARK in x or _PLAIN.fullmatch(x) is None:
                 parts.append([])
                 odd.append(x)
             elif x.endswith(" ") or any(pair in x for pair in _DOUBLE):
@@ -213,6 +219,30 @@ def _filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
 
 
+def _is_file(fs, path: str) -> bool:
+    return fs.get_file_info(path).type == pafs.FileType.File
+
+
+def _settle(fs, own: str, final: str) -> None:
+    """Give a whole file its name, unless another run of the task has done so: not every store replaces a file by a rename."""
+    if not _is_file(fs, final):
+        try:
+            fs.move(own, final)
+            return
+        except OSError:
+            if not _is_file(fs, final):
+                raise
+    fs.delete_file(own)
+
+
+def _sweep(uri: str) -> None:
+    """Delete what lost tasks have left."""
+    fs, folder = _filesystem(uri)
+    for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        if f.path.endswith(".tmp"):
+            fs.delete_file(f.path)
+
+
 def write_shards(docs: DataFrame, uri: str, vocabulary: str, shards: int | None = None) -> DataFrame:
     """Write ``docs`` below ``uri`` and return shard, n_docs, n_ids and path of each file, in ascending doc_id order."""
 
@@ -238,7 +268,7 @@ def write_shards(docs: DataFrame, uri: str, vocabulary: str, shards: int | None
         if writer is not None:
             writer.close()
             out.close()
-            fs.move(own, final)
+            _settle(fs, own, final)
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(writer.entries)], pa.int64()), pa.array([total], pa.int64()), pa.array([final])], ["shard", "n_docs", "n_ids", "path"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -273,4 +303,5 @@ def tokenize(docs: DataFrame, vocabulary: str | None = None, uri: str | None = N
     uri = uri or new_path(spark, "tokens")
     files = write_shards(docs, uri, vocabulary or tokenizer_path())
     listing = spark.createDataFrame(files.collect(), "shard int, n_docs long, n_ids long, path string")  # one row a file
+    _sweep(uri)
     return read_shards(listing, uri)

@@ -102,8 +102,11 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = slim.withColumn("rule", rule).withColumn("by_rule", verdict)
     hits = listed_hits(judged.where("rule is null"), listed).withColumn("listed", F.lit(True))
-    out = judged.join(hits, ["host", "path"], "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))
+    # urls with a rule or without a host are never looked up, so that they are no common key
+    asked = F.col("rule").isNull() & (F.col("host") != "")
+    looked_up = judged.where(asked).join(lookup(hits), ["host", "path"], "left").withColumn("by_rule", F.when(F.col("listed"), "block").otherwise("allow"))
+    out = judged.where(~asked).unionByName(looked_up.select(*judged.columns))
+    return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.lit("allow")).alias("verdict"))
 
 
 def default_list(spark: SparkSession) -> DataFrame:

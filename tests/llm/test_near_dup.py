@@ -95,6 +95,8 @@ def test_stage_and_edges(spark):
     assert sorted((r.doc_id or -1, r.class_id or -1) for r in N.near_duplicates(docs).collect()) == [(-1, -1), (3, 3), (3, 3), (5, 3), (9, 9), (10, 10)]
     out = N.keep_one(docs)
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [3, 9, 10]
+    same = spark.createDataFrame([(1, "b c", "x", 1), (1, "a c", "z", 2), (1, "a c", "y", 3)], "doc_id long, text string, lang string, id int")
+    assert [tuple(r) for r in N.keep_one(same).collect()] == [(1, "a c", "y", 3)]
     assert N.near_duplicates(docs.limit(0)).count() == 0 and N.keep_one(docs.limit(0)).count() == 0
 
 
@@ -169,7 +171,7 @@ def test_tables_grow_with_a_group_not_with_its_square(spark, monkeypatch):
         N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).count()
         made.append(dict(rows))
     assert made[1]["prefixes"] > 0
-    assert all(made[1][t] <= 6 * max(made[0][t], 150) for t in made[1]), made
+    assert all(made[1][t] <= 6 * max(made[0][t], 150) for t in made[1]), {t: (made[0][t], made[1][t]) for t in made[1]}
 
 
 def test_very_long_text(spark):

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -73,3 +74,47 @@ def test_outliers_below_the_fixed_limits(spark):
     rows += [(2000 + i, repeats + f" {i}", "en", "b") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert {r.doc_id for r in Q.judge(df).where("not kept").collect()} == {1000, 1001}
+
+
+def quantile(values, p):
+    return sorted(values)[max(0, math.ceil(p * len(values)) - 1)]
+
+
+def brute_kept(rows, min_docs):
+    """doc -> kept by exact quantiles of the group, or else of its language, or else of the corpus. rows: (doc_id, text, lang, source)."""
+    measured = {}
+    for d, t, lang, source in rows:
+        n, chars, symbols, dup, repeat = brute(t)
+        lines = sum(bool(WORD.search(x)) for x in (t or "").split("\n"))
+        measured[d] = (lang, source, n, {"symbol_ratio": symbols / max(chars, 1), "dup_line_ratio": dup / max(lines, 1), "repeat_ratio": repeat / max(n, 1), "word_length": chars / max(n, 1)}, n < 50 or 100 * repeat > 50 * n)
+    out = {}
+    for d, (lang, source, _, own, failed) in measured.items():
+        ok = not failed
+        with_words = [m for m in measured.values() if m[2] > 0]
+        for group in ([m for m in with_words if m[:2] == (lang, source)], [m for m in with_words if m[0] == lang], with_words):
+            if len(group) >= min_docs or group is with_words:
+                break
+        for name, (least, up, down) in Q.MEASURES.items():
+            v = [m[3][name] for m in group]
+            middle = quantile(v, 0.5)
+            most = max(quantile(v, Q.TAIL), Q.FLOORS[name]) if name in Q.FLOORS else middle + up * max(quantile(v, 0.75) - middle, least)
+            low = middle - down * max(middle - quantile(v, 0.25), least) if down else -math.inf
+            ok &= low <= own[name] <= most
+        out[d] = ok
+    return out
+
+
+def test_kept_against_exact_quantiles(spark):
+    """Sketches of up to 200 values are exact, so the verdicts are those of sorted values."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source").dropDuplicates(["doc_id"])
+    rows = [tuple(r) for r in docs.collect()]
+    for least in (5, 20, 1000):
+        got = {r.doc_id: r.kept for r in Q.judge(docs, least).collect()}
+        want = brute_kept(rows, least)
+        assert got == want and 0 < sum(want.values()) < len(want)
+
+
+def test_very_long_text(spark):
+    text = "\n".join(" ".join(f"w{i}x{j}" for j in range(100)) for i in range(4000))
+    got = Q.judge(spark.createDataFrame([(1, text, "en", "a")], "doc_id long, text string, lang string, source string")).first()
+    assert (got.n_words, got.n_dup_lines, got.n_repeat_words) == (400_000, 0, 0)

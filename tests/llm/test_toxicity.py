@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -58,3 +59,41 @@ def test_ftrl_is_sparse():
     rows = [np.unique(np.append(r.integers(2, 5000, 40), [0] + [1] * (i % 2))) for i in range(400)]
     at, w = T.fit(rows, [i % 2 for i in range(400)], 5000)
     assert len(at) < 400 and dict(zip(at.tolist(), w.tolist(), strict=True))[1] > 1
+
+
+def test_fit_against_plain_ftrl():
+    """One row and one coordinate at a time, by the published update."""
+    r = random.Random(4)
+    rows = [np.array(sorted({0, *(r.randrange(1, 60) for _ in range(r.randrange(1, 12)))}), np.int32) for _ in range(300)]
+    labels = [int(5 in x or r.random() < 0.1) for x in rows]
+    dim, epochs = 60, 3
+    z, n = [0.0] * dim, [0.0] * dim
+
+    def weight(i):
+        if i and abs(z[i]) <= T.L1:
+            return 0.0
+        return -(z[i] - math.copysign(T.L1, z[i]) * (z[i] != 0)) / ((T.BETA + math.sqrt(n[i])) / T.ALPHA + T.L2)
+
+    order = np.arange(len(rows))
+    for epoch in range(epochs):
+        np.random.default_rng(epoch).shuffle(order)
+        for k in order:
+            w = {int(i): weight(int(i)) for i in rows[k]}
+            p = 1 / (1 + math.exp(-sum(w.values())))
+            for i, wi in w.items():
+                g = p - labels[k]
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / T.ALPHA
+                z[i] += g - sigma * wi
+                n[i] += g * g
+    want = {i: weight(i) for i in range(dim) if n[i] and weight(i)}
+    at, w = T.fit(rows, labels, dim, epochs)
+    got = dict(zip(at.tolist(), w.tolist(), strict=True))
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want) and 5 in got and len(got) < dim
+
+
+def test_very_long_text(spark):
+    rows, labels = corpus(300)
+    long = " ".join(f"w{i % 400}" for i in range(400_000))
+    docs = spark.createDataFrame([*rows, (5000, long), (5001, long + " scum")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in T.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert 0 <= got[5000] <= 1 and got[5001] > got[5000]
