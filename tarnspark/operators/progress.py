@@ -26,7 +26,7 @@ def latest_status(log: DataFrame, keys=("row_idx", "site_id")) -> DataFrame:
 
 def status_grid(rows: DataFrame, sites: DataFrame, latest: DataFrame) -> DataFrame:
     """Every row at every site; unknown and missing statuses are pending, missing attempts 0."""
-    grid = rows.select("row_idx").crossJoin(F.broadcast(sites))
+    grid = rows.select("row_idx").crossJoin(sites)
     status = F.when(F.col("status").isin(STATUSES), F.col("status")).otherwise("pending")
     return grid.join(latest.select("row_idx", "site_id", "status", "attempts"), ["row_idx", "site_id"], "left").select(*[c for c in grid.columns], status.alias("status"), F.coalesce("attempts", F.lit(0)).alias("attempts"))
 

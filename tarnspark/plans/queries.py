@@ -89,7 +89,7 @@ _PLUS = "replace(url_encode({0}), '%20', '+')"
 SELECT n_nationkey, p::INTEGER AS page, 'https://www.google.com/search?q=' || {_PLUS.format("k")} || '&uule=w+CAIQICI' || substr('{rules.UULE_ALPHABET}', octet_length(encode(l)) % 64 + 1, 1) || to_base64(encode(l)) || '&start=' || (p * 10) || '&num=10' AS search_url,
 'https://www.google.com/maps/search/' || url_encode(k || ' in ' || l) AS maps_url FROM n""")
 def q04_search_urls(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     n = n.crossJoin(spark.range(3).select(F.col("id").cast("int").alias("page")))
     k, place = F.concat("n_name", F.lit(" & more")), F.concat_ws(", ", "r_name", "n_name")
     return n.select("n_nationkey", "page", U.search_url(k, place, F.col("page")).alias("search_url"), U.maps_url(k, place).alias("maps_url"))
@@ -116,8 +116,25 @@ def q07_once_by_content(spark, sf_dir):
     return measured.join(first, "content_key").select("doc_id", "content_key", "n_text", "first_doc")
 
 
-@query()
+def _sql_text(piece: str, between: str) -> str:
+    """Text of a piece of markup: the parts between tags, trimmed, with ``between`` in between."""
+    s = f"regexp_replace({piece}, '<[^>]*>', chr(1), 'g')"
+    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        s = f"replace({s}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({s}, '(?:[\\s\\x01]*\\x01)+\\s*', '{between}', 'g'), ' \t\n\r')"
+
+
+_BLOCK_START = "</?(?:p|div|section|article|ul|ol|li|table|h[1-6]|address|footer|header|nav|form|body|html)[ />]"
+
+
+@query(f"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(substr(coalesce(html, ''), 1, {rules.MAX_HTML}), '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS x FROM pages),
+t AS (SELECT page_id, {_sql_text("regexp_extract(x, '(?is)<title>(.*?)</title>', 1)", "")} AS title,
+  list_transform(regexp_extract_all(x, '(?is)<h[123]>(.*?)</h[123]>', 1), lambda h: {_sql_text("h", "")}) AS heads,
+  list_filter(list_transform(list_transform(string_split(x, '<p>')[2:], lambda p: regexp_replace(p, '(?is){_BLOCK_START}.*$', '')), lambda p: {_sql_text("p", "")})[1:20], lambda p: length(p) > 15) AS paragraphs,
+  {_sql_text("regexp_extract(x, '(?is)<footer>(.*?)(?:</footer>|$)', 1)", " ")} AS footer, contains(x, '<footer>') AS has_footer FROM c)
+SELECT page_id, array_to_string(list_concat(['TITLE: ' || title], list_filter(heads, lambda h: h != ''), paragraphs, CASE WHEN footer != '' THEN ['FOOTER: ' || substr(footer, 1, {rules.MAX_FOOTER})] ELSE [] END), chr(10)) AS body FROM t""")
 def q08_html_to_text(spark, sf_dir):
+    """The first MAX_HTML characters of each page, as the operator defines. The SQL knows the markup of these tables only."""
     return table(spark, sf_dir, "pages").select("page_id", P.html_to_text(F.col("html")).alias("body"))
 
 
@@ -130,6 +147,7 @@ SELECT page_id,
  regexp_matches(lower(substr(html, 1, 30000)), '{_rx(rules.NO_REVIEW_PHRASES)}') AS no_reviews,
  length(html) > 500 AND NOT regexp_matches(lower(substr(html, 1, 500)), '404|not found') AS valid_contact FROM t""")
 def q09_page_states(spark, sf_dir):
+    """Block checks look at the heads of pages, as the operators define."""
     h, u = F.col("html"), F.col("url")
     t = F.regexp_extract(h, "<title>([^<]*)", 1)
     return table(spark, sf_dir, "pages").select(
@@ -199,6 +217,7 @@ def q13_top_reviews(spark, sf_dir):
 
 
 def _turns(spark, sf_dir, n=5):
+    """Conversations as nested reviews: the first ``n`` turns of each, since the cap is part of the nesting."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("role").alias("author"), (F.col("turn") % 5 + 1).cast("double").alias("rating"), F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("date"), "text", "turn")
     return keyed.nest_top(turns, ["conv_id"], [F.asc("turn"), F.asc("author"), F.asc("text")], ["author", "rating", "date", "text"], n, "reviews")
 
@@ -263,7 +282,7 @@ def q19_retry_targets(spark, sf_dir):
 
 @query("""SELECT n_name AS state, count(*) AS n, count(DISTINCT c_mktsegment || '|' || (c_custkey % 97)) AS n_keys FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL ORDER BY n DESC, state LIMIT 10""")
 def q20_states(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     per = c.groupBy(F.col("n_name").alias("state")).agg(F.count("*").alias("n"), F.count_distinct(F.concat_ws("|", "c_mktsegment", (F.col("c_custkey") % 97).cast("string"))).alias("n_keys"))
     return keyed.top_n(per, [F.desc("n"), F.asc("state")], 10)
 
