@@ -1,7 +1,8 @@
 """Suffix-array dedup: remove every byte covered by a ``WINDOW``-byte string that also starts earlier.
 
 The comparison of suffixes is spread over the cluster by content and each part is sorted by the difference-cover algorithm (``suffix_array``:
-name sampled triples, recurse on the names, merge the other suffixes), after which equal prefixes are adjacent.
+name sampled triples, recurse on the names, merge the other suffixes), after which equal prefixes are adjacent. ``difference_cover`` is the same algorithm with every sort, naming
+and merge as tables, for whole texts; README gives the disk that it takes, which is why this operator sorts what is left after step 2 instead.
 
 1. ``anchors``: each window of ``WINDOW`` bytes picks the least hashed ``GRAM``-byte string within it, so equal windows pick equal strings at equal
    offsets. A run of windows with one pick is one anchor row: about 3 rows for 100 bytes, each with a hash of the text its windows span.
@@ -28,6 +29,8 @@ from tarnspark.llm.common import drop, lookup, materialize, with_docs
 from tarnspark.llm.words import mix, utf8
 
 WINDOW, GRAM, HOT, PIECE = 100, 32, 200_000, 8_000_000
+#: Anchors that a task of the comparison gets.
+TASK_ANCHORS = 2_000_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _ANCHOR = "gram long, span long, doc_id long, lo int, hi int, dup boolean"
 _NAMES = ["gram", "span", "doc_id", "lo", "hi", "dup"]
@@ -276,6 +279,7 @@ def repeated_runs(slim: DataFrame, hot: int = HOT) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     found = materialize(slim.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
     live = found.where("not dup")
+    parts = max(parts, -(-live.count() // TASK_ANCHORS))
     # a sample decides which way a gram is judged, not the result
     step = max(1, hot // 1000)
     often = live.where(F.pmod(F.xxhash64("doc_id", "lo"), F.lit(step)) == 0).groupBy("gram").count().where(F.col("count") * step > hot).select("gram")

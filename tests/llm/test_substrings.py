@@ -74,3 +74,27 @@ def test_nulls_repeats_and_empty(spark):
     got = S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or -1, r.n_removed) for r in got) == [(-1, 0), (1, 0), (1, 0), (2, 0), (2, 0), (3, 300)]
     assert S.dedup_substrings(spark.createDataFrame([], "doc_id long, text string, runs int, kept int")).count() == 0
+
+
+def test_pieces_of_a_text_pick_alike(monkeypatch):
+    """Every window has the pick that it has without a border; pieces meet without a gap."""
+    r = np.random.default_rng(7)
+    raw = r.integers(97, 101, 5000).astype(np.uint8)
+
+    def picks(piece):
+        monkeypatch.setattr(S, "PIECE", piece)
+        gram, _, lo, hi = S.anchors_of(raw, S.Rolling())
+        return {p: g for g, a, z in zip(gram.tolist(), lo.tolist(), hi.tolist(), strict=True) for p in range(a, z + 1)}
+
+    whole = picks(8_000_000)
+    assert sorted(whole) == list(range(len(raw) - S.WINDOW + 1))
+    assert all(picks(piece) == whole for piece in (1, 333, 1000, 4901))
+
+
+def test_text_beyond_one_piece(spark):
+    r = random.Random(5)
+    passage = "".join(r.choice("abcdefgh") for _ in range(300))
+    filler = np.random.default_rng(1).integers(97, 123, S.PIECE + 400_000).astype(np.uint8).tobytes().decode()
+    long = filler[: S.PIECE - 150] + passage + filler[S.PIECE - 150 :]
+    got = {x.doc_id: x.n_removed for x in S.dedup_substrings(spark.createDataFrame([(1, passage), (2, long), (3, "z" + passage)], "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 300, 3: 300}
