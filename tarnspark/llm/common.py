@@ -16,7 +16,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset and the master is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tarnspark-")
         spark.conf.set("spark.checkpoint.dir", path)

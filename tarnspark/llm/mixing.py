@@ -23,9 +23,10 @@ WEIGHTS, BUDGET, MAX_REPEAT, SLICES, LEVELS = (5.0, 2.0, 1.0), 1.5, 2.0, 256, 3
 
 
 def document_sizes(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """doc_id, source, size and u in (0, 1), a hash of doc_id and text."""
+    """doc_id, source, size and u in (0, 1), a digest of doc_id and text that other engines compute alike."""
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    drawn = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    u = (F.conv(F.substring(drawn, 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), u.alias("u"))
 
 

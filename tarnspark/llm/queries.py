@@ -85,9 +85,76 @@ FROM best b LEFT JOIN hit ON b.host = hit.host
 """
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(greatest(0, length(h) // 2 - 99))) AS i FROM d)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1
+), islands AS (
+  SELECT doc_id, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again)
+), spans AS (
+  SELECT doc_id, min(i) AS b, max(i) + 100 AS e FROM islands GROUP BY doc_id, island
+), pieces AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS x, b AS y FROM spans
+  UNION ALL SELECT doc_id, coalesce(max(e), 0), max(length(h)) // 2 FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS k FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, max(length(h)) // 2 AS n_bytes, coalesce(sum(e - b), 0)::BIGINT AS n_removed, count(e) AS n_spans, max(sha256(unhex(k))) AS kept_sha256
+FROM d LEFT JOIN spans USING (doc_id) JOIN kept USING (doc_id) GROUP BY doc_id
+"""
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP3_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), i AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (SELECT DISTINCT item, k, w[s:s + k - 1] AS win FROM (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)
+), found AS (
+  SELECT r, item, s, k FROM (SELECT r, k, s, w[s:s + k - 1] AS win FROM (SELECT r, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS s FROM d, (SELECT DISTINCT k FROM windows))) JOIN windows USING (k, win)
+), hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM found) GROUP BY r
+), items AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+#: The pages of these tables have one article of h1 and p blocks each, with b and br inside.
+OP9_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g'), '(?is)<article>(.*?)</article>', 1) AS x FROM pages
+), t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(regexp_split_to_array(x, '</?(?:p|h1)(?:\s[^>]*)?>'), lambda s:
+  trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(s, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda s: s != ''), chr(10) || chr(10)) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""
+
+#: The draws are digests, so that the sample is the same here: ranks are summed by source in their order, and a rank is taken if half of it fits.
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    (('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM documents
+), own AS (
+  SELECT source, n, 2.0::DOUBLE * n AS most, CASE WHEN n > 0 THEN [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] ELSE 0 END AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY source)
+), part AS (
+  SELECT *, 1.5::DOUBLE * sum(n) OVER () AS total,
+    weight = 0 OR weight * ((1.5::DOUBLE * sum(n) OVER () - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / greatest(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1e-300)) >= most AS is_full
+  FROM own WINDOW o AS (ORDER BY CASE WHEN weight > 0 THEN most / weight ELSE -1 END, source NULLS FIRST)
+), goal AS (
+  SELECT source, n, CASE WHEN is_full THEN most ELSE weight * ((total - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER ()) / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ()) END AS target FROM part
+), plan AS (
+  SELECT d.*, n, target, floor(target / greatest(n, 1) + 1e-12)::BIGINT AS certain, target / greatest(n, 1) AS ratio FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
+), ranked AS (
+  SELECT *, target - certain * n AS need, (u / (1 - u)) / (least(greatest(ratio - certain, 1e-12), 1 - 1e-12) / (1 - least(greatest(ratio - certain, 1e-12), 1 - 1e-12))) AS rank FROM plan
+), summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank) AS upto, sum(size) OVER (PARTITION BY source, rank) AS tied FROM ranked
+)
+SELECT doc_id, size, n AS source_size, target, (size * least(certain + CASE WHEN need >= 0.5 AND upto - tied / 2.0::DOUBLE <= need THEN 1 ELSE 0 END, 2))::BIGINT AS taken FROM summed
+"""
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_urls": OP4_SQL}
+    return {"op2_substrings": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_urls": OP4_SQL, "op7_mixing": OP7_SQL, "op9_html": OP9_SQL}
