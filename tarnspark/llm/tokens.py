@@ -74,19 +74,44 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         split = made.get("pre_tokenizer") or {}
+        #: Whether an id begins with a blank; the byte-level alphabet writes one as the letter U+0120.
+        ids = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(ids.values(), default=0) + 1, bool)
+        self.blank[[i for t, i in ids.items() if t.startswith("\u0120")]] = True
         self.by_parts = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and made.get("normalizer") is None
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
+    def _words(self, words: list[str], at_once: int = 5_000) -> list[bytes]:
+        """The ids of words of letters, each behind a blank, as one text: a word is one pre-token, so its ids go from one id that begins with a blank to the next."""
+        out: list[bytes] = []
+        for i in range(0, len(words), at_once):
+            part = words[i : i + at_once]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self.blank[ids])
+            if len(starts) == len(part) and starts[0] == 0:
+                raw, ends = ids.tobytes(), (4 * np.r_[starts, len(ids)]).tolist()
+                out += [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            else:
+                out += self.whole([" " + p for p in part])
+        return out
 
     def _learn(self, new: set[str]) -> None:
         """Encodes new parts. A word with signs behind it is two pre-tokens, so it takes the ids of both."""
-        joined = {p: m for p in new if (m := _TAILED.fullmatch(p))}
-        need = new.difference(joined).union(*[(m[1], "\0" + m[2]) for m in joined.values()])
-        kept = {p: x for p in need if (x := self.old.get(p)) is not None}
-        fresh = list(need.difference(kept).difference(self.known))
-        self.known.update(kept)
-        self.known.update(zip(fresh, self.whole([p[1:] if p[0] == "\0" else " " + p for p in fresh]), strict=True))
+        words = [p for p in new if p.isalpha()]
+        others = new.difference(words)
+        joined = {p: m for p in others if (m := _TAILED.fullmatch(p))}
+        rest = [p for p in others if p not in joined]
+        words += {m[1] for m in joined.values()}.difference(self.known, new)
+        rest += {"\0" + m[2] for m in joined.values()}.difference(self.known, new)
+        if self.old:
+            kept = {p: x for ps in (words, rest) for p in ps if (x := self.old.get(p)) is not None}
+            self.known.update(kept)
+            words, rest = ([p for p in ps if p not in kept] for ps in (words, rest))
+        self.known.update(zip(words, self._words(words), strict=True))
+        self.known.update(zip(rest, self.whole([p[1:] if p[0] == "\0" else " " + p for p in rest]), strict=True))
         for p, m in joined.items():
             self.known[p] = self.known[m[1]] + self.known["\0" + m[2]]
 
