@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnspark.llm import decontaminate, html, lines, mixing, near_dup, quality, substrings, tokens, toxicity, urls
+from tarnspark.llm import context_tree, decontaminate, html, lines, merkle, mixing, near_dup, quality, substrings, tokens, toxicity, urls, whitening
 from tarnspark.llm.common import table
 
 
@@ -53,6 +53,19 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.audit(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's script stands at the top of the repository, beside this package."""
     import corpus_pipeline
@@ -152,9 +165,49 @@ SELECT doc_id, size, n AS source_size, target, (size * least(certain + CASE WHEN
 """
 
 
+def _hashed(text: str) -> str:
+    values = [f"coalesce(strlen({c})::VARCHAR || ':' || {c}, '-')" for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(values)})"
+
+
+#: ``up`` grows all trees at once, ``fold`` takes each leaf through the runs of its source's tree, ``refold`` through those of the tree of subroots; a CRC-32
+#: takes the id bit by bit.
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER () AS r, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: list_concat([ord(substr(doc_id::VARCHAR, i, 1))::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0])))), lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))) AS c FROM documents
+), leaves AS (
+  SELECT r, doc_id, source, {_hashed("text")} AS leaf, CASE WHEN xor(c, 4294967295) % 2 = 0 THEN {_hashed("replace(text, chr(10), '')")} END AS bad FROM d
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM leaves
+), up AS (
+  SELECT 0 AS height, source, place, n, leaf AS h FROM placed
+  UNION ALL SELECT height + 1, source, place // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY place)) FROM up WHERE n > 1 GROUP BY height, source, place // 3, n
+), runs AS (
+  SELECT height, source, place // 3 AS run, list(h ORDER BY place) AS hs FROM up WHERE n > 1 GROUP BY ALL
+), fold AS (
+  SELECT r, 0 AS height, source, place, n, coalesce(bad, leaf) AS h, '' AS proof FROM placed
+  UNION ALL SELECT r, fold.height + 1, fold.source, place // 3, (n + 2) // 3, sha256(array_to_string(list_concat(hs[:place % 3], [h], hs[place % 3 + 2:]), '')), proof || array_to_string(list_concat(hs[:place % 3], hs[place % 3 + 2:]), '')
+  FROM fold JOIN runs ON fold.height = runs.height AND fold.source IS NOT DISTINCT FROM runs.source AND place // 3 = run WHERE n > 1
+), roots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM up WHERE n = 1
+), over AS (
+  SELECT 0 AS height, place, n, subroot AS h FROM roots
+  UNION ALL SELECT height + 1, place // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY place)) FROM over WHERE n > 1 GROUP BY height, place // 3, n
+), overs AS (
+  SELECT height, place // 3 AS run, list(h ORDER BY place) AS hs FROM over WHERE n > 1 GROUP BY ALL
+), refold AS (
+  SELECT r, 0 AS height, roots.place, roots.n, h, proof FROM fold JOIN roots ON fold.source IS NOT DISTINCT FROM roots.source WHERE fold.n = 1
+  UNION ALL SELECT r, refold.height + 1, place // 3, (n + 2) // 3, sha256(array_to_string(list_concat(hs[:place % 3], [h], hs[place % 3 + 2:]), '')), proof || array_to_string(list_concat(hs[:place % 3], hs[place % 3 + 2:]), '')
+  FROM refold JOIN overs ON refold.height = overs.height AND place // 3 = run WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM placed JOIN (SELECT r, h, proof FROM refold WHERE n = 1) USING (r) JOIN roots ON placed.source IS NOT DISTINCT FROM roots.source, (SELECT h AS root FROM over WHERE n = 1)
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup, op11_whitening, op12_merkle, op13_context_tree, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substrings": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_urls": OP4_SQL, "op7_mixing": OP7_SQL, "op9_html": OP9_SQL}
+    return {"op2_substrings": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_urls": OP4_SQL, "op7_mixing": OP7_SQL, "op9_html": OP9_SQL, "op12_merkle": OP12_SQL}
