@@ -18,9 +18,9 @@ from tarnspark.functions import reviews as R
 from tarnspark.functions import rules
 from tarnspark.functions import text as X
 from tarnspark.functions import urls as U
-from tarnspark.operators import keyed, merge, progress, resolve, work_units
+from tarnspark.operators import keyed, merge, progress, resolve, temporal, work_units
 from tarnspark.sources.writers import export, export_headers
-from tarnspark.streaming import claims
+from tarnspark.streaming import claims, windows
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -476,3 +476,96 @@ def q39_reset(spark, sf_dir):
     state = latest.select("row_idx", "site_id", (F.col("status") == "done").alias("row_complete"))
     marked = progress.mark_complete(state, latest.where("row_idx % 2 = 0"))
     return again.join(marked, ["row_idx", "site_id"]).select("row_idx", "site_id", "status", "attempts", "row_complete")
+
+
+@query(f"""WITH a AS (SELECT row_idx, site_id, ts, seq FROM ({_LOG})), l AS (SELECT row_idx AS r, site_id AS s, ts AS as_of, seq AS q, status FROM ({_LOG}))
+SELECT row_idx, site_id, seq, CASE WHEN ts - as_of <= INTERVAL 5 DAY THEN as_of END AS as_of, CASE WHEN ts - as_of <= INTERVAL 5 DAY THEN status END AS status
+FROM (SELECT a.*, max(as_of) AS as_of, arg_max(status, (as_of, q)) AS status FROM a LEFT JOIN l ON r = row_idx AND s = site_id AND as_of < ts GROUP BY ALL)""")
+def q40_status_as_of(spark, sf_dir):
+    """The status that a row had at a site when each attempt began, if it is at most five days old."""
+    log = _log(spark, sf_dir)
+    before = log.select("row_idx", "site_id", F.col("ts").alias("since"), "seq", F.coalesce("status", F.lit("")).alias("status"))
+    found = temporal.asof_join(log.select("row_idx", "site_id", "ts", "seq"), before, ["row_idx", "site_id"], "ts", "since", ["status"], ("seq",), strict=True, tolerance=5 * 86_400)
+    return found.select("row_idx", "site_id", "seq", "as_of", F.nullif("status", F.lit("")).alias("status"))
+
+
+_COOL = "[0, 120, 240, 480, 3600, 86400][event_id % 6 + 1]"
+
+
+@query(f"""WITH c AS (SELECT user_id % 20 AS provider, event_id AS failure, ts AS s, ts + {_COOL} * INTERVAL 1 SECOND AS e FROM events WHERE event_type = 'error')
+SELECT event_id, provider, failure FROM events JOIN c ON user_id % 20 = provider AND s <= ts AND ts < e WHERE event_type != 'error'""")
+def q41_in_cooldown(spark, sf_dir):
+    """Attempts that fall in a cooldown of their provider, which lasts from seconds to a day."""
+    e = table(spark, sf_dir, "events").withColumn("provider", F.col("user_id") % 20)
+    length = F.element_at(F.array(*[F.lit(x) for x in (0, 120, 240, 480, 3600, 86400)]), (F.col("event_id") % 6 + 1).cast("int"))
+    failures = e.where("event_type = 'error'").select("provider", F.col("event_id").alias("failure"), F.col("ts").alias("s"), F.timestamp_add("SECOND", length, "ts").alias("e"))
+    return temporal.interval_join(e.where("event_type != 'error'").select("event_id", "provider", "ts"), failures, ["provider"], "ts", "s", "e", ["failure"]).select("event_id", "provider", "failure")
+
+
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate AS s, o_orderdate + (o_orderkey % 90) * INTERVAL 1 DAY AS e FROM orders)
+SELECT a.o_custkey, a.o_orderkey, b.o_orderkey AS other FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.s < b.e AND b.s < a.e WHERE a.s < a.e AND b.s < b.e""")
+def q42_overlaps(spark, sf_dir):
+    """Orders of one customer whose spans overlap, each with itself too."""
+    span = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("s"), F.timestamp_add("DAY", (F.col("o_orderkey") % 90).cast("int"), "o_orderdate").alias("e"))
+    other = span.withColumnRenamed("o_orderkey", "other")
+    return temporal.overlap_join(span, other, ["o_custkey"], ("s", "e"), ("s", "e"), ["other"]).select("o_custkey", "o_orderkey", "other")
+
+
+@query("""WITH w AS (SELECT event_type, user_id, value, unnest([date_trunc('day', ts) + (h * 6 - 18 + hour(ts) // 6 * 6) * INTERVAL 1 HOUR FOR h IN range(4)]) AS start FROM events)
+SELECT event_type, start::TIMESTAMPTZ::TIMESTAMP AS start, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS value FROM w GROUP BY ALL""")
+def q43_sliding(spark, sf_dir):
+    """Attempts of a day, every six hours, by type."""
+    e = table(spark, sf_dir, "events")
+    found = windows.windows(e, "ts", ["event_type"], "1 day", "6 hours", n=F.count("*"), users=F.count_distinct("user_id"), value=F.round(F.sum("value"), 4))
+    return found.select("event_type", "start", "n", "users", "value")
+
+
+def _drops(spark, sf_dir, second, tag):
+    """Folders of two drops, the stream over what has landed so far, and a function that lands the next one."""
+    folder, e = _scratch(spark, tag), table(spark, sf_dir, "events")
+    parts = iter([e.where(~second), e.where(second)])
+    landed = iter("12")
+
+    def land():
+        next(parts).write.parquet(f"{folder}/in/{next(landed)}")
+        return claims.read_drops(spark, f"{folder}/in/*", e.schema)
+
+    return land, f"{folder}/out", f"{folder}/check"
+
+
+_DROPS = """d AS (SELECT *, event_id % 3 = 0 AS second FROM events), w AS (SELECT date_trunc('milliseconds', max(ts) FILTER (NOT second)) - INTERVAL 1 DAY AS w1, date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS w2 FROM d)"""
+
+
+@query(f"""WITH {_DROPS}, k AS (SELECT * FROM d, w WHERE NOT second OR ts > w1)
+SELECT event_type, date_trunc('hour', ts) AS start, count(*) AS n, sum(value)::DECIMAL(18, 2)::DOUBLE AS value, (SELECT count(*) FROM d, w WHERE second AND ts <= w1) AS late
+FROM k, w WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= w.w2 GROUP BY event_type, date_trunc('hour', ts)""")
+def q44_hourly_stream(spark, sf_dir):
+    """Attempts an hour by type from two drops with a restart between them: rows of the second that are a day behind the first come too late."""
+    land, out, check = _drops(spark, sf_dir, F.col("event_id") % 3 == 0, "hourly")
+    late = 0
+    for _ in range(2):
+        kept = windows.on_time(land(), "ts", "1 day", ["event_id"])
+        late += windows.run_windows(windows.windows(kept, "ts", ["event_type"], "1 hour", n=F.count("*"), value=F.sum(F.col("value").cast("decimal(18,2)"))), out, check)
+    found = spark.read.schema("event_type string, start timestamp, end timestamp, n long, value decimal(28,2)").parquet(out)
+    return found.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.col("value").cast("double").alias("value"), F.lit(late).cast("long").alias("late"))
+
+
+_SESSIONS = """WITH s AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events), k AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM s)
+SELECT user_id, min(ts) AS first, max(ts) AS last, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors FROM k GROUP BY user_id, session"""
+
+
+@query(_SESSIONS)
+def q45_sessions(spark, sf_dir):
+    """Runs of attempts by user with gaps of at most six hours."""
+    return temporal.sessions(table(spark, sf_dir, "events"), ["user_id"], "ts", 6 * 3600, {"errors": (F.col("event_type") == "error").cast("int")})
+
+
+@query(f"SELECT * FROM ({_SESSIONS}) WHERE last + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)")
+def q46_stream_sessions(spark, sf_dir):
+    """The same runs from two drops that a restart parts: those that the watermark has closed."""
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    land, out, check = _drops(spark, sf_dir, F.col("ts") >= middle, "sessions")
+    for _ in range(2):
+        claims.run_available(windows.sessions(land().withWatermark("ts", "1 day"), "ts", ["user_id"], "6 hours", errors=F.count_if(F.col("event_type") == "error")), out, check)
+    found = spark.read.schema("user_id long, first timestamp, last timestamp, n long, errors long").parquet(out)
+    return found.select("user_id", F.col("first").cast("timestamp_ntz").alias("first"), F.col("last").cast("timestamp_ntz").alias("last"), "n", "errors")

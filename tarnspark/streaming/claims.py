@@ -41,12 +41,16 @@ def epoch_writer(sink: str):
     return lambda df, epoch: df.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
 
+def start_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", batch: Any = None):
+    """A query that processes what is there and stops."""
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return (writer.foreachBatch(batch) if batch else writer.format("parquet").option("path", sink)).start()
+
+
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", batch: Any = None) -> None:
     """Process what is there and stop. A restart from the checkpoint goes on after the last committed batch.
     Parquet sinks commit claims together with their output; ``batch`` (a foreachBatch function) replaces the sink."""
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    query = (writer.foreachBatch(batch) if batch else writer.format("parquet").option("path", sink)).start()
-    query.awaitTermination()
+    start_available(stream, sink, checkpoint, mode, batch).awaitTermination()
 
 
 def run_every(stream: DataFrame, sink: str, checkpoint: str, interval: str = "5 seconds"):
