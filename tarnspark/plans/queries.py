@@ -18,9 +18,10 @@ from tarnspark.functions import reviews as R
 from tarnspark.functions import rules
 from tarnspark.functions import text as X
 from tarnspark.functions import urls as U
-from tarnspark.operators import keyed, merge, progress, resolve, temporal, work_units
+from tarnspark.operators import keyed, merge, progress, resolve, summaries, temporal, work_units
+from tarnspark.sources import buckets, snapshots
 from tarnspark.sources.writers import export, export_headers
-from tarnspark.streaming import claims, windows
+from tarnspark.streaming import claims, retries, windows
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -569,3 +570,96 @@ def q46_stream_sessions(spark, sf_dir):
         claims.run_available(windows.sessions(land().withWatermark("ts", "1 day"), "ts", ["user_id"], "6 hours", errors=F.count_if(F.col("event_type") == "error")), out, check)
     found = spark.read.schema("user_id long, first timestamp, last timestamp, n long, errors long").parquet(out)
     return found.select("user_id", F.col("first").cast("timestamp_ntz").alias("first"), F.col("last").cast("timestamp_ntz").alias("last"), "n", "errors")
+
+
+@query(f"""WITH l AS (SELECT row_idx::VARCHAR AS key, status, epoch_us(ts) // 1000 AS t, seq FROM ({_LOG}) WHERE status IN ('done', 'not_found', 'blocked', 'error')),
+o AS (SELECT *, lag(status) OVER w AS was, lag(t) OVER w AS before, lead(t) OVER w AS next FROM l WINDOW w AS (PARTITION BY key ORDER BY t, seq)),
+g AS (SELECT *, sum(CASE WHEN was IS NULL OR was IN ('done', 'not_found') OR t - before >= 864000000 THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY t, seq) AS run FROM o),
+n AS (SELECT *, (row_number() OVER (PARTITION BY key, run ORDER BY t, seq) - 1) % 4 + 1 AS attempt, list(status) OVER (PARTITION BY key, run ORDER BY t, seq) AS so_far FROM g),
+r AS (SELECT *, t + least(10800000 * 2 ** (attempt - 1), 86400000)::BIGINT AS due, array_to_string(so_far[len(so_far) - attempt + 1:], ',') AS history FROM n WHERE status IN ('blocked', 'error'))
+SELECT key, 'pending' AS status, attempt::INTEGER AS attempt, make_timestamp(due * 1000) AS at, history FROM r WHERE attempt < 4 AND due <= coalesce(next, (SELECT epoch_us(max(ts)) // 1000 - 86400000 FROM events))
+UNION ALL SELECT key, 'exhausted', 4, make_timestamp(t * 1000), history FROM r WHERE attempt = 4""")
+def q47_retries(spark, sf_dir):
+    """Retries that fall due after each user's failed attempts, from two drops that a restart parts: backoffs of three hours to a day."""
+    land, out, check = _drops(spark, sf_dir, F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"), "retries")
+    status = F.try_element_at(F.create_map(*[F.lit(x) for kv in _STATUS.items() for x in kv]), F.col("event_type"))
+    for _ in range(2):
+        log = land().select(F.col("user_id").cast("string").alias("key"), status.alias("status"), "ts", F.col("event_id").alias("seq"))
+        with retries.rocksdb(spark):
+            claims.run_available(retries.retries(log, "1 day", first=3 * 3600, most=86_400, idle=10 * 86_400), out, check)
+    return spark.read.schema("key string, status string, attempt int, at timestamp, history string").parquet(out).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query("""WITH c AS (SELECT user_id::VARCHAR AS key, ts AS claimed_at FROM events WHERE event_type = 'click'), o AS (SELECT user_id::VARCHAR AS key, ts AS made_at FROM events WHERE event_type = 'purchase'),
+w AS (SELECT least(date_trunc('milliseconds', (SELECT max(claimed_at) FROM c)), date_trunc('milliseconds', (SELECT max(made_at) FROM o))) - INTERVAL 1 DAY AS w)
+SELECT c.key, claimed_at, made_at, CASE WHEN made_at IS NULL THEN 'free' ELSE 'done' END AS state FROM c LEFT JOIN o ON c.key = o.key AND made_at BETWEEN claimed_at AND claimed_at + INTERVAL 12 HOUR
+WHERE made_at IS NOT NULL OR claimed_at + INTERVAL 12 HOUR <= (SELECT w FROM w)""")
+def q48_settle_claims(spark, sf_dir):
+    """Claims with the outputs that came within twelve hours, and those set free, from two drops that a restart parts."""
+    land, out, check = _drops(spark, sf_dir, F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"), "settle")
+    for _ in range(2):
+        rows = land().withColumn("key", F.col("user_id").cast("string"))
+        claimed = rows.where("event_type = 'click'").select("key", F.col("ts").alias("claimed_at"))
+        made = rows.where("event_type = 'purchase'").select("key", F.col("ts").alias("made_at"))
+        claims.run_available(claims.settle(claimed, made, "1 day", "12 HOURS"), out, check)
+    found = spark.read.schema("key string, claimed_at timestamp, made_at timestamp, state string").parquet(out)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("claimed_at", "made_at")})
+
+
+@query("SELECT c_custkey, upper(c_name) AS c_name, c_custkey % 3 != 0 AS in_first FROM customer")
+def q49_snapshots(spark, sf_dir):
+    """A table in three commits: written, added to, replaced by what was read from it; then its last version beside its first."""
+    at, c = _scratch(spark, "snapshots") + "/customers", table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    first = snapshots.replace(c.where("c_custkey % 3 != 0"), at)
+    snapshots.append(c.where("c_custkey % 3 = 0"), at)
+    last = snapshots.replace(snapshots.read(spark, at).withColumn("c_name", F.upper("c_name")), at)
+    old = snapshots.read(spark, at, first).select("c_custkey", F.lit(True).alias("in_first"))
+    return snapshots.read(spark, at, last).join(old, "c_custkey", "left").withColumn("in_first", F.coalesce("in_first", F.lit(False)))
+
+
+@query("SELECT o_orderkey, c_name, c_acctbal FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def q50_bucketed_lookup(spark, sf_dir):
+    """Orders with their customers, both bucketed by customer."""
+    at, tag = _scratch(spark, "buckets"), uuid.uuid4().hex
+    buckets.write_bucketed(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey"), f"orders_{tag}", "key", 8, f"{at}/orders")
+    buckets.write_bucketed(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_acctbal"), f"customers_{tag}", "key", 8, f"{at}/customers")
+    return buckets.lookup(spark, f"orders_{tag}", f"customers_{tag}", "key").select("o_orderkey", "c_name", "c_acctbal")
+
+
+@query(f"""SELECT site_id, status, date_trunc('day', ts)::DATE AS day, grouping(site_id, status, date_trunc('day', ts)::DATE) AS level, count(*) AS n, count(DISTINCT row_idx) AS rows FROM ({_LOG})
+GROUP BY GROUPING SETS ((site_id, status, date_trunc('day', ts)::DATE), (site_id, status), (site_id), (), (date_trunc('day', ts)::DATE))""")
+def q51_totals(spark, sf_dir):
+    """Attempts and rows by site, status and day, with all their subtotals, and by day."""
+    log = _log(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    dims = ["site_id", "status", "day"]
+    return summaries.totals(log, [*summaries.rollup(dims), ["day"]], {"n": F.count("*"), "rows": F.count_distinct("row_idx")})
+
+
+@query("""SELECT event_type, date_trunc('week', ts)::DATE AS week, count(DISTINCT value) AS exact, true AS near FROM events GROUP BY ALL""")
+def q52_distinct_sketches(spark, sf_dir):
+    """Distinct values by type and week from sketches of days, and whether they are within six standard errors of the exact number."""
+    e = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("date").alias("day"), F.round(F.col("value") * 1_000_000).cast("long").alias("value"))
+    week = lambda df: df.withColumn("week", F.trunc("day", "week"))
+    about = summaries.distinct_of(week(summaries.distinct_sketches(e, ["event_type", "day"], "value")), ["event_type", "week"])
+    exact = week(e).groupBy("event_type", "week").agg(F.count_distinct("value").alias("exact"))
+    near = F.abs(F.col("about") - F.col("exact")) <= F.greatest(F.lit(1.0), 6 * 0.83 / 64 * F.col("exact"))
+    return exact.join(about, ["event_type", "week"]).select("event_type", "week", "exact", near.alias("near"))
+
+
+@query("""SELECT l_partkey, count(*) AS exact, true AS near FROM lineitem WHERE l_shipdate >= '1995-01-01' GROUP BY l_partkey""")
+def q53_count_sketches(spark, sf_dir):
+    """How often parts were shipped since 1995, from sketches of months, and whether that is in bounds of the exact number."""
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
+    late = li.where("month >= '1995-01-01'")
+    exact = late.groupBy("l_partkey").agg(F.count("*").alias("exact"))
+    months = summaries.count_sketches(li, ["month"], "l_partkey", 8192).where("month >= '1995-01-01'")
+    about = summaries.counts_of(months, exact.select("l_partkey"), "l_partkey", 8192)
+    rows = late.count()
+    return exact.join(about, "l_partkey").select("l_partkey", "exact", F.col("about").between(F.col("exact"), F.col("exact") + F.ceil(F.lit(2.72 / 8192 * rows))).alias("near"))
+
+
+@query(f"""SELECT seq, site_id, count(*) OVER w AS n, count(*) FILTER (status IN ('blocked', 'error')) OVER w AS failed FROM ({_LOG}) WINDOW w AS (PARTITION BY site_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)""")
+def q54_error_rates(spark, sf_dir):
+    """Attempts and failures at the site in the day up to each attempt."""
+    failed = F.coalesce(F.col("status").isin("blocked", "error"), F.lit(False)).cast("long")
+    return temporal.moving_sums(_log(spark, sf_dir).select("seq", "site_id", "ts", "status"), ["site_id"], "ts", 86_400, {"n": F.lit(1), "failed": failed}).select("seq", "site_id", "n", "failed")

@@ -56,3 +56,14 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "ap
 def run_every(stream: DataFrame, sink: str, checkpoint: str, interval: str = "5 seconds"):
     """A standing query that commits every ``interval``."""
     return stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=interval).format("parquet").option("path", sink).start()
+
+
+def settle(claimed: DataFrame, outputs: DataFrame, delay: str, limit: str) -> DataFrame:
+    """Claims (key, claimed_at) joined with outputs (key, made_at) that came within ``limit`` after them: a row for each claim and output with state ``done``, and
+    one with state ``free`` for a claim that the watermark has left without any, so that the unit can be claimed again.
+
+    Both sides are streams; the time bound lets Spark drop either side's state once the other's watermark has passed it."""
+    left = claimed.select("key", "claimed_at").withWatermark("claimed_at", delay)
+    right = outputs.select(F.col("key").alias("_key"), "made_at").withWatermark("made_at", delay)
+    within = F.expr(f"key = _key AND made_at >= claimed_at AND made_at <= claimed_at + INTERVAL {limit}")
+    return left.join(right, within, "leftOuter").select("key", "claimed_at", "made_at", F.when(F.col("made_at").isNull(), "free").otherwise("done").alias("state"))

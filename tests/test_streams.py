@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tarnspark.operators import temporal
-from tarnspark.streaming import claims, windows
+from tarnspark.streaming import claims, retries, windows
 
 DAY = dt.datetime(2024, 1, 1)
 SCHEMA = "id long, key string, ts timestamp"
@@ -53,3 +53,38 @@ def test_sessions_merge_across_drops(spark, tmp_path):
     want = [r for r in seconds(temporal.sessions(table, ["key"], "ts", 10), "key", "first", "last", "n") if r[0] != "z"]
     assert seconds(spark.read.parquet(f"{tmp_path}/out"), "key", "first", "last", "n") == want
     assert seconds(windows.sessions(table, "ts", ["key"], "10 seconds"), "key", "first", "last", "n")[:-1] == want
+
+
+LOG = "key string, status string, ts timestamp, seq long"
+
+
+def log(spark, folder, name, rows):
+    data = [(k, s, DAY + dt.timedelta(seconds=t), i) for i, (k, s, t) in enumerate(rows)]
+    spark.createDataFrame(data, LOG).coalesce(1).write.parquet(f"{folder}/{name}")
+    return claims.read_drops(spark, f"{folder}/*", spark.createDataFrame([], LOG).schema)
+
+
+def test_timers_send_failed_units_back(spark, tmp_path):
+    """Backoffs of 3, 6 and 12 seconds; a later attempt before the backoff is over takes its place, a terminal one forgets, the fourth exhausts, and state outlives a restart."""
+    run = lambda s: claims.run_available(retries.retries(s, "1 second", idle=100), f"{tmp_path}/out", f"{tmp_path}/check")
+    run(log(spark, f"{tmp_path}/in", "1", [("a", "blocked", 0), ("a", "error", 2), ("b", "blocked", 0), ("b", "done", 1), ("c", "error", 10), ("c", "error", 20), ("c", "error", 30), (None, "error", 0), ("d", "odd", 1), ("e", "error", 29)]))
+    want = [("a", "pending", 2, 8, "blocked,error"), ("c", "pending", 1, 13, "error"), ("c", "pending", 2, 26, "error,error")]
+    assert seconds(spark.read.parquet(f"{tmp_path}/out"), "key", "status", "attempt", "at", "history") == want
+    run(log(spark, f"{tmp_path}/in", "2", [("c", "error", 43), ("e", "not_found", 31), ("a", "blocked", 400), ("z", "done", 500)]))
+    want += [("a", "pending", 1, 403, "blocked"), ("c", "exhausted", 4, 43, "error,error,error,error"), ("c", "pending", 3, 42, "error,error,error")]  # a was forgotten at 102
+    assert seconds(spark.read.parquet(f"{tmp_path}/out"), "key", "status", "attempt", "at", "history") == sorted(want)
+
+
+def test_claims_are_settled_or_set_free(spark, tmp_path):
+    """An output in time, one too late, two outputs, none at all; a claim of the first drop meets its output in the second."""
+    def run(rows):
+        s = land(spark, f"{tmp_path}/in", str(rows[0][0]), rows)
+        claimed = s.where("id % 2 = 0").select("key", F.col("ts").alias("claimed_at"))
+        made = s.where("id % 2 = 1").select("key", F.col("ts").alias("made_at"))
+        claims.run_available(claims.settle(claimed, made, "5 seconds", "60 SECONDS"), f"{tmp_path}/out", f"{tmp_path}/check")
+        return seconds(spark.read.parquet(f"{tmp_path}/out"), "key", "claimed_at", "made_at", "state")
+
+    first = run([(0, "a", 0), (2, "b", 0), (4, "c", 10), (6, "d", 20), (1, "a", 60), (3, "b", 61), (5, "z", 50), (8, "y", 50)])
+    assert first == [("a", 0, 60, "done")]
+    second = run([(7, "c", 30), (9, "c", 70), (11, "x", 400), (10, "x", 400)])
+    assert sorted(second, key=repr) == sorted([("a", 0, 60, "done"), ("b", 0, None, "free"), ("c", 10, 70, "done"), ("d", 20, None, "free"), ("x", 400, 400, "done"), ("y", 50, None, "free")], key=repr)
