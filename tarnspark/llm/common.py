@@ -52,13 +52,13 @@ def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def with_docs(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` joined with ``rows`` of unique doc_id, whose cells can be large: only the ids are ever broadcast, so that texts of
+def with_docs(docs: DataFrame, rows: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``docs`` joined with ``rows`` of unique keys, whose cells can be large: only the keys are ever broadcast, so that texts of
     other documents aren't shuffled."""
-    ids = rows.select("doc_id")
+    ids = rows.select(*keys)
     if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        docs = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    return docs.join(rows.hint("merge"), "doc_id")
+        docs = docs.join(F.broadcast(ids), list(keys), "left_semi")
+    return docs.join(rows.hint("merge"), list(keys))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,15 +14,17 @@ and merge as tables, for whole texts; README gives the disk that it takes, which
    so that no task holds them all.
 4. The removed runs of a document meet its text again, in which they are merged and cut.
 
-Defined cases: null and empty texts have no bytes; rows without a doc_id are returned whole; rows with one doc_id count as one place, so
-repeated rows don't remove each other and are cut alike; rows with one doc_id and different texts are returned whole too; an empty table gives none.
+Defined cases: null and empty texts have no bytes; rows without a doc_id are returned whole and no place; rows of one doc_id and one text count as one place, so
+repeated rows don't remove each other and are cut alike; different texts of one doc_id follow each other in the order of their digests; a very long text is
+read in pieces; an empty table gives none; other columns, of whatever name, stay out. A place is a doc_id with the number of its text there (0 for nearly all) and an
+offset, both in one long.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnspark.llm.common import drop, lookup, materialize, with_docs
@@ -31,8 +33,11 @@ from tarnspark.llm.words import mix, utf8
 WINDOW, GRAM, HOT, PIECE = 100, 32, 200_000, 8_000_000
 #: Anchors that a task of the comparison gets.
 TASK_ANCHORS = 2_000_000
+#: An offset is the low 32 bits of a place, the number of the text the high ones.
+_SUB, _OFFSET = 32, 0xFFFFFFFF
+_PLACE = ("doc_id", "sub")
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_ANCHOR = "gram long, span long, doc_id long, lo int, hi int, dup boolean"
+_ANCHOR = "gram long, span long, doc_id long, lo long, hi long, dup boolean"
 _NAMES = ["gram", "span", "doc_id", "lo", "hi", "dup"]
 
 
@@ -105,15 +110,15 @@ def _anchor_rows(batches, flush: int = 24_000_000):
     def rows():
         gram, span, lo, hi, doc = (np.concatenate(x) for x in zip(*held, strict=True))
         order, dup = collapse(gram, span, doc, lo)
-        cells = [gram[order], span[order], doc[order], lo[order].astype(np.int32), hi[order].astype(np.int32), dup]
+        cells = [gram[order], span[order], doc[order], lo[order], hi[order], dup]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in cells], _NAMES)
 
     for b in batches:
-        for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+        for doc_id, sub, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "sub", "text")), strict=True):
             raw = np.frombuffer(utf8(text), np.uint8)
             if len(raw) >= WINDOW:
-                found = anchors_of(raw, rolling)
-                held.append((*found, np.full(len(found[0]), doc_id, np.int64)))
+                gram, span, lo, hi = anchors_of(raw, rolling)
+                held.append((gram, span, lo + (sub << _SUB), hi + (sub << _SUB), np.full(len(gram), doc_id, np.int64)))
                 size += len(raw)
                 if size >= flush:
                     yield rows()
@@ -221,9 +226,9 @@ def _cut_spans(batches):
         for doc_id, text, want in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("want").to_pylist(), strict=True):
             raw = utf8(text)
             for w in want:
-                for cell, x in zip(out, (w["gram"], doc_id, w["lo"], w["hi"] - w["lo"] + 1, raw[w["lo"] : w["hi"] + WINDOW]), strict=True):
+                for cell, x in zip(out, (w["gram"], doc_id, w["lo"], w["hi"] - w["lo"] + 1, raw[w["lo"] & _OFFSET : (w["hi"] & _OFFSET) + WINDOW]), strict=True):
                     cell.append(x)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["gram", "doc_id", "lo", "starts", "bytes"])
 
 
@@ -241,7 +246,7 @@ def _sort_spans(batches, block: int = 1_000_000):
             for x, y in zip(*_runs(mask), strict=True):
                 for cell, v in zip(out, (d, p + int(x), p + int(y)), strict=True):
                     cell.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())], ["doc_id", "lo", "hi"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["doc_id", "lo", "hi"])
 
     for b in batches:
         for row in zip(*[b.column(c).to_pylist() for c in ("gram", "doc_id", "lo", "starts", "bytes")], strict=True):
@@ -261,20 +266,24 @@ def _window_rows(batches):
         for doc_id, text, want in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("want").to_pylist(), strict=True):
             raw = np.frombuffer(utf8(text), np.uint8)
             sums = [rolling.sums(raw, k) for k in (0, 1)]
-            at = np.concatenate([np.arange(w["lo"], w["hi"] + 1) for w in want])
-            for cell, x in zip(out, (np.full(len(at), doc_id), at.astype(np.int32), *[rolling.of(sums[k], at, at + WINDOW, k).view(np.int64) for k in (0, 1)]), strict=True):
+            place = np.concatenate([np.arange(w["lo"], w["hi"] + 1) for w in want])
+            at = place & _OFFSET
+            for cell, x in zip(out, (np.full(len(at), doc_id), place, *[rolling.of(sums[k], at, at + WINDOW, k).view(np.int64) for k in (0, 1)]), strict=True):
                 cell.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["doc_id", "lo", "w0", "w1"])
 
 
-def _with_texts(rows: DataFrame, slim: DataFrame) -> DataFrame:
-    """doc_id, text and want, the rows (gram, lo, hi) of the document."""
-    want = materialize(rows.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("want")), "want")
-    return with_docs(slim, want)
+def _with_texts(want: DataFrame, slim: DataFrame) -> DataFrame:
+    return with_docs(slim, want, _PLACE).select("doc_id", "text", "want")
+
+
+def _wanted(rows: DataFrame) -> DataFrame:
+    """doc_id, sub and want, the rows (gram, lo, hi) of the text."""
+    return materialize(rows.groupBy("doc_id", F.shiftright("lo", _SUB).alias("sub")).agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("want")), "want")
 
 
 def repeated_runs(slim: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, lo, hi: runs of window starts that repeat an earlier window. ``slim``: unique doc_id, text."""
+    """doc_id, lo, hi: runs of window starts (places) that repeat an earlier window. ``slim``: doc_id, sub, text."""
     spark = slim.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     found = materialize(slim.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
@@ -283,21 +292,24 @@ def repeated_runs(slim: DataFrame, hot: int = HOT) -> DataFrame:
     # a sample decides which way a gram is judged, not the result
     step = max(1, hot // 1000)
     often = live.where(F.pmod(F.xxhash64("doc_id", "lo"), F.lit(step)) == 0).groupBy("gram").count().where(F.col("count") * step > hot).select("gram")
-    often = lookup(materialize(often, "often"))
-    rare = live.join(often, "gram", "left_anti")
+    often = materialize(often, "often")
+    rare = live.join(lookup(often), "gram", "left_anti")
     judged = materialize(rare.repartition(parts, "gram").mapInArrow(_by_gram, _ANCHOR), "judged")
-    spans = _with_texts(judged.where("not dup"), slim).mapInArrow(_cut_spans, "gram long, doc_id long, lo int, starts int, bytes binary")
-    sorted_runs = spans.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_sort_spans, "doc_id long, lo int, hi int")
+    wanted = [_wanted(judged.where("not dup"))]
+    spans = _with_texts(wanted[0], slim).mapInArrow(_cut_spans, "gram long, doc_id long, lo long, starts int, bytes binary")
+    sorted_runs = spans.repartition(parts, "gram").sortWithinPartitions("gram").mapInArrow(_sort_spans, "doc_id long, lo long, hi long")
     runs = sorted_runs.unionByName(judged.where("dup").select("doc_id", "lo", "hi")).unionByName(found.where("dup").select("doc_id", "lo", "hi"))
-    many = live.join(often, "gram", "left_semi")
+    many = live.join(lookup(often), "gram", "left_semi")
     if many.limit(1).count():
-        windows = materialize(_with_texts(many, slim).mapInArrow(_window_rows, "doc_id long, lo int, w0 long, w1 long"), "windows")
+        wanted.append(_wanted(many))
+        windows = materialize(_with_texts(wanted[1], slim).mapInArrow(_window_rows, "doc_id long, lo long, w0 long, w1 long"), "windows")
+        wanted.append(windows)
         first = windows.groupBy("w0", "w1").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count("*").alias("n")).where("n > 1").select("w0", "w1", "first")
         again = windows.join(first, ["w0", "w1"]).where(F.struct("doc_id", "lo") != F.col("first"))
         runs = runs.unionByName(again.select("doc_id", "lo", F.col("lo").alias("hi")))
     runs = materialize(runs, "runs")
-    drop(found)
-    drop(judged)
+    for table in (found, judged, often, *wanted):
+        drop(table)
     return runs
 
 
@@ -324,16 +336,32 @@ def _apply(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(kept, pa.binary()), pa.array(spans, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))], ["doc_id", "kept", "spans"])
 
 
+def _numbered(slim: DataFrame) -> DataFrame:
+    """doc_id, sub, text of the rows with a doc_id: sub numbers the different texts of a doc_id from 0. Only the ids are read to find those with several rows."""
+    again = materialize(slim.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    rows = slim.where("doc_id is not null")
+    if again.isEmpty():
+        drop(again)
+        return rows.select("doc_id", F.lit(0).cast("long").alias("sub"), "text")
+    again = lookup(again)
+    several = rows.join(again, "doc_id", "left_semi").withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    each = several.select("doc_id", "digest").distinct()
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest")) - 1
+    each = each.select("doc_id", "digest", number.cast("long").alias("sub"))
+    return rows.join(again, "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("sub"), "text").unionByName(several.join(each, ["doc_id", "digest"]).select("doc_id", "sub", "text"))
+
+
 def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, kept (binary) and spans (array of begin, end) of every row."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    odd = slim.groupBy("doc_id").agg((F.min(F.xxhash64("text")) != F.max(F.xxhash64("text"))).alias("odd")).where("odd or doc_id is null").select("doc_id")
-    odd = lookup(materialize(odd, "odd")).withColumnRenamed("doc_id", "_odd")
-    usable = slim.where("doc_id is not null").join(odd, F.col("doc_id") == F.col("_odd"), "left_anti")
-    runs = repeated_runs(usable, hot).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    usable = _numbered(slim)
+    found = repeated_runs(usable, hot)
+    offset = lambda c: F.col(c).bitwiseAND(_OFFSET).cast("int").alias(c)
+    runs = found.groupBy("doc_id", F.shiftright("lo", _SUB).alias("sub")).agg(F.collect_list(F.struct(offset("lo"), offset("hi"))).alias("runs"))
     runs = materialize(runs, "doc_runs")
-    cut = with_docs(usable, runs).select("doc_id", "text", "runs").mapInArrow(_apply, "doc_id long, kept binary, spans array<struct<begin:int,end:int>>")
-    whole = slim.join(lookup(runs.select(F.col("doc_id").alias("_cut"))), F.col("doc_id") == F.col("_cut"), "left_anti")
+    drop(found)
+    cut = with_docs(usable, runs, _PLACE).select("doc_id", "text", "runs").mapInArrow(_apply, "doc_id long, kept binary, spans array<struct<begin:int,end:int>>")
+    whole = usable.join(lookup(runs.select(*_PLACE)), list(_PLACE), "left_anti").select("doc_id", "text").unionByName(slim.where("doc_id is null"))
     whole = whole.select("doc_id", F.col("text").cast("binary").alias("kept"), F.expr("cast(array() as array<struct<begin:int,end:int>>)").alias("spans"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["begin"]))
     return cut.unionByName(whole).select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"), "kept", "spans")

@@ -72,10 +72,34 @@ def test_nulls_repeats_and_empty(spark):
     long = "".join(hashlib.md5(bytes([i])).hexdigest() for i in range(10))[:300]
     rows = [(None, long), (1, long), (1, long), (2, long), (2, long + "?"), (3, long)]
     got = S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted((r.doc_id or -1, r.n_removed) for r in got) == [(-1, 0), (1, 0), (1, 0), (2, 0), (2, 0), (3, 300)]
+    assert sorted((r.doc_id or -1, r.n_removed) for r in got) == [(-1, 0), (1, 0), (1, 0), (2, 300), (2, 300), (3, 300)]
     assert S.dedup_substrings(spark.createDataFrame([], "doc_id long, text string, runs int, kept int")).count() == 0
 
 
+def places(rows):
+    """n_removed of each row: texts of one doc_id follow each other by digest, equal ones are one place, rows without an id are none."""
+    keys = sorted({(d, hashlib.sha256((t or "").encode()).hexdigest(), t or "") for d, t in rows if d is not None})
+    cut = brute([(i, k[2]) for i, k in enumerate(keys)])
+    of = {(k[0], k[2]): cut[i] for i, k in enumerate(keys)}
+    none = lambda t: (len((t or "").encode()), 0, 0, hashlib.sha256((t or "").encode()).hexdigest())
+    return sorted(((d, of[d, t or ""] if d is not None else none(t)) for d, t in rows), key=repr)
+
+
+@pytest.mark.parametrize("hot", [3, 200_000])
+def test_shared_ids_match_brute_force(spark, hot):
+    """The texts of a doc_id count as earlier copies and lose bytes themselves."""
+    r = random.Random(11)
+    rows = [(r.randrange(12) if r.random() < 0.9 else None, t) for _, t in fixture() for _ in range(r.randrange(1, 3))]
+    got = S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), hot).collect()
+    assert sorted(((x.doc_id, (x.n_bytes, x.n_removed, len(x.spans), hashlib.sha256(bytes(x.kept)).hexdigest())) for x in got), key=repr) == places(rows)
+
+
+def test_two_texts_of_the_first_id(spark):
+    a, b = ("".join(hashlib.md5(f"{k}{i}".encode()).hexdigest() for i in range(14))[:419] for k in "ab")
+    got = S.dedup_substrings(spark.createDataFrame([(1, a), (1, b), (2, a), (3, a)], "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.n_removed) for x in got) == [(1, 0), (1, 0), (2, 419), (3, 419)]
+
+
 def test_pieces_of_a_text_pick_alike(monkeypatch):
     """Every window has the pick that it has without a border; pieces meet without a gap."""
     r = np.random.default_rng(7)
