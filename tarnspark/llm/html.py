@@ -4,17 +4,21 @@ A page is cut into blocks at block-level tags. Blocks inside menus, headers, foo
 adverts, forms and reader comments are boilerplate by their markup; blocks inside ``article`` (or ``main``, where a page has no
 ``article``) are content; the others are body. The token streams of everything outside the content are concatenated by host: every suffix of a stream, cut to ``RUN`` tokens, is a
 row, and the rows of all hosts are sorted across tasks by host and suffix (and page, so that no host and no suffix is a single task). Suffixes that equal those of ``PAGES`` distinct
-pages of the host or more mark a substring of ``RUN`` tokens or more that repeats, and body blocks mostly covered by such substrings go as boilerplate.
-What is left are the content blocks, the unique body of pages without ``article`` or ``main``, and beside an article the unique body blocks of ``RUN`` tokens or more.
+pages of the host or more mark a substring of ``RUN`` tokens or more that repeats; a block of fewer tokens is a suffix of its own, which ends with the block. Body blocks mostly covered
+by what repeats go as boilerplate. What is left are the content blocks and the unique body, beside an article too, whatever its length.
 Hosts without body blocks aren't sorted, since nothing hangs on their repeats.
 
+Names of classes and ids are read as whole words: all parts of a name must be of the lists below, and one of ``DROP_WORDS``, so that ``site-header`` drops an element
+and ``side-effects`` doesn't. Paragraphs and headings inside an article go for the name of an advert only.
+
 Defined cases: null and empty html give empty text; null urls are a host of their own; repeated pages count as distinct pages; null page_ids
-are kept; an empty table gives none; unclosed tags end with the next block or where an element around them
+are kept; an empty table gives none; a very long page is read in linear time, whole; unclosed tags end with the next block or where an element around them
 ends, and cut-off tags and comments end with the page; other columns aren't read.
 """
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from collections import Counter
@@ -25,37 +29,61 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import drop, lookup, materialize
+from tarnspark.llm.common import BROADCAST_ROWS, drop, lookup, materialize
 from tarnspark.llm.words import utf8
 
 RUN, PAGES = 8, 3
 #: Fixed word lists of HTML.
-BLOCK_TAGS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-DROP_TAGS = frozenset("aside button dialog footer form header menu nav select textarea".split())
-RAW_TAGS = frozenset("script style noscript template svg iframe object head math audio video canvas".split())
-VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROP_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|menu|nav\w*|breadcrumbs?|sidebar|side|header|masthead|footer|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|recommended|comments?|respond|replies|disqus|widget|toolbar|skip)(?:$|[\s_-])", re.I)
-DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
-#: Names that drop an inline element, too.
-ADVERT_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*)(?:$|[\s_-])", re.I)
+BLOCK_TAGS = frozenset((
+    "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead",
+    "title", "tr", "ul",
+))
+DROP_TAGS = frozenset(("aside", "button", "dialog", "footer", "form", "header", "menu", "nav", "select", "textarea"))
+RAW_TAGS = frozenset(("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "math", "audio", "video", "canvas"))
+VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
+DROP_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "toolbar"))
+TEXT_TAGS = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
+#: Words of names that drop an element, those of adverts an inline one and a paragraph of an article, too.
+ADVERT_WORDS = frozenset(("ad", "ads", "advert", "adverts", "advertisement", "advertisements", "advertising", "sponsor", "sponsors", "sponsored", "promo", "promos", "promotion"))
+DROP_WORDS = ADVERT_WORDS | frozenset((
+    "banner", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "sidebar", "side", "header", "masthead", "footer", "cookie", "cookies", "consent", "notice",
+    "notices", "alert", "alerts", "popup", "modal", "newsletter", "subscribe", "share", "sharing", "social", "related", "recommended", "comment", "comments", "respond", "replies",
+    "disqus", "widget", "widgets", "toolbar", "skip",
+))
+#: Words that may stand beside them in one name.
+PLACE_WORDS = frozenset((
+    "site", "page", "top", "bottom", "left", "right", "global", "primary", "secondary", "main", "item", "items", "list", "bar", "box", "block", "wrapper", "container", "inner",
+    "section", "area", "group", "link", "links", "button", "buttons", "icons", "article", "articles", "post", "posts", "entry", "form", "thread",
+))
 #: Every alternative ends at the next angle bracket, at a closing mark, or takes the rest of the page, so that a page is read in linear time.
 _TAG = re.compile(r"<!--(?:.*?-->|.*)|<!\[CDATA\[(?:.*?\]\]>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)[^<>]*+>?", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/<>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
 _MAIN = re.compile(r"<(?:article|main)[\s>]", re.I)
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th", "tr", "tbody", "tfoot"), "th": ("td", "th", "tr", "tbody", "tfoot"), "tr": ("tr", "tbody", "tfoot"), "thead": ("tbody", "tfoot"), "tbody": ("tbody", "tfoot")}
 OUT, BODY, CONTENT = 0, 1, 2
 
 
-def _dropped(tag: str, attributes: str) -> bool:
+@functools.lru_cache(4096)
+def _names(value: str, words: frozenset[str]) -> bool:
+    """Whether a class or id has a name whose parts are all of the lists, one of them of ``words``."""
+    for name in value.lower().split():
+        parts = [x for x in re.split("[-_]+", name) if x]
+        if any(x in words for x in parts) and all(x in DROP_WORDS or x in PLACE_WORDS for x in parts):
+            return True
+    return False
+
+
+def _dropped(tag: str, attributes: str, inside: bool) -> bool:
+    """inside: the tag stands in an article or main."""
     if tag in DROP_TAGS:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    if tag not in BLOCK_TAGS:
-        return any(name.lower() in ("class", "id") and ADVERT_NAMES.search("".join(values)) for name, *values in _ATTRIBUTE.findall(attributes))
+    words = DROP_WORDS if tag in BLOCK_TAGS and not (inside and tag in TEXT_TAGS) else ADVERT_WORDS
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values)
-        if name.lower() == "role" and value.lower() in DROP_ROLES or name.lower() in ("class", "id") and DROP_NAMES.search(value):
+        name, value = name.lower(), "".join(values)
+        if name == "role" and tag in BLOCK_TAGS and value.strip().lower() in DROP_ROLES or name in ("class", "id") and _names(value, words):
             return True
     return False
 
@@ -166,7 +194,7 @@ def _blocks(page: str, rescue: bool) -> list[tuple[int, str]]:
             close()
             skip = 0
         named = tag not in DROP_TAGS
-        if not skip and _dropped(tag, m[3] or "") and not (rescue and named and tag in names and not names["article"] and not names["main"]):
+        if not skip and _dropped(tag, m[3] or "", bool(names["article"] or names["main"])) and not (rescue and named and tag in names and not names["article"] and not names["main"]):
             if tag in BLOCK_TAGS or tag in DROP_TAGS:
                 close()
             else:
@@ -208,8 +236,21 @@ def stream(kinds: list[int], texts: list[str]) -> list[tuple[str, bool]]:
     return [(w, k == BODY) for k, t in zip(kinds, texts, strict=True) if k != CONTENT for w in t.split()]
 
 
+def short_blocks(kinds: list[int], texts: list[str]) -> list[tuple[int, int, int]]:
+    """(start in the stream, tokens, kind) of the blocks of under ``RUN`` tokens outside the content."""
+    out, at = [], 0
+    for k, t in zip(kinds, texts, strict=True):
+        if k != CONTENT:
+            n = len(t.split())
+            if n < RUN:
+                out.append((at, n, k))
+            at += n
+    return out
+
+
 def _suffixes(batches):
-    """Every suffix of a page's stream by its first ``RUN`` tokens (as hashes, end to end); own: whether it starts in a body block or reaches one."""
+    """Every suffix of a page's stream by its first ``RUN`` tokens (as hashes, end to end); own: whether it starts in a body block or reaches one.
+    A shorter block is also a suffix by itself, filled up with zeros, at the place -1 - its start."""
     for b in batches:
         host, page, place, own, suffix = [], [], [], [], []
         for h, p, kinds, texts in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("kinds").to_pylist(), b.column("texts").to_pylist(), strict=True):
@@ -221,6 +262,12 @@ def _suffixes(batches):
                 place.append(i)
                 own.append(any(x for _, x in tokens[i : i + RUN]))
                 suffix.append(names[8 * i : 8 * (i + RUN)])
+            for i, n, k in short_blocks(kinds, texts):
+                host.append(h)
+                page.append(p)
+                place.append(-1 - i)
+                own.append(k == BODY)
+                suffix.append(names[8 * i : 8 * (i + n)].ljust(8 * RUN, b"\0"))
         kinds = [pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((host, suffix, page, place, own), kinds, strict=True)], ["host", "suffix", "page", "place", "own"])
 
@@ -265,8 +312,13 @@ def _repeats(batches):
 
 def repeated(parsed: DataFrame) -> DataFrame:
     """page and places, the starts in its stream of substrings of ``RUN`` tokens found on ``PAGES`` pages of its host or more."""
-    hosts = lookup(parsed.where(F.array_contains("kinds", F.lit(BODY).cast("tinyint"))).select("host").distinct())
-    suffixes = materialize(parsed.join(hosts, "host", "left_semi").mapInArrow(_suffixes, "host string, suffix binary, page long, place int, own boolean"), "suffixes")
+    hosts = parsed.where(F.array_contains("kinds", F.lit(BODY).cast("tinyint"))).select("host").distinct()
+    if hosts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        asked = parsed.join(F.broadcast(hosts), "host", "left_semi")
+    else:  # texts are dealt by page: a host's pages are many
+        asked = parsed.join(parsed.select("page", "host").join(hosts, "host", "left_semi").select("page"), "page", "left_semi")
+    asked = asked.select("host", "page", "kinds", "texts")
+    suffixes = materialize(asked.mapInArrow(_suffixes, "host string, suffix binary, page long, place int, own boolean"), "suffixes")
     n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "suffix", "page"]  # all places of a suffix in a page are in one task
     found = materialize(suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_repeats, "host string, suffix binary, page long, place int, n long"), "repeats")
@@ -278,15 +330,18 @@ def repeated(parsed: DataFrame) -> DataFrame:
 
 def assemble(kinds: list[int], texts: list[str], places: list[int] | None) -> str:
     """The text of a page, given where repeated substrings of its stream start."""
-    words = [t.split() if k != CONTENT else [] for k, t in zip(kinds, texts, strict=True)]
-    on = np.zeros(sum(map(len, words)), bool)
+    words = [len(t.split()) if k != CONTENT else 0 for k, t in zip(kinds, texts, strict=True)]
+    on, short = np.zeros(sum(words), bool), {-1 - i: n for i, n, _ in short_blocks(kinds, texts)}
     for p in places or ():
-        on[p : p + RUN] = True
-    has_content, keep, at = CONTENT in kinds, [], 0
-    for k, t, w in zip(kinds, texts, words, strict=True):
-        again = len(w) and 2 * int(on[at : at + len(w)].sum()) >= len(w)
-        at += len(w)
-        if k == CONTENT or k == BODY and not again and (not has_content or len(w) >= RUN):
+        if p < 0:
+            on[-1 - p : -1 - p + short[p]] = True
+        else:
+            on[p : p + RUN] = True
+    keep, at = [], 0
+    for k, t, n in zip(kinds, texts, words, strict=True):
+        again = n and 2 * int(on[at : at + n].sum()) >= n
+        at += n
+        if k == CONTENT or k == BODY and not again:
             keep.append(t)
     return "\n\n".join(keep)
 

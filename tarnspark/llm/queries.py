@@ -49,6 +49,13 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def html_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages without the markup that tells articles from the rest: repeats on pages of a host alone decide every block."""
+    pages = table(spark, sf_dir, "pages")
+    plain = F.regexp_replace(F.regexp_replace("html", r"<(/?)(?:nav|article|footer)\b", "<$1div"), ' class="ad"', "")
+    return html.main_texts(pages.select("page_id", "url", plain.alias("html"))).select("page_id", "url", "text")
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -139,6 +146,21 @@ WITH a AS (SELECT page_id, url, regexp_extract(regexp_replace(coalesce(html, '')
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
 """
 
+#: Blocks end at every block tag of these pages; windows of eight tokens, and shorter blocks, count by the pages of a host that have them.
+HOSTS_SQL = r"""
+WITH a AS (SELECT page_id, url, coalesce(lower(regexp_extract(url, '://([^/?#]*)', 1)), '') AS host, regexp_extract(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g'), '(?is)<body[^>]*>(.*)', 1) AS x FROM pages
+), t AS (SELECT page_id, url, host, list_filter(list_transform(regexp_split_to_array(x, '(?i)</?(?:nav|article|footer|div|ul|li|p|h1|body|html)(?:\s[^>]*)?>'), lambda s:
+  trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(s, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda s: s != '') AS bs FROM a
+), w AS (SELECT *, flatten(list_transform(bs, lambda b: string_split(b, ' '))) AS ws FROM t
+), win AS (SELECT host, page_id, i, ws[i + 1:i + 8] AS s FROM (SELECT *, unnest(range(greatest(len(ws) - 7, 0))) AS i FROM w)
+), rep AS (SELECT host, s FROM win GROUP BY ALL HAVING count(DISTINCT page_id) >= 3
+), cov AS (SELECT DISTINCT page_id, unnest(range(i, i + 8)) AS p FROM win JOIN rep USING (host, s)
+), blk AS (SELECT *, sum(n) OVER (PARTITION BY page_id ORDER BY k) - n AS start FROM (SELECT page_id, host, k, bs[k] AS b, len(string_split(bs[k], ' ')) AS n FROM (SELECT *, unnest(range(1, len(bs) + 1)) AS k FROM t))
+), short AS (SELECT host, b FROM blk WHERE n < 8 GROUP BY ALL HAVING count(DISTINCT page_id) >= 3
+), kept AS (SELECT blk.page_id, k, b FROM blk LEFT JOIN cov ON cov.page_id = blk.page_id AND p >= start AND p < start + n WHERE NOT (n < 8 AND (host, b) IN (SELECT (host, b) FROM short)) GROUP BY blk.page_id, k, b, n HAVING 2 * count(p) < n)
+SELECT page_id, url, coalesce(string_agg(b, chr(10) || chr(10) ORDER BY k), '') AS text FROM pages LEFT JOIN kept USING (page_id) GROUP BY page_id, url
+"""
+
 #: The draws are digests, so that the sample is the same here: ranks are summed by source in their order, and a rank is taken if half of it fits.
 OP7_SQL = r"""
 WITH d AS (
@@ -206,8 +228,8 @@ FROM placed JOIN (SELECT r, h, proof FROM refold WHERE n = 1) USING (r) JOIN roo
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, op10_near_dup, op11_whitening, op12_merkle, op13_context_tree, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_substrings, op3_decontaminate, op4_urls, op5_tokens, op6_quality, op7_mixing, op8_lines, op9_html, html_hosts, op10_near_dup, op11_whitening, op12_merkle, op13_context_tree, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substrings": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_urls": OP4_SQL, "op7_mixing": OP7_SQL, "op9_html": OP9_SQL, "op12_merkle": OP12_SQL}
+    return {"op2_substrings": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_urls": OP4_SQL, "op7_mixing": OP7_SQL, "op9_html": OP9_SQL, "html_hosts": HOSTS_SQL, "op12_merkle": OP12_SQL}

@@ -1,5 +1,6 @@
 import random
 import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ PAGES = [
     ("<article><h1>T &amp; x</h1><p><b>One.<br><p>Two\n three&nbsp;four</article><footer>&copy; f</footer>", "T & x\n\nOne.\n\nTwo three four"),
     ("<body><nav><ul><li>m</ul></nav><main><p>a<p>b<div class='comments'><p>c</div></main><aside>s</aside>", "a\n\nb"),
     ("<html><head><title>t</title></head><body><div id=menu>m</div><h1>H</h1>x<script>var a='</p>'</script><style>p{}</style> y<form><p>f</form><!-- c --></body>", "H\n\nx y"),
-    ("<article>a<section class='article-header'>t</section><p>b<article class='comment'>c</article><aside>q</aside>d</article>e", "a\n\nb\n\nd"),
+    ("<article>a<section class='article-header'>t</section><p>b<article class='comment'>c</article><aside>q</aside>d</article>e", "a\n\nb\n\nd\n\ne"),
     ("<div class='cookie-notice'>n<div>m</div></div><p>left &lt;b&gt; &#233; &am</p><div class='ad'>ad</div>", "left <b> é &am"),
     ("plain text", "plain text"), (None, ""), ("", ""), ("<p", ""), ("<p>x<!-- never closed <p>y", "x"), ("<p>a</p><script>open", "a"), ("<div role='navigation'>r</div><p>k", "k"), ("<p class='download'>ads are fine</p>", "ads are fine"),
     ("<table><tr><td>1<td>2</table><ul><li>a<li>b</ul>", "1\n\n2\n\na\n\nb"),
@@ -46,14 +47,15 @@ def brute_texts(pages, run, least):
     out = {}
     for host in {h for _, h, _ in pages}:
         mine = [(i, H.blocks(x)) for i, h, x in pages if h == host]
+        whole = Counter(t for _, b in mine for t in {" ".join(t.split()) for k, t in b if k != H.CONTENT})
         streams = [[w for w, _ in H.stream([k for k, _ in b], [t for _, t in b])] for _, b in mine]
         for (i, b), on in zip(mine, brute_cover(streams, run, least), strict=True):
-            keep, at, content = [], 0, any(k == H.CONTENT for k, _ in b)
+            keep, at = [], 0
             for k, t in b:
                 n = 0 if k == H.CONTENT else len(t.split())
-                again = n and 2 * sum(on[at : at + n]) >= n
+                again = n and (2 * sum(on[at : at + n]) >= n or n < run and whole[" ".join(t.split())] >= least)
                 at += n
-                if k == H.CONTENT or k == H.BODY and not again and (not content or n >= run):
+                if k == H.CONTENT or k == H.BODY and not again:
                     keep.append(t)
             out[i] = "\n\n".join(keep)
     return out
@@ -109,12 +111,36 @@ INLINE = [
     ("<p>see <span class='ad'>buy</span> word</p>", "see word"),
     ("<p>a <b class='share'>b</b> c <ins class='ads'>x<p>d", "a b c\n\nd"),
     ("<p>a <ins class='ads'>x</ins><p>d", "a\n\nd"),
-    ("<article><p class='share'>s<p>real one<p>real two</article>", "real one\n\nreal two"),
+    ("<article><p class='share'>s<p>real one<p class='ad'>buy<p>real two</article>", "s\n\nreal one\n\nreal two"),
     ("<article><p>1 <b <i>2</i></article>", "1 2"),
     ("<p>x<![CDATA[ < raw &amp; ]]>y", "x < raw &amp; y"),
 ]
 
 
+NAMES = [
+    ('<article><p data-id="share">real text</p><p>two</p></article>', "real text\n\ntwo"),
+    ('<article><div data-role="search">real</div></article>', "real"),
+    ("<article><div title='a class=menu item'>real</div></article>", "real"),
+    ('<article><p class="side-effects">a</p><p id=alert-rules>b</p><div class="notice-period">c</div><h2 id="related">Related work</h2></article>', "a\n\nb\n\nc\n\nRelated work"),
+    ("<main><p>long main text</p><article><p>teaser</p></article></main>", "long main text\n\nteaser"),
+    ("<div CLASS='x site-header'>h</div><div id=post_comments>c</div><div class=share-buttons>s</div><div ROLE=Banner>b</div><div id = 'sidebar'>s</div><p>text", "text"),
+    ("<div class>a</div><div class=>b</div><div =menu>c</div><div id='a' 'menu'>d</div>", "a\n\nb\n\nc\n\nd"),
+    ("<div aria-label='skip' class='header-image skip-it comments-open no-sidebar'>real</div>", "real"),
+]
+
+
+def test_names_are_read_whole():
+    for page, want in NAMES:
+        assert H.assemble([k for k, _ in H.blocks(page)], [t for _, t in H.blocks(page)], None) == want, page
+
+
+def test_short_blocks_that_repeat_go(spark):
+    """Beside articles, too: a short block on three pages of a host is boilerplate, one on two pages isn't, nor one within a longer text."""
+    rows = [(i, "http://one/" if i < 4 else f"http://h{i}/", f"<div>Read this</div><article>text {i}</article><div>{'twice' if i < 2 else f'once {i}'}</div><div>Read this and more</div><p>say {i} Read this") for i in range(6)]
+    got = {r.page_id: r.text for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "\n\n".join(["Read this"] * (i > 3) + [f"text {i}", "twice" if i < 2 else f"once {i}"] + ["Read this and more"] * (i > 3) + [f"say {i} Read this"]) for i in range(6)}
+
+
 def test_inline_elements_keep_their_block():
     for page, want in INLINE:
         assert H.assemble([k for k, _ in H.blocks(page)], [t for _, t in H.blocks(page)], None) == want, page
