@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnspark.functions import cards
 from tarnspark.functions import pages as P
 from tarnspark.functions import reviews as R
 from tarnspark.functions import rules
@@ -663,3 +664,44 @@ def q54_error_rates(spark, sf_dir):
     """Attempts and failures at the site in the day up to each attempt."""
     failed = F.coalesce(F.col("status").isin("blocked", "error"), F.lit(False)).cast("long")
     return temporal.moving_sums(_log(spark, sf_dir).select("seq", "site_id", "ts", "status"), ["site_id"], "ts", 86_400, {"n": F.lit(1), "failed": failed}).select("seq", "site_id", "n", "failed")
+
+
+@query(f"""SELECT conv_id, (k - 1)::INTEGER AS place, CASE WHEN k % 4 = 0 THEN '' ELSE author END AS author, CASE WHEN k % 5 != 0 THEN rating END AS rating, CASE WHEN k % 3 = 0 THEN '' ELSE date END AS date,
+CASE WHEN k % 7 = 0 THEN '' ELSE text || ' & <b>' END AS text FROM ({_TURNS}) WHERE NOT (k % 4 = 0 AND k % 7 = 0)""")
+def q55_cards(spark, sf_dir):
+    """Conversations as pages of two sites with a card for each turn, some without author, rating, date or text, taken apart in SQL."""
+    turns = _turns(spark, sf_dir, 100_000)
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+
+    def card(r, i, site):
+        k = i + 1
+        text = F.when(k % 7 == 0, "").otherwise(F.concat(safe(X.collapse(r["text"])), F.lit(" &amp; &lt;b&gt;")))
+        author, date = F.when(k % 4 == 0, "").otherwise(safe(r["author"])), F.when(k % 3 == 0, "").otherwise(r["date"])
+        stars = F.format_string("%.1f", r["rating"])
+        if site == "trustpilot":
+            rated = F.when(k % 5 == 0, "").when(k % 2 == 0, F.concat(F.lit('<div data-service-review-rating="'), stars, F.lit('"></div>'))).otherwise(F.concat(F.lit('<img alt="Rated '), stars, F.lit(' out of 5 stars">')))
+            return F.concat(F.lit('<article><div data-testid="service-review-card-v2"><span data-consumer-name-typography> '), author, F.lit("</span>"), rated, F.lit('<time datetime="'), date, F.lit('"></time>'), F.lit("<p data-service-review-text-typography=true>"), text, F.lit("</p></div></article>"))
+        rated = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("<i aria-label='"), stars, F.lit(" star'></i>")))
+        return F.concat(F.lit("<div class='x pro-review'><b class='author'>"), author, F.lit("</b>"), rated, F.lit("<time>"), date, F.lit("</time><p>"), text, F.lit("</div>"))
+
+    page = lambda site: F.concat(F.lit("<html><body>"), F.array_join(F.transform("reviews", lambda r, i: card(r, i, site)), "\n"), F.lit("</body></html>"))
+    first = F.col("conv_id") % 2 == 0
+    cards.register(spark)
+    view = f"cards_{uuid.uuid4().hex}"
+    turns.select("conv_id", F.when(first, page("trustpilot")).otherwise(page("houzz")).alias("html"), F.when(first, "trustpilot").otherwise("houzz").alias("site")).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT conv_id, c.* FROM {view}, LATERAL review_cards(html, site) c")
+
+
+@query("""WITH n AS (SELECT page_id, 'https://result' || page_id || '.example.com/a' AS u FROM pages)
+SELECT page_id, u AS url, row_number() OVER (PARTITION BY page_id ORDER BY k)::INTEGER AS rank FROM (SELECT page_id, u, 1 AS k FROM n UNION ALL SELECT page_id, 'https://last.example.com/' || page_id, 9 FROM n)""")
+def q56_search_results(spark, sf_dir):
+    """Pages as search results: a link of a kind by page, the same link with a query, one that isn't a result, and a plain one."""
+    k = F.col("page_id").cast("string")
+    url = F.concat(F.lit("https://result"), k, F.lit(".example.com/a"))
+    a = lambda marks, href, body: F.concat(F.lit("<a"), F.lit(marks), F.lit(' href="'), href, F.lit('">'), F.lit(body), F.lit("</a>"))
+    sent = F.concat(url, F.lit("?q=1&amp;r=2"))
+    kinds = [a("", sent, "<h3>t</h3>"), F.concat(F.lit("<p>"), a("", sent, "<h3>t</h3>"), F.lit("</p>")), F.concat(F.lit("<div class='x g'>"), a("", sent, "<h3>t</h3>"), F.lit("</div>")), a("", sent, "<cite>result.example.com</cite>"), a(" jsname=x", sent, "t"), a("", sent, "t"), a(" data-ved=1", sent, "t")]
+    link = F.element_at(F.array(*kinds), (F.col("page_id") % 7 + 1).cast("int"))
+    last = F.concat(F.lit("https://last.example.com/"), k)
+    html = F.concat(F.lit('<div id="search"><div id="rso"><div>'), a("", F.lit("https://www.google.com/search"), "more"), link, F.lit("</div></div>"), a("", F.lit("/relative"), "x"), a("", last, "y"), F.lit("</div>"), a("", F.lit("https://outside.example.com/"), "z"))
+    return cards.search_results(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), "page_id", "html")
