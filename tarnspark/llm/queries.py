@@ -176,14 +176,24 @@ WITH d AS (
   FROM own WINDOW o AS (ORDER BY CASE WHEN weight > 0 THEN most / weight ELSE -1 END, source NULLS FIRST)
 ), goal AS (
   SELECT source, n, CASE WHEN is_full THEN most ELSE weight * ((total - sum(CASE WHEN is_full THEN most ELSE 0 END) OVER ()) / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ()) END AS target FROM part
+), classes AS (
+  SELECT c.*, n, target, w * ((target - 2 * coalesce(sum(words) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / greatest(sum(w * words) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1e-300)) >= 2 AS is_full
+  FROM (SELECT source, length(bin(size)) AS k, sum(size)::DOUBLE AS words, 16.0::DOUBLE + length(bin(size)) AS w FROM d GROUP BY ALL) c JOIN goal ON c.source IS NOT DISTINCT FROM goal.source WINDOW o AS (PARTITION BY c.source ORDER BY k DESC)
+), due AS (
+  SELECT *, CASE WHEN is_full THEN 2.0::DOUBLE ELSE w * ((target - sum(CASE WHEN is_full THEN 2 * words ELSE 0 END) OVER (PARTITION BY source)) / greatest(sum(CASE WHEN is_full THEN 0 ELSE w * words END) OVER (PARTITION BY source), 1e-300)) END AS e FROM classes
+), parts AS (
+  SELECT *, floor(e + 1e-12) AS certain, floor(e + 1e-12) < 2 AND e - floor(e + 1e-12) > 1e-12 AS open, least(greatest(e - floor(e + 1e-12), 1e-12), 1 - 1e-12) AS p FROM due
+), needs AS (
+  SELECT *, target - sum(certain * words) OVER (PARTITION BY source) AS need, sum(CASE WHEN open THEN words ELSE 0 END) OVER (PARTITION BY source) AS unsure FROM parts
 ), plan AS (
-  SELECT d.*, n, target, floor(target / greatest(n, 1) + 1e-12)::BIGINT AS certain, target / greatest(n, 1) AS ratio FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
+  SELECT d.*, n, target, certain, need, open AND need >= 0.5 AS open, least(greatest(need / greatest(unsure, 1), 1e-12), 1 - 1e-12) AS p0, p
+  FROM d JOIN needs ON d.source IS NOT DISTINCT FROM needs.source AND length(bin(size)) = k
 ), ranked AS (
-  SELECT *, target - certain * n AS need, (u / (1 - u)) / (least(greatest(ratio - certain, 1e-12), 1 - 1e-12) / (1 - least(greatest(ratio - certain, 1e-12), 1 - 1e-12))) AS rank FROM plan
+  SELECT *, u / (1 - u) * (p0 / (1 - p0) / (p / (1 - p))) AS s FROM plan
 ), summed AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank) AS upto, sum(size) OVER (PARTITION BY source, rank) AS tied FROM ranked
+  SELECT *, sum(size) OVER (PARTITION BY source, open ORDER BY s / (1 + s)) AS upto, sum(size) OVER (PARTITION BY source, open, s / (1 + s)) AS tied FROM ranked
 )
-SELECT doc_id, size, n AS source_size, target, (size * least(certain + CASE WHEN need >= 0.5 AND upto - tied / 2.0::DOUBLE <= need THEN 1 ELSE 0 END, 2))::BIGINT AS taken FROM summed
+SELECT doc_id, size, n AS source_size, target, (size * (certain + CASE WHEN open AND upto - tied / 2.0::DOUBLE <= need THEN 1 ELSE 0 END))::BIGINT AS taken FROM summed
 """
 
 

@@ -75,25 +75,42 @@ def test_targets_against_trial_and_error(spark):
         assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
 
 
+def brute_shares_of(sizes, target):
+    """Copies to be had of each document: its weight's share of the target, two at most, by trying."""
+    weight = [16 + len(bin(n)) - 2 for n in sizes]
+    full = set()
+    while True:
+        left = target - 2 * sum(sizes[i] for i in full)
+        free = sum(weight[i] * sizes[i] for i in range(len(sizes)) if i not in full)
+        e = [2.0 if i in full else weight[i] * left / free if free else 0.0 for i in range(len(sizes))]
+        over = {i for i in range(len(sizes)) if i not in full and e[i] >= 2}
+        if not over:
+            return e
+        full |= over
+
+
 def brute_pareto(rows, goal):
-    """doc -> copies by sorting each source by its ranks. rows: (doc_id, source, size, u)."""
+    """number -> copies by sorting each source by random odds over inclusion odds. rows: (number, source, size, u)."""
     out = {}
-    for s, (n, target) in goal.items():
+    for s, (_, target) in goal.items():
         mine = [r for r in rows if r[1] == s]
-        certain = int(target / max(n, 1) + 1e-12)
-        need, p = target - certain * n, target / max(n, 1) - certain
-        for r in mine:
-            out[r[0]] = certain
+        e = brute_shares_of([r[2] for r in mine], target)
+        certain = [int(x + 1e-12) for x in e]
+        out |= {r[0]: c for r, c in zip(mine, certain)}
+        need = target - sum(c * r[2] for r, c in zip(mine, certain))
         if need < 0.5:
             continue
-        rank = {r[0]: (r[3] / (1 - r[3])) / (p / (1 - p)) for r in mine}
+        rank = {}
+        for r, x, c in zip(mine, e, certain):
+            p = x - c
+            if c < 2 and p > 1e-12:
+                rank.setdefault(round((r[3] / (1 - r[3])) / (p / (1 - p)), 12), []).append(r)
         upto = 0
-        for x in sorted(set(rank.values())):
-            tied = [r for r in mine if rank[r[0]] == x]
-            words = sum(r[2] for r in tied)
+        for x in sorted(rank):
+            words = sum(r[2] for r in rank[x])
             upto += words
             if upto - words / 2 <= need:
-                for r in tied:
+                for r in rank[x]:
                     out[r[0]] += 1
     return out
 
@@ -111,6 +128,8 @@ def test_pareto_order_against_sorting(spark, monkeypatch, slices):
         numbered = [(i, r.source, r["size"], r.u) for i, r in enumerate(got)]
         want = brute_pareto(numbered, goal)
         assert {i: r.copies for i, r in enumerate(got)} == want
+        ranked = [r for r in got if r["rank"] is not None and r.source == "s0"]
+        assert len({r.p for r in ranked}) > 2 and [r.doc_id for r in sorted(ranked, key=lambda r: r["rank"])] != [r.doc_id for r in sorted(ranked, key=lambda r: r.u)]
         by = {}
         for r in got:
             assert by.setdefault(r.doc_id, r.copies) == r.copies
@@ -119,3 +138,17 @@ def test_pareto_order_against_sorting(spark, monkeypatch, slices):
 def test_very_long_text_and_one_hot_source(spark):
     rows = [(i, "w " * (400_000 if i == 5 else 3), "hot") for i in range(300)] + [(1000 + i, "v v v v", f"s{i}") for i in range(5)]
     check(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"))
+
+
+def test_copies_follow_the_inclusion_probability(spark):
+    """A source at 1.5 copies: the mean copies of short and of long documents over many draws are near what is to be had of each, and long ones get more."""
+    rows = [(i, "w " * (3 if i % 4 else 150), "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    e = brute_shares_of([3 if i % 4 else 150 for i in range(400)], 1.5 * (300 * 3 + 100 * 150))
+    copies = defaultdict(list)
+    for seed in range(6):
+        for r in M.plan(docs, seed).collect():
+            copies[r["size"]].append(r.copies)
+    for n, at in ((3, 1), (150, 0)):
+        assert abs(sum(copies[n]) / len(copies[n]) - e[at]) < 0.06
+    assert e[0] > e[1]
