@@ -1,38 +1,42 @@
 """Quality rules: adaptive fences from mergeable quantile sketches per language and source.
 
-``measure`` counts each whole text once. ``fences`` builds one KLL sketch per (lang, source) and
-measure with Spark's sketch aggregates (partial sketches before the shuffle, so a hot source costs
-no more than a small one), merges them into sketches per language and for the corpus, and lets a
-group of under ``MIN_DOCS`` documents use the merged ones. ``judge`` joins the fences back.
-
-The sketches compact at random, so a fence can differ between runs by their rank error (about a hundredth) once a group has more values than a sketch keeps
-whole (200); ``kept`` can then differ for documents at a fence. All counts and ``base_failed`` are exact.
-
-Defined cases: null or empty texts have no words and fail the base rule; null lang or source is a
-group of its own; repeated rows are judged one by one; an empty table gives an empty result; other
-columns of the input are not read.
+``measure`` counts each whole text once. ``sketches`` holds, for each (lang, source) and measure, how many values lie in each of a row of bins that
+widen by ``GROWTH``: a quantile read from it is at most that factor off, sketches merge by adding counts, and a rerun gives the same ones. They are partial
+aggregates before the shuffle, so a hot source costs no more than a small one, and have some thousand bins at most. Sketches of languages
+and of the corpus are sums of those of sources.
+
+A fence lies ``REACH`` times as far from the median as the tail quantile that is a tenth of the documents from the end; where that is the
+median itself, as for measures that are mostly zero, at the outer quantile; but ``REACH`` bins from the median at least, since a sketch tells no more. Quantiles of a source are
+drawn towards those of its language as if ``PRIOR`` more documents had the language's, and a language's likewise towards the corpus's. No
+cut-off in units of a measure is fixed. ``judge`` joins the fences back.
+
+Defined cases: null or empty texts have no words and fail the base rule, and documents that do lend no values; a null lang or source is a
+group of its own; repeated rows are judged one by one; a value at a fence stays within; a very long text is counted whole; an empty table gives an empty result; other
+columns of the input, of whatever name, are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnspark.llm.common import lookup, materialize
 from tarnspark.llm.words import utf8
 
 SYMBOLS = b"#*$%&|<>"
-#: Groups with fewer documents take the fences of their language, then those of the corpus.
-MIN_DOCS = 200
-#: measure -> (least spread, spreads from the median to the upper fence, and to the lower one if it has one).
-#: The spread is that of the group's sketch (median to upper quartile); the least spread keeps a
-#: group whose values are nearly all equal from losing documents over tiny differences.
-MEASURES = {"symbol_ratio": (0.02, 5.0, None), "dup_line_ratio": (0.1, 5.0, None), "repeat_ratio": (0.1, 5.0, None), "word_length": (0.5, 6.0, 5.0)}
-#: Measures that are nearly always 0 have no spread to go by: their upper fence is the group's quantile TAIL, but at least this floor, far below the base rule.
-TAIL, FLOORS = 0.98, {"dup_line_ratio": 0.1, "repeat_ratio": 0.1}
+#: Documents that a source's quantiles are drawn towards its language's by.
+PRIOR = 25
+#: measure -> (whether it has a lower fence too, its outer quantile). Repeats and duplicate lines also occur in sound documents, so fewer go for them.
+MEASURES = {"symbol_ratio": (False, 0.95), "dup_line_ratio": (False, 0.98), "repeat_ratio": (False, 0.98), "word_length": (True, 0.98)}
+#: The lower quantiles (outer, tail), the median, the upper tail and the two outer ones, and the distance of a fence in those from the median to the tail.
+LEVELS, REACH = (0.02, 0.1, 0.5, 0.9, 0.95, 0.98), 5.0
+GROWTH = 1.01
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SCHEMA = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -90,34 +94,58 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def fences(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, source) -> lower and upper fence of each measure. Documents without words lend no values."""
-    names = list(MEASURES)
-    own = _ratios(counts.where("n_words > 0")).groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(m).alias(m) for m in names])
-    own = materialize(own, "sketches")  # a few kB a group
-    lang = own.groupBy("lang").agg(F.sum("n").alias("n_lang"), *[F.kll_merge_agg_double(m).alias(f"{m}_lang") for m in names])
-    every = own.agg(*[F.kll_merge_agg_double(m).alias(f"{m}_all") for m in names])
-    groups = own.join(lang.withColumnRenamed("lang", "lang_of"), F.col("lang").eqNullSafe(F.col("lang_of"))).join(F.broadcast(every))
-    out = [F.col("lang"), F.col("source")]
-    for m, (least, up, down) in MEASURES.items():
-        sketch = F.when(F.col("n") >= min_docs, F.col(m)).when(F.col("n_lang") >= min_docs, F.col(f"{m}_lang")).otherwise(F.col(f"{m}_all"))
-        q = lambda p, s=sketch: F.kll_sketch_get_quantile_double(s, F.lit(p))
-        most = F.greatest(q(TAIL), F.lit(FLOORS[m])) if m in FLOORS else q(0.5) + up * F.greatest(q(0.75) - q(0.5), F.lit(least))
-        out.append(most.alias(f"{m}_most"))
-        out.append((q(0.5) - down * F.greatest(q(0.5) - q(0.25), F.lit(least)) if down else F.lit(float("-inf"))).alias(f"{m}_least"))
-    return groups.select(*out)
-
-
-def judge(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+_ZERO = -(1 << 30)  # the bin of 0
+
+
+def sketches(counts: DataFrame) -> DataFrame:
+    """lang, source, m, bin, n: the values of each measure and group by bins, of the documents that pass the base rule."""
+    step = math.log(GROWTH)
+    bins = [F.struct(F.lit(i).alias("m"), F.when(F.col(m) > 0, F.ceil(F.ln(m) / step)).otherwise(_ZERO).cast("int").alias("bin")) for i, m in enumerate(MEASURES)]
+    return _ratios(counts.where(~base_failed())).select("lang", "source", F.inline(F.array(*bins))).groupBy("lang", "source", "m", "bin").agg(F.count("*").alias("n"))
+
+
+def _quantiles(sketch: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """The keys and m, renamed by ``tag``, with the group's documents and its quantiles: from bins' upper ends for the median and above, from lower ends below."""
+    by = [*keys, "m"]
+    merged = sketch.groupBy(*by, "bin").agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    merged = merged.withColumn("upto", upto).withColumn("all", F.sum("n").over(Window.partitionBy(*by)))
+    end = lambda low: F.when(F.col("bin") == _ZERO, 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bin") - low))
+    first = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("all")), end(int(p < 0.5)))).alias(f"q{i}{tag}") for i, p in enumerate(LEVELS)]
+    return merged.groupBy(*by).agg(F.max("all").alias(f"n{tag}"), *first).withColumnsRenamed({k: f"{k}{tag}" for k in by})
+
+
+def fences(counts: DataFrame, prior: float = PRIOR) -> DataFrame:
+    """(lang, source) -> lower and upper fence of each measure."""
+    sketch = materialize(sketches(counts), "sketches")
+    own, lang, every = (_quantiles(sketch, k, t) for k, t in ((["lang", "source"], ""), (["lang"], "_lang"), ([], "_all")))
+    rows = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_lang")) & (F.col("m") == F.col("m_lang"))).join(F.broadcast(every), F.col("m") == F.col("m_all"))  # every: a row a measure
+    drawn = lambda q, n, to: (F.col(n) * F.col(q) + prior * to) / (F.col(n) + prior)
+    outer_low, low, middle, high, *outer = (drawn(f"q{i}", "n", drawn(f"q{i}_lang", "n_lang", F.col(f"q{i}_all"))) for i in range(len(LEVELS)))
+    strict = [i for i, (_, level) in enumerate(MEASURES.values()) if level == LEVELS[4]]
+    outer_high = F.when(F.col("m").isin(strict), outer[0]).otherwise(outer[1])
+    near = GROWTH**REACH
+    most = F.greatest(F.when(high > middle * (1 + 1e-9), middle + REACH * (high - middle)).otherwise(outer_high), middle * near)
+    least = F.least(F.when(low < middle * (1 - 1e-9), middle - REACH * (middle - low)).otherwise(outer_low), middle / near)
+    rows = rows.select("lang", "source", "m", most.alias("most"), least.alias("least"))
+    of = lambda i, c: F.max(F.when(F.col("m") == i, F.col(c)))
+    out = [of(i, "most").alias(f"{m}_most") for i, m in enumerate(MEASURES)]
+    out += [(of(i, "least") if two_sided else F.lit(float("-inf"))).alias(f"{m}_least") for i, (m, (two_sided, _)) in enumerate(MEASURES.items())]
+    return rows.groupBy("lang", "source").agg(*out)
+
+
+def within() -> F.Column:
+    """Whether all measures are within the fences; those of a group without fences are."""
+    return functools.reduce(operator.and_, [F.coalesce(F.col(m).between(F.col(f"{m}_least"), F.col(f"{m}_most")), F.lit(True)) for m in MEASURES])
+
+
+def judge(docs: DataFrame, prior: float = PRIOR) -> DataFrame:
     """doc_id, the counts, base_failed and kept."""
     counts = materialize(measure(docs), "quality")
-    limits = lookup(materialize(fences(counts, min_docs), "fences"))
+    limits = lookup(materialize(fences(counts, prior), "fences"))
     limits = limits.withColumnsRenamed({"lang": "lang_of", "source": "source_of"})
     joined = _ratios(counts).join(limits, F.col("lang").eqNullSafe(F.col("lang_of")) & F.col("source").eqNullSafe(F.col("source_of")), "left")
-    within = F.lit(True)
-    for m in MEASURES:
-        within &= F.coalesce(F.col(m).between(F.col(f"{m}_least"), F.col(f"{m}_most")), F.lit(True))
-    return joined.withColumn("base_failed", base_failed()).select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & within).alias("kept"))
+    return joined.withColumn("base_failed", base_failed()).select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & within()).alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

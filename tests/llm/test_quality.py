@@ -77,43 +77,68 @@ def test_outliers_below_the_fixed_limits(spark):
 
 
 def quantile(values, p):
-    return sorted(values)[max(0, math.ceil(p * len(values)) - 1)]
+    """The exact quantile, moved to the end of its bin."""
+    v = sorted(values)[max(0, math.ceil(p * len(values)) - 1)]
+    return Q.GROWTH ** (math.ceil(math.log(v) / math.log(Q.GROWTH)) - (p < 0.5)) if v > 0 else 0.0
 
 
-def brute_kept(rows, min_docs):
-    """doc -> kept by exact quantiles of the group, or else of its language, or else of the corpus. rows: (doc_id, text, lang, source)."""
+def brute_kept(rows, prior):
+    """doc -> kept by sorted values of the group, its language and the corpus. rows: (doc_id, text, lang, source)."""
+    names = list(Q.MEASURES)
     measured = {}
     for d, t, lang, source in rows:
         n, chars, symbols, dup, repeat = brute(t)
         lines = sum(bool(WORD.search(x)) for x in (t or "").split("\n"))
-        measured[d] = (lang, source, n, {"symbol_ratio": symbols / max(chars, 1), "dup_line_ratio": dup / max(lines, 1), "repeat_ratio": repeat / max(n, 1), "word_length": chars / max(n, 1)}, n < 50 or 100 * repeat > 50 * n)
-    out = {}
+        measured[d] = (lang, source, n, dict(zip(names, (symbols / max(chars, 1), dup / max(lines, 1), repeat / max(n, 1), chars / max(n, 1)))), n < 50 or 100 * repeat > 50 * n)
+    with_words = [m for m in measured.values() if not m[4]]
+    fences, out = {}, {}
     for d, (lang, source, _, own, failed) in measured.items():
-        ok = not failed
-        with_words = [m for m in measured.values() if m[2] > 0]
-        for group in ([m for m in with_words if m[:2] == (lang, source)], [m for m in with_words if m[0] == lang], with_words):
-            if len(group) >= min_docs or group is with_words:
-                break
-        for name, (least, up, down) in Q.MEASURES.items():
-            v = [m[3][name] for m in group]
-            middle = quantile(v, 0.5)
-            most = max(quantile(v, Q.TAIL), Q.FLOORS[name]) if name in Q.FLOORS else middle + up * max(quantile(v, 0.75) - middle, least)
-            low = middle - down * max(middle - quantile(v, 0.25), least) if down else -math.inf
-            ok &= low <= own[name] <= most
-        out[d] = ok
+        if (lang, source) not in fences:
+            groups = [m for m in with_words if m[:2] == (lang, source)], [m for m in with_words if m[0] == lang], with_words
+            limit = {}
+            for name, (two_sided, level) in Q.MEASURES.items():
+                if not groups[0]:
+                    continue
+                q = []
+                for p in Q.LEVELS:
+                    drawn = quantile([m[3][name] for m in groups[2]], p)
+                    for g in (groups[1], groups[0]):
+                        drawn = (len(g) * quantile([m[3][name] for m in g], p) + prior * drawn) / (len(g) + prior)
+                    q.append(drawn)
+                most = max(q[2] + Q.REACH * (q[3] - q[2]) if q[3] > q[2] * (1 + 1e-9) else q[Q.LEVELS.index(level)], q[2] * Q.GROWTH**Q.REACH)
+                least = min(q[2] - Q.REACH * (q[2] - q[1]) if q[1] < q[2] * (1 - 1e-9) else q[0], q[2] / Q.GROWTH**Q.REACH)
+                limit[name] = (least if two_sided else -math.inf, most)
+            fences[lang, source] = limit
+        out[d] = not failed and all(a <= own[k] <= b for k, (a, b) in fences[lang, source].items())
     return out
 
 
-def test_kept_against_exact_quantiles(spark):
-    """Sketches of up to 200 values are exact, so the verdicts are those of sorted values."""
+def test_kept_against_sorted_values(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source").dropDuplicates(["doc_id"])
-    rows = [tuple(r) for r in docs.collect()]
-    for least in (5, 20, 1000):
-        got = {r.doc_id: r.kept for r in Q.judge(docs, least).collect()}
-        want = brute_kept(rows, least)
+    rows = [tuple(r) for r in docs.collect()] + [(-1, "", "xx", None), (-2, None, None, None), (-3, " ".join(f"word{i}" for i in range(60)), None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for prior in (1, 25, 1000):
+        got = {r.doc_id: r.kept for r in Q.judge(df.repartition(3), prior).collect()}
+        want = brute_kept(rows, prior)
         assert got == want and 0 < sum(want.values()) < len(want)
 
 
+def test_sources_decide_beside_their_language(spark):
+    """A source of few documents already moves its own fences; no fence is the same for two unlike sources."""
+    text = lambda k, n: " ".join("w" * (k + i % 3) + str(i) for i in range(n))
+    rows = [(i, text(4 + i % 2, 60 + i), "en", "a") for i in range(200)] + [(1000 + i, text(9 + i % 2, 60 + i), "en", "b") for i in range(12)]
+    counts = Q.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    f = {r.source: r for r in Q.fences(counts).collect()}
+    assert f["b"].word_length_most > f["a"].word_length_most + 0.5 and f["a"].word_length_least < 5 < 7 < f["a"].word_length_most
+
+
+def test_values_at_a_fence_stay(spark):
+    """Values that are all equal stand at both fences."""
+    rows = [(i, " ".join(f"abcd{k:03d}" for k in range(60)), "en", "a") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert all(r.kept for r in Q.judge(df).collect())
+
+
 def test_very_long_text(spark):
     text = "\n".join(" ".join(f"w{i}x{j}" for j in range(100)) for i in range(4000))
     got = Q.judge(spark.createDataFrame([(1, text, "en", "a")], "doc_id long, text string, lang string, source string")).first()
