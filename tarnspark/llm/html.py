@@ -248,28 +248,46 @@ def short_blocks(kinds: list[int], texts: list[str]) -> list[tuple[int, int, int
     return out
 
 
+#: Suffixes that a task holds at once.
+_ROWS = 100_000
+
+
 def _suffixes(batches):
-    """Every suffix of a page's stream by its first ``RUN`` tokens (as hashes, end to end); own: whether it starts in a body block or reaches one.
-    A shorter block is also a suffix by itself, filled up with zeros, at the place -1 - its start."""
+    """Every suffix of a page's stream by its first ``RUN`` tokens (four bytes of a hash each, end to end); own: whether it starts in a body block or reaches one.
+    A shorter block is also a suffix by itself, as a hash filled up with zeros, at the place -1 - its start."""
+    columns = host, suffix, page, place, own = [], [], [], [], []
+    kinds = [pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()]
+
+    def rows() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["host", "suffix", "page", "place", "own"])
+        for x in columns:
+            x.clear()
+        return out
+
     for b in batches:
-        host, page, place, own, suffix = [], [], [], [], []
-        for h, p, kinds, texts in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("kinds").to_pylist(), b.column("texts").to_pylist(), strict=True):
-            tokens = stream(kinds, texts)
-            names = b"".join(xxhash.xxh3_64_digest(utf8(w)) for w, _ in tokens)
+        for h, p, blocks_of, texts in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("kinds").to_pylist(), b.column("texts").to_pylist(), strict=True):
+            tokens = stream(blocks_of, texts)
+            names = b"".join(xxhash.xxh3_64_digest(utf8(w))[:4] for w, _ in tokens)
+            reach = np.cumsum([0, *[x for _, x in tokens]])
             for i in range(len(tokens) - RUN + 1):
-                host.append(h)
-                page.append(p)
+                suffix.append(names[4 * i : 4 * (i + RUN)])
                 place.append(i)
-                own.append(any(x for _, x in tokens[i : i + RUN]))
-                suffix.append(names[8 * i : 8 * (i + RUN)])
-            for i, n, k in short_blocks(kinds, texts):
-                host.append(h)
-                page.append(p)
+                own.append(bool(reach[i + RUN] > reach[i]))
+                if len(suffix) == _ROWS:
+                    page += [p] * (len(suffix) - len(page))
+                    host += [h] * (len(suffix) - len(host))
+                    yield rows()
+            words = [w for w, _ in tokens]
+            for i, n, k in short_blocks(blocks_of, texts):
+                suffix.append(xxhash.xxh3_128_digest(utf8(" ".join(words[i : i + n]))).ljust(4 * RUN, b"\0"))
                 place.append(-1 - i)
                 own.append(k == BODY)
-                suffix.append(names[8 * i : 8 * (i + n)].ljust(8 * RUN, b"\0"))
-        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((host, suffix, page, place, own), kinds, strict=True)], ["host", "suffix", "page", "place", "own"])
+            page += [p] * (len(suffix) - len(page))
+            host += [h] * (len(suffix) - len(host))
+            if len(suffix) >= _ROWS:
+                yield rows()
+    if suffix:
+        yield rows()
 
 
 def _repeats(batches):
