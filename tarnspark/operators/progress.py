@@ -119,3 +119,16 @@ def state_counts(rows: DataFrame, state: str) -> DataFrame:
 def best_name(names: dict[str, Column]) -> Column:
     """The first discovered name that isn't blank, by site priority."""
     return first_filled(*[names[s] for s in rules.NAME_PRIORITY if s in names])
+
+
+def snapshot(latest: DataFrame, complete: DataFrame) -> DataFrame:
+    """row_idx, sites (a map of site to status and attempts) and row_complete, from rows (row_idx, site_id, status, attempts): a row's sites are few."""
+    entries = F.collect_list(F.struct("site_id", F.struct("status", "attempts")))
+    done = complete.select("row_idx").distinct().withColumn("_done", F.lit(True))
+    kept = latest.groupBy("row_idx").agg(F.map_from_entries(F.array_sort(entries)).alias("sites"))
+    return kept.join(done, "row_idx", "left").select("row_idx", "sites", F.coalesce("_done", F.lit(False)).alias("row_complete"))
+
+
+def from_snapshot(kept: DataFrame) -> DataFrame:
+    """The rows of a snapshot again: row_idx, site_id, status, attempts."""
+    return kept.select("row_idx", F.explode("sites").alias("site_id", "_s")).select("row_idx", "site_id", "_s.status", "_s.attempts")

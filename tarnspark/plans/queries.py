@@ -20,7 +20,7 @@ from tarnspark.functions import rules
 from tarnspark.functions import text as X
 from tarnspark.functions import urls as U
 from tarnspark.operators import keyed, merge, progress, resolve, summaries, temporal, work_units
-from tarnspark.sources import buckets, snapshots
+from tarnspark.sources import buckets, readers, snapshots, writers
 from tarnspark.sources.writers import export, export_headers
 from tarnspark.streaming import claims, retries, windows
 
@@ -143,7 +143,9 @@ def q08_html_to_text(spark, sf_dir):
 @query(rf"""WITH t AS (SELECT *, regexp_extract(html, '<title>([^<]*)', 1) AS title FROM pages)
 SELECT page_id,
  regexp_matches(lower(url), '/sorry|captcha|challenge') OR regexp_matches(lower(title), '{_rx(rules.BLOCK_SIGNALS)}') OR length(html) < 1024 OR regexp_matches(lower(substr(html, 1, 8000)), '{_rx(rules.BLOCK_SIGNALS)}') AS blocked,
- length(html) < 5000 OR regexp_matches(lower(substr(html, 1, 6000)), 'sorry, you have been blocked|error 1015|geo\.captcha-delivery|px-captcha|perimeterx') AS fetch_blocked,
+ length(html) < 5000 OR regexp_matches(lower(substr(html, 1, 6000)), 'sorry, you have been blocked|error 1015|geo\.captcha-delivery|px-captcha|perimeterx')
+  OR (contains(lower(substr(html, 1, 6000)), 'ray id') AND contains(lower(substr(html, 1, 6000)), 'cloudflare'))
+  OR (contains(lower(substr(html, 1, 6000)), 'datadome') AND regexp_matches(lower(substr(html, 1, 6000)), 'captcha-delivery|data-cfasync')) OR contains(lower(html), '"errorcode":"http error 4') AS fetch_blocked,
  regexp_matches(lower(url), '/sorry|captcha') OR regexp_matches(lower(title), '{_rx(rules.SEARCH_BLOCK_SIGNALS)}') OR regexp_matches(lower(substr(html, 1, 5000)), '{_rx(rules.SEARCH_BLOCK_SIGNALS)}') AS search_blocked,
  regexp_matches(lower(title), '404|not found') OR length(html) < 500 AS missing,
  regexp_matches(lower(substr(html, 1, 30000)), '{_rx(rules.NO_REVIEW_PHRASES)}') AS no_reviews,
@@ -218,8 +220,8 @@ def q13_top_reviews(spark, sf_dir):
     return best.select("l_suppkey", "rank", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
-def _turns(spark, sf_dir, n=5):
-    """Conversations as nested reviews: the first ``n`` turns of each, since the cap is part of the nesting."""
+def _turns(spark, sf_dir, n=100):
+    """Conversations as nested reviews: the first ``n`` turns of each, the cap of a site's reviews."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("role").alias("author"), (F.col("turn") % 5 + 1).cast("double").alias("rating"), F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("date"), "text", "turn")
     return keyed.nest_top(turns, ["conv_id"], [F.asc("turn"), F.asc("author"), F.asc("text")], ["author", "rating", "date", "text"], n, "reviews")
 
@@ -228,19 +230,19 @@ _TURNS = "SELECT conv_id, role AS author, (turn % 5 + 1)::DOUBLE AS rating, 'tur
 
 
 @query(f"""SELECT conv_id, count(*)::INTEGER AS n_reviews, string_agg(author, ',' ORDER BY k) AS authors, string_agg(CASE WHEN length(text) > 4000 THEN substr(text, 1, 4000) || '…' ELSE text END, '|' ORDER BY k) AS texts,
-sum(rating) AS ratings FROM ({_TURNS}) WHERE k <= 5 GROUP BY conv_id""")
+sum(rating) AS ratings FROM ({_TURNS}) WHERE k <= 100 GROUP BY conv_id""")
 def q14_nested_reviews(spark, sf_dir):
     r = _turns(spark, sf_dir).select("conv_id", R.clean_reviews(F.col("reviews")).alias("r"))
     return r.select("conv_id", F.size("r").alias("n_reviews"), F.array_join(F.col("r.author"), ",").alias("authors"), F.array_join(F.col("r.text"), "|").alias("texts"), F.aggregate(F.col("r.rating"), F.lit(0.0), lambda a, b: a + b).alias("ratings"))
 
 
-@query(f"SELECT conv_id, (k - 1)::INTEGER AS pos, author, rating, date, CASE WHEN length(text) > 4000 THEN substr(text, 1, 4000) || '…' ELSE text END AS text FROM ({_TURNS}) WHERE k <= 5")
+@query(f"SELECT conv_id, (k - 1)::INTEGER AS pos, author, rating, date, CASE WHEN length(text) > 4000 THEN substr(text, 1, 4000) || '…' ELSE text END AS text FROM ({_TURNS}) WHERE k <= 100")
 def q15_cell_round_trip(spark, sf_dir):
     cells = _turns(spark, sf_dir).select("conv_id", R.to_cell(F.col("reviews")).alias("cell"))
     return cells.select("conv_id", F.posexplode(R.from_cell(F.col("cell"))).alias("pos", "r")).select("conv_id", "pos", "r.author", "r.rating", "r.date", "r.text")
 
 
-@query("SELECT conv_id, bool_or(turn % 5 + 1 = 4) AS has_four FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations) WHERE k <= 5 GROUP BY conv_id")
+@query("SELECT conv_id, bool_or(turn % 5 + 1 = 4) AS has_four FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations) WHERE k <= 100 GROUP BY conv_id")
 def q16_rated(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", R.rated(F.col("reviews"), 4.0).alias("has_four"))
 
@@ -358,7 +360,7 @@ def q26_classify(spark, sf_dir):
 
 
 @query(f"""SELECT conv_id::VARCHAR AS _row_idx, 'name ' || conv_id AS business_name, '' AS yelp_rating, (max(rating))::FLOAT::VARCHAR AS google_maps_rating, count(*)::INTEGER AS n, string_agg(text, '|' ORDER BY k) AS texts
-FROM (SELECT conv_id, rating, k, CASE WHEN length(text) > 4000 THEN substr(text, 1, 4000) || '…' ELSE text END AS text FROM ({_TURNS}) WHERE k <= 5) GROUP BY conv_id""")
+FROM (SELECT conv_id, rating, k, CASE WHEN length(text) > 4000 THEN substr(text, 1, 4000) || '…' ELSE text END AS text FROM ({_TURNS}) WHERE k <= 100) GROUP BY conv_id""")
 def q27_export(spark, sf_dir):
     t = _turns(spark, sf_dir).select(F.col("conv_id").cast("int").alias("row_idx"), F.concat(F.lit("name "), F.col("conv_id").cast("string")).alias("business_name"), F.lit(None).cast("float").alias("yelp_rating"), F.array_max(F.col("reviews.rating")).cast("float").alias("google_maps_rating"), F.col("reviews").alias("google_maps_reviews"))
     headers = [h for h in export_headers(["business_name"]) if h in ("_row_idx", *t.columns)]
@@ -435,7 +437,7 @@ def q34_uncovered(spark, sf_dir):
 string_agg(text || ' & "more"', '|' ORDER BY k) FILTER (k <= 100) AS texts FROM ({_TURNS}) GROUP BY conv_id""")
 def q35_structured_data(spark, sf_dir):
     """Conversations as pages with structured data, read back: plain objects, lists and graphs by turns, escaped bodies."""
-    turns = _turns(spark, sf_dir, 1000)
+    turns = _turns(spark, sf_dir, 100_000)
     review = lambda r: F.struct(F.struct(F.concat(F.lit(" "), r["author"]).alias("name")).alias("author"), F.struct(r["rating"].cast("string").alias("ratingValue")).alias("reviewRating"), r["date"].alias("datePublished"), F.concat(X.collapse(r["text"]), F.lit(" &amp; &quot;more&quot; ")).alias("reviewBody"))
     business = F.struct(F.lit("LocalBusiness").alias("@type"), F.struct(F.array_max("reviews.rating").alias("ratingValue")).alias("aggregateRating"), F.transform("reviews", review).alias("review"))
     body = F.replace(F.to_json(business), F.lit("<"), F.lit("\\u003c"))
@@ -705,3 +707,96 @@ def q56_search_results(spark, sf_dir):
     last = F.concat(F.lit("https://last.example.com/"), k)
     html = F.concat(F.lit('<div id="search"><div id="rso"><div>'), a("", F.lit("https://www.google.com/search"), "more"), link, F.lit("</div></div>"), a("", F.lit("/relative"), "x"), a("", last, "y"), F.lit("</div>"), a("", F.lit("https://outside.example.com/"), "z"))
     return cards.search_results(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), "page_id", "html")
+
+
+@query("SELECT c_custkey::VARCHAR AS business_id, c_name AS name, c_acctbal AS stars, c_nationkey AS review_count FROM customer WHERE c_custkey % 10 != 0")
+def q57_json_lines(spark, sf_dir):
+    """Customers as gzipped JSON lines, a tenth of them broken, read back from the first of two paths that exists."""
+    at, c = _scratch(spark, "lines"), table(spark, sf_dir, "customer")
+    line = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("business_id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("stars"), F.col("c_nationkey").alias("review_count")))
+    broken = F.when(F.col("c_custkey") % 10 == 0, F.substring(line, 1, 20)).otherwise(line)
+    c.select(broken.alias("value")).write.option("compression", "gzip").text(f"{at}/here")
+    return readers.first_available(spark, [f"{at}/missing", f"{at}/here"], readers.BUSINESS).select("business_id", "name", "stars", "review_count")
+
+
+@query("""WITH n AS (SELECT c_custkey, c_mktsegment, (c_custkey % 50) / 10.0 AS rating FROM customer WHERE c_custkey % 3 = 0)
+SELECT c.c_custkey::INTEGER AS row_idx, CASE WHEN n.c_custkey IS NULL THEN c.c_name ELSE n.c_mktsegment END AS business_name, CASE WHEN n.c_custkey IS NULL THEN 1.0::FLOAT WHEN c.c_custkey % 6 != 0 THEN rating::FLOAT END AS bbb_rating
+FROM customer c LEFT JOIN n USING (c_custkey)""")
+def q58_import(spark, sf_dir):
+    """A review CSV, with keys and ratings that aren't numbers, imported over a table; a key that came twice would fail."""
+    at, c = _scratch(spark, "import"), table(spark, sf_dir, "customer")
+    rating = F.when(F.col("c_custkey") % 6 == 0, "none").otherwise(((F.col("c_custkey") % 50) / 10).cast("string"))
+    rows = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("_row_idx"), F.col("c_mktsegment").alias("business_name"), rating.alias("bbb_rating"))
+    rows = rows.unionByName(c.select(F.concat(F.lit("x"), "c_custkey").alias("_row_idx"), F.lit("no row").alias("business_name"), F.lit("1").alias("bbb_rating")))
+    writers.write_csv(rows, f"{at}/csv")
+    new = merge.assert_unique(readers.import_reviews(readers.csv(spark, f"{at}/csv"), ["business_name"], ["bbb_rating"], []), "row_idx")
+    old = c.select(F.col("c_custkey").cast("int").alias("row_idx"), F.col("c_name").alias("business_name"), F.lit(1.0).cast("float").alias("bbb_rating"))
+    return merge.upsert(old, new, "row_idx", ["business_name", "bbb_rating"])
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 != 0 THEN (p_partkey % 5)::DOUBLE + 0.5 END AS angi, CASE WHEN p_partkey % 4 != 1 THEN round((p_partkey % 5)::DOUBLE + 0.5, 2) END AS homeadvisor,
+CASE p_partkey % 3 WHEN 0 THEN 'A+' WHEN 1 THEN 'B' END AS grade, CASE WHEN p_partkey % 7 != 0 THEN p_name || ' & Co' END AS name FROM part""")
+def q59_listing_pages(spark, sf_dir):
+    """Parts as listing pages: ratings outside structured data, the grade in either place, and the name unless it is none."""
+    k = F.col("p_partkey")
+    stars = F.format_string("%.1f", k % 5 + 0.5)
+    angi = F.when(k % 4 == 0, "").otherwise(F.concat(F.lit('<b class="RatingsLockup_ratingNumber__x" id="r">'), stars, F.lit("</b>")))
+    advisor = F.when(k % 4 == 1, "").otherwise(F.concat(F.lit('{"ratingValue" : "'), stars, F.lit('"}')))
+    grade = F.when(k % 3 == 0, '<i class="bpr-letter-grade">A+</i><i class="bpr-header-rating">F</i>').when(k % 3 == 1, '<i class="bpr-header-rating">B</i>').otherwise("<i>C</i>")
+    name = F.concat(F.lit('<h1 id="businessName"> '), F.when(k % 7 == 0, "About").otherwise(F.concat("p_name", F.lit(" &amp; Co"))), F.lit("\n</h1>"))
+    page = table(spark, sf_dir, "part").select("p_partkey", F.concat(angi, advisor, grade, name).alias("html"))
+    h = F.col("html")
+    return page.select("p_partkey", R.fallback_rating(h, "angi").alias("angi"), R.fallback_rating(h, "homeadvisor").alias("homeadvisor"), R.listing_grade(h).alias("grade"), R.listing_name(h).alias("name"))
+
+
+@query(f"SELECT conv_id, (k - 1)::INTEGER AS pos, author, rating, substr('2024-01-02 03:04', 1, 10) AS date, text FROM ({_TURNS}) WHERE k <= 100")
+def q60_service_reviews(spark, sf_dir):
+    """Conversations as the JSON answers of a listing service, flattened."""
+    entry = lambda r: F.struct(F.struct(F.concat(F.lit(" "), r["author"]).alias("name")).alias("user"), r["rating"].alias("rating"), F.lit("2024-01-02 03:04").alias("time_created"), X.collapse(r["text"]).alias("text"))
+    answer = _turns(spark, sf_dir).select("conv_id", F.to_json(F.struct(F.transform("reviews", entry).alias("reviews"))).alias("answer"))
+    return answer.select("conv_id", F.posexplode(R.api_reviews(F.col("answer"))).alias("pos", "r")).select("conv_id", "pos", "r.author", "r.rating", "r.date", "r.text")
+
+
+@query("""SELECT page_id, k::INTEGER AS pos, CASE k WHEN 0 THEN 'https://p' || page_id || '.org/a?b=1' WHEN 1 THEN 'https://sent.org/x+y/' || page_id ELSE 'https://other.org/' END AS link FROM pages, range(3) t(k) WHERE k < 2 OR page_id % 2 = 0""")
+def q61_page_links(spark, sf_dir):
+    """Result links of search pages: plain ones, redirects, each once, the search site's own left out."""
+    k = F.col("page_id").cast("string")
+    html = F.concat(F.lit('<a href="https://p'), k, F.lit('.org/a?b=1"></a><a href="https://duckduckgo.com/y"></a><a href="//duckduckgo.com/l/?uddg=https%3A%2F%2Fsent.org%2Fx+y%2F'), k, F.lit('&amp;rut=1"></a><a href="https://p'), k, F.lit('.org/a?b=1"></a>'), F.when(F.col("page_id") % 2 == 0, '<a href="/l/?uddg=%2F%2Fother.org%2F"></a>').otherwise(""))
+    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(R.links(html)).alias("pos", "link"))
+
+
+@query(f"""WITH n AS (SELECT l_suppkey, l_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY {_ORDER_13}) AS k FROM lineitem WHERE l_suppkey % 2 = 0) WHERE k <= 3)
+SELECT p_partkey AS match_key, s_name AS name, count(l_orderkey)::INTEGER AS n_reviews, coalesce(sum(l_orderkey), 0)::BIGINT AS orders FROM part JOIN supplier ON p_partkey % 100 + 1 = s_suppkey LEFT JOIN n ON l_suppkey = s_suppkey GROUP BY ALL""")
+def q62_match_table(spark, sf_dir):
+    """Parts matched with suppliers, and their latest three line items as nested reviews; half of the suppliers have none."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("match_key"), (F.col("p_partkey") % 100 + 1).alias("s_suppkey"))
+    order = [F.desc_nulls_last("l_shipdate"), *[F.asc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]]
+    nested = keyed.nest_top(table(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 0"), ["l_suppkey"], order, ["l_orderkey"], 3, "reviews").withColumnRenamed("l_suppkey", "s_suppkey")
+    matched = resolve.match_table(part, table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("name")), nested, "match_key", "s_suppkey", "array<struct<l_orderkey:bigint>>")
+    return matched.select("match_key", "name", F.size("reviews").alias("n_reviews"), F.aggregate("reviews", F.lit(0).cast("long"), lambda n, r: n + r["l_orderkey"]).alias("orders"))
+
+
+@query("SELECT CASE WHEN c_nationkey % 6 != 0 THEN n_name END AS state, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
+def q63_state_counts(spark, sf_dir):
+    """Customers by nation, those of some nations without one."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return progress.state_counts(c.select(F.when(F.col("c_nationkey") % 6 != 0, F.col("n_name")).alias("state")), "state")
+
+
+@query(r"""WITH e AS (SELECT doc_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}'), lambda x: lower(x))))[1:5] AS l, doc_id % 3 = 0 AS cached FROM documents)
+SELECT doc_id, CASE WHEN len(l) > 0 THEN array_to_string(l, ', ') WHEN doc_id % 2 = 0 THEN 'model@x.org' ELSE '' END AS email, CASE WHEN doc_id % 5 = 0 THEN '/own.png' WHEN cached THEN '/own.png' ELSE '/model.png' END AS logo FROM e""")
+def q64_overlay(spark, sf_dir):
+    """Contacts found by patterns over an extractor's, and logos by whether the answer was cached."""
+    d = table(spark, sf_dir, "documents")
+    given = F.when(F.col("doc_id") % 2 == 0, "model@x.org")
+    model = F.when(F.col("doc_id") % 5 == 0, "").otherwise("/model.png")
+    return d.select("doc_id", merge.contact_overlay(given, P.emails(F.col("text"), [])).alias("email"), merge.logo_choice(model, F.lit("/own.png"), F.col("doc_id") % 3 == 0).alias("logo"))
+
+
+@query(f"SELECT row_idx, string_agg(site_id || '=' || coalesce(status, '') || '/' || attempts, ',' ORDER BY site_id) AS sites, bool_or(status = 'done') AS row_complete FROM ({_LATEST}) GROUP BY row_idx")
+def q65_snapshot_map(spark, sf_dir):
+    """The state of each row as one record with a map of its sites, as it is kept, and read back."""
+    latest = progress.latest_status(_log(spark, sf_dir))
+    kept = progress.snapshot(latest, latest.where("status = 'done'"))
+    entries = F.array_sort(F.transform(F.map_entries("sites"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"]["status"], F.lit("")), F.lit("/"), e["value"]["attempts"].cast("string"))))
+    return kept.select("row_idx", F.array_join(entries, ",").alias("sites"), "row_complete")

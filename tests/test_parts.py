@@ -193,3 +193,21 @@ def test_relational_options(spark):
         assert "driver" in str(e).lower()
     else:
         pytest.fail("no driver can be there")
+
+
+def test_snapshots_of_rows(spark):
+    latest = spark.createDataFrame([(1, "a", "done", 2), (1, "b", None, 1), (2, "a", "error", 3)], "row_idx int, site_id string, status string, attempts long")
+    kept = progress.snapshot(latest, latest.where("status = 'done'"))
+    assert [(r.row_idx, dict(r.sites), r.row_complete) for r in kept.orderBy("row_idx").collect()] == [(1, {"a": ("done", 2), "b": (None, 1)}, True), (2, {"a": ("error", 3)}, False)]
+    assert rows(progress.from_snapshot(kept)) == rows(latest) and progress.snapshot(latest.limit(0), latest).count() == 0
+
+
+def test_a_real_database(spark):
+    """Rows written to and read from an embedded database, in ranges of the key, with the filter pushed down."""
+    url, driver = "jdbc:derby:memory:tarn;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.range(100).select(F.col("id").cast("int").alias("row_idx"), F.concat(F.lit("n"), "id").alias("name"))
+    df.repartition(2).write.format("jdbc").options(url=url, dbtable="leads", driver=driver).save()
+    got = readers.relational(spark, url, "leads", "row_idx", 0, 100, 4, driver=driver)
+    assert got.rdd.getNumPartitions() == 4 and rows(got) == rows(df)
+    some = got.where("row_idx < 5").select("name")
+    assert rows(some) == [(f"n{i}",) for i in range(5)] and "PushedFilters: [*IsNotNull(row_idx), *LessThan(row_idx,5)]" in some._jdf.queryExecution().executedPlan().toString().replace("ROW_IDX", "row_idx")
