@@ -800,3 +800,18 @@ def q65_snapshot_map(spark, sf_dir):
     kept = progress.snapshot(latest, latest.where("status = 'done'"))
     entries = F.array_sort(F.transform(F.map_entries("sites"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"]["status"], F.lit("")), F.lit("/"), e["value"]["attempts"].cast("string"))))
     return kept.select("row_idx", F.array_join(entries, ",").alias("sites"), "row_complete")
+
+
+@query("""SELECT c_custkey, 'https://maps/x/data=!4m' || c_custkey || '!9m1!1b1?hl=en' AS reviews, 'https://' || c_custkey || '.org/contact' AS contact,
+'https://www.bbb.org/search?find_text=' || replace(replace(c_name, '#', '%23'), ' ', '+') || '+%26+Co&find_loc=' || c_mktsegment || '%2C+AL' AS search,
+CASE WHEN c_custkey % 2 = 0 THEN 'https://www.bbb.org/us/al/x/profile/y/z-' || c_custkey END AS profile, substr(repeat(c_name || '.', 5), 1, 64) AS name, '1 Main St' AS address1, substr(c_mktsegment, 1, 40) AS city, 'ALA' AS state FROM customer""")
+def q66_links(spark, sf_dir):
+    """Urls that are built from customers: review tabs, contact pages, listing searches and profiles, and the parameters of a lookup."""
+    k = F.col("c_custkey").cast("string")
+    place = F.concat(F.lit("https://maps/x/data=!4m"), k, F.when(F.col("c_custkey") % 3 == 0, "!9m1!1b1").otherwise(""), F.lit("?hl=en"))
+    path = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("/us/al/x/profile/y/z-"), k, F.lit("?q=1"))).otherwise("/other")
+    found = U.match_parameters(F.repeat(F.concat("c_name", F.lit(".")), F.lit(5)), F.lit("1 Main St, Suite 2"), F.col("c_mktsegment"), F.lit("ALAB"))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", U.reviews_link(place).alias("reviews"), U.contact_url(F.concat(F.lit("https://"), k, F.lit(".org/a?b")), F.lit("/contact")).alias("contact"),
+        U.listing_search_url(F.concat("c_name", F.lit(" & Co")), F.col("c_mktsegment"), F.lit("AL")).alias("search"), U.listing_profile(path).alias("profile"), found.alias("m"),
+    ).select("c_custkey", "reviews", "contact", "search", "profile", "m.*")
