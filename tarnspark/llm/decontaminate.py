@@ -9,7 +9,8 @@ the result are exact phrases, else proximity matches (every term within ``slop``
 with the windows that start in it, dealt into blocks of about ``BLOCK_WORDS`` words by a hash. One block at a time, of a counted size, is broadcast as numbers; its hits are written before the next.
 
 Defined cases: null and empty texts have no words and are never hit, null or wordless items have no window; items without an id are
-ignored, ids of any type are taken as text; null doc_ids and repeated rows are documents of their own; empty tables work on either side.
+ignored, ids of any type are taken as text; null doc_ids and repeated rows are documents of their own; a very
+long text is a shard of its own size, whole; empty tables work on either side; other columns, of whatever name, stay out.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ those members' components, by an exact prefix-filter join on their rarest shingl
 
 Defined cases: texts with under five words have one shingle, all their words; texts without words (null, empty) are their own
 class; rows without a doc_id get no class; repeated rows of a doc_id share a class, and if their texts differ the least text is the one verified;
-an empty table gives none; other columns aren't read.
+a very long text is aligned within its band; an empty table gives none; other columns, of whatever name, aren't read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ other blanks are split into pre-tokens first; those with a special token's strin
 splitter might treat otherwise than the tokenizer, are encoded whole, and so is every text if the vocabulary isn't a plain byte-level one.
 
 Defined cases: null and empty texts are the end id alone; a null doc_id sorts first and is kept null; repeated rows
-are each written; an empty table writes no shard and gives no row.
+are each written, next to each other; a very long text is one document of a frame; an empty table writes no shard and gives no row; other
+columns, of whatever name, stay out.
 """
 
 from __future__ import annotations

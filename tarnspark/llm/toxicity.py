@@ -9,7 +9,8 @@ doc_id are never features.
 Defined cases: null and empty texts have only the bias as a feature and get its score; null doc_ids count
 as not held out, and null labels or labelled documents that are missing are left out of training; a
 document with several labels takes the largest; without any labelled row all scores are 0.5, which is no
-toxic verdict; repeated rows are scored one by one.
+toxic verdict; repeated rows are scored one by one; a very long text is hashed whole; empty tables work on
+either side; other columns, of whatever name, stay out.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ listed entries; its rows are broadcast up to ``FILTER_BLOCKS`` blocks, which bou
 by a shuffle beyond it. Pages whose keys the filter passes go to the exact join, which removes false positives.
 
 Defined cases: null urls and urls without ``://`` have empty host and path, fit no rule and are allowed;
-repeated rows are judged one by one, null page_ids too; an empty list or table works.
+repeated rows are judged one by one, null page_ids too; a very long url is judged whole; of rules that fit the longest decides, which is
+never a tie; an empty list or table works; other columns, of whatever name, stay out.
 """
 
 from __future__ import annotations

@@ -1,8 +1,10 @@
 import math
 import random
+import re
 import zlib
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from tarnspark.llm import toxicity as T
@@ -97,3 +99,31 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([*rows, (5000, long), (5001, long + " scum")], "doc_id long, text string")
     got = {r.doc_id: r.score for r in T.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
     assert 0 <= got[5000] <= 1 and got[5001] > got[5000]
+
+
+def plain_features(text):
+    """Numbers of words, neighbour pairs and pairs over one and two words, one at a time in whole numbers."""
+    mask = 2**64 - 1
+
+    def mixed(x, seed):
+        x = (x + 0x9E3779B97F4A7C15 * (seed + 1)) & mask
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & mask
+        return x ^ x >> 31
+
+    words = re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))))
+    h = [xxhash.xxh3_64_intdigest(w) for w in words]
+    out = {mixed(x, 1) for x in h}
+    for gap in (1, 2, 3):
+        out |= {mixed((a * 0x9E3779B97F4A7C15 + b) & mask, 1 + gap) for a, b in zip(h, h[gap:])}
+    return {x % (T.DIM - 1) + 1 for x in out}
+
+
+def test_every_score_against_plain_sums(spark):
+    """The whole table's scores are those of the trained weights summed one feature at a time."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    at, w = T.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    weight = dict(zip(at.tolist(), w.tolist(), strict=True))
+    got = sorted((r.doc_id, r.score) for r in T.score(docs, (at, w)).collect())
+    want = sorted((r.doc_id, 1 / (1 + math.exp(-(weight.get(0, 0.0) + sum(weight.get(f, 0.0) for f in plain_features(r.text)))))) for r in docs.collect())
+    assert [d for d, _ in got] == [d for d, _ in want] and all(abs(a - b) < 1e-4 for (_, a), (_, b) in zip(got, want))

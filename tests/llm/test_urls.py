@@ -35,6 +35,13 @@ def test_brute_and_sql(spark):
     assert sorted(tuple(r[names.index(c)] for c in ("page_id", "host", "path", "rule", "verdict")) for r in sql.fetchall() if r[0] != 21) == sorted((i, *brute(u)) for i, u in rows[: len(URLS)] if i != 21)
 
 
+def test_very_long_urls(spark):
+    long = "http://www.spam-farm.example.org/" + "x/" * 200_000
+    rows = [(1, long), (2, "http://" + "a." * 50_000 + "example.com/de/" + "y" * 100_000), (3, "http://" + "b" * 300_000)]
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in U.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), U.default_list(spark)).collect())
+    assert got == [(i, *brute(u)) for i, u in rows] and [g[4] for g in got] == [brute(u)[3] for _, u in rows]
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], "url string")
     pages = spark.createDataFrame([(1, "http://spam-farm.example.org/")], "page_id long, url string")
