@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame that is written as
 Parquet and read again as the next stage's docs. All but the last return the columns of documents; the mixing stage returns a row for
 each copy it takes, and the last returns what is read back from the token files. Documents without a doc_id go at the first stage,
-since no verdict can name them. The method's hashes and sketches aren't expressible in SQL, so
+since no verdict can name them; null texts count as empty, null languages and sources are groups of their own; repeated rows share a fate in every stage, and of
+different rows with one doc_id quality keeps all or none; ties go by the operators' rules; very long texts are worked on whole; an empty table goes through empty; extra columns, of whatever name,
+are carried along to the mixing stage and stay out of the last. The method's hashes and sketches aren't expressible in SQL, so
 ORACLE_SQL is None and tests hold each stage against a brute-force version.
 """
 
