@@ -3,7 +3,7 @@
 A page is cut into blocks at block-level tags. Blocks inside menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments are boilerplate by their markup; blocks inside ``article`` (or ``main``, where a page has no
 ``article``) are content; the others are body. The token streams of everything outside the content are concatenated by host: every suffix of a stream, cut to ``RUN`` tokens, is a
-row, and the rows of all hosts are sorted across tasks by host and suffix (and page, so that no host and no suffix is a single task). Suffixes that equal those of ``PAGES`` distinct
+row, and the rows of all hosts are sorted across tasks by suffix and host (and page, so that no host and no suffix is a single task). Suffixes that equal those of ``PAGES`` distinct
 pages of the host or more mark a substring of ``RUN`` tokens or more that repeats; a block of fewer tokens is a suffix of its own, which ends with the block. Body blocks mostly covered
 by what repeats go as boilerplate. What is left are the content blocks and the unique body, beside an article too, whatever its length.
 Hosts without body blocks aren't sorted, since nothing hangs on their repeats.
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import BROADCAST_ROWS, drop, lookup, materialize
+from tarnspark.llm.common import BROADCAST_ROWS, lookup, materialize
 from tarnspark.llm.words import utf8
 
 RUN, PAGES = 8, 3
@@ -248,84 +248,131 @@ def short_blocks(kinds: list[int], texts: list[str]) -> list[tuple[int, int, int
     return out
 
 
-#: Suffixes that a task holds at once.
-_ROWS = 100_000
+#: Suffixes that a task holds at once, and the bytes of one.
+_ROWS, _WIDTH = 100_000, 4 * RUN
+_SUFFIX = "suffix binary, host long, page long, place int, own boolean"
+
+
+def _binaries(data: bytes) -> pa.Array:
+    n = len(data) // _WIDTH
+    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * _WIDTH, _WIDTH, dtype=np.int32).tobytes()), pa.py_buffer(data)])
 
 
 def _suffixes(batches):
-    """Every suffix of a page's stream by its first ``RUN`` tokens (four bytes of a hash each, end to end); own: whether it starts in a body block or reaches one.
-    A shorter block is also a suffix by itself, as a hash filled up with zeros, at the place -1 - its start."""
-    columns = host, suffix, page, place, own = [], [], [], [], []
-    kinds = [pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()]
+    """Every suffix of a page's stream by its first ``RUN`` tokens (four bytes of a hash each, end to end), with a hash of its host; own: whether it starts in a body block or
+    reaches one. A shorter block is also a suffix by itself, as a hash filled up with zeros, at the place -1 - its start."""
+    held: list[tuple] = []
+    size = 0
 
     def rows() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["host", "suffix", "page", "place", "own"])
-        for x in columns:
-            x.clear()
-        return out
+        data, *columns = zip(*held, strict=True)
+        columns = [np.concatenate(c) for c in columns]
+        held.clear()
+        return pa.RecordBatch.from_arrays([_binaries(b"".join(data)), *map(pa.array, columns)], ["suffix", "host", "page", "place", "own"])
 
     for b in batches:
-        for h, p, blocks_of, texts in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("kinds").to_pylist(), b.column("texts").to_pylist(), strict=True):
-            tokens = stream(blocks_of, texts)
-            names = b"".join(xxhash.xxh3_64_digest(utf8(w))[:4] for w, _ in tokens)
+        for h, p, kinds, texts in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("kinds").to_pylist(), b.column("texts").to_pylist(), strict=True):
+            tokens = stream(kinds, texts)
+            words = [w for w, _ in tokens]
+            names = np.frombuffer(b"".join(xxhash.xxh3_64_digest(utf8(w))[:4] for w in words), np.uint32)
+            n = max(0, len(words) - RUN + 1)
             reach = np.cumsum([0, *[x for _, x in tokens]])
-            for i in range(len(tokens) - RUN + 1):
-                suffix.append(names[4 * i : 4 * (i + RUN)])
-                place.append(i)
-                own.append(bool(reach[i + RUN] > reach[i]))
-                if len(suffix) == _ROWS:
-                    page += [p] * (len(suffix) - len(page))
-                    host += [h] * (len(suffix) - len(host))
+            short = short_blocks(kinds, texts)
+            alone = [xxhash.xxh3_128_digest(utf8(" ".join(words[i : i + k]))).ljust(_WIDTH, b"\0") for i, k, _ in short]
+            host = np.uint64(xxhash.xxh3_64_intdigest(utf8(h))).astype(np.int64)
+            for at in range(0, n + 1, _ROWS):
+                to = min(at + _ROWS, n)
+                last = to == n
+                data = np.lib.stride_tricks.sliding_window_view(names, RUN)[at:to].tobytes() if n else b""
+                place = np.r_[np.arange(at, to), [-1 - i for i, _, _ in short] if last else []].astype(np.int32)
+                own = np.r_[reach[at + RUN : to + RUN] > reach[at:to], [k == BODY for _, _, k in short] if last else []].astype(bool)
+                held.append((data + b"".join(alone if last else []), np.full(len(place), host), np.full(len(place), p, np.int64), place, own))
+                size += len(place)
+                if size >= _ROWS:
                     yield rows()
-            words = [w for w, _ in tokens]
-            for i, n, k in short_blocks(blocks_of, texts):
-                suffix.append(xxhash.xxh3_128_digest(utf8(" ".join(words[i : i + n]))).ljust(4 * RUN, b"\0"))
-                place.append(-1 - i)
-                own.append(k == BODY)
-            page += [p] * (len(suffix) - len(page))
-            host += [h] * (len(suffix) - len(host))
-            if len(suffix) >= _ROWS:
-                yield rows()
-    if suffix:
+                    size = 0
+                if last:
+                    break
+    if size:
         yield rows()
 
 
 def _repeats(batches):
-    """Of rows sorted by host, suffix and page: (page, place) of suffixes that are on ``PAGES`` pages. The first and the last suffix of a task can
-    go on in others: their pages are told (n), and so are their rows as long as these pages are too few."""
-    now, pages, last, waiting, first = None, 0, None, [], True
-    out: list[tuple] = []
+    """Of rows sorted by suffix, host and page: (page, place) of suffixes that are on ``PAGES`` pages of their host. The first and the last suffix of a task can
+    go on in others: their pages are told (n), and so are their rows as long as these pages are too few. A suffix whose rows fill batches is carried on as its page
+    count."""
+    now: tuple | None = None  # the suffix and host that the rows so far end with
+    pages, last, first = 0, None, True
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    edges: list[tuple] = []
 
     def end(edge: bool) -> None:
         if edge and now is not None:
-            out.append((*now, None, None, pages))
-            out.extend((*now, p, i, 0) for p, i in waiting)
-
-    def batch():
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        out.clear()
-        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "suffix", "page", "place", "n"])
+            edges.append((*now, None, None, pages))
+            edges.extend((*now, int(p), int(i), 0) for ps, is_ in waiting for p, i in zip(ps, is_, strict=True))
+        waiting.clear()
+
+    def told(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        page, place = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.int32))
+        columns = list(zip(*edges, strict=True)) or [()] * 5
+        edges.clear()
+        none = len(page)
+        suffix, host, p, i, n = (pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True))
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([pa.nulls(none, pa.binary()), suffix]), pa.concat_arrays([pa.nulls(none, pa.int64()), host]), pa.concat_arrays([pa.array(page, pa.int64()), p]),
+            pa.concat_arrays([pa.array(place, pa.int32()), i]), pa.concat_arrays([pa.nulls(none, pa.int64()), n]),
+        ], ["suffix", "host", "page", "place", "n"])
 
     for b in batches:
-        for h, s, p, i, own in zip(*(b.column(c).to_pylist() for c in ("host", "suffix", "page", "place", "own")), strict=True):
-            if (h, s) != now:
+        size = b.num_rows
+        if not size:
+            continue
+        raw = b.column("suffix")
+        names = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(size, _WIDTH // 8)
+        host, page, place, own = (b.column(c).to_numpy(zero_copy_only=False) for c in ("host", "page", "place", "own"))
+        new = np.r_[True, (names[1:] != names[:-1]).any(axis=1) | (host[1:] != host[:-1])]
+        starts = np.flatnonzero(new)
+        stops = np.r_[starts[1:], size]
+        new_page = new | np.r_[True, page[1:] != page[:-1]]
+        seen = np.cumsum(new_page)
+        count = seen[stops - 1] - seen[starts] + 1  # pages of each group of this batch
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def take(k: int, more: int) -> None:
+            """Group k of the batch as the one that is carried on, or as more of it."""
+            nonlocal pages, last
+            pages += more
+            last = page[stops[k] - 1]
+            mine = slice(starts[k], stops[k])
+            keep = own[mine]
+            waiting.append((page[mine][keep], place[mine][keep]))
+            if pages >= PAGES:
+                found.extend(waiting)
+                waiting.clear()
+
+        begin = 0
+        key = (raw[0].as_py(), int(host[0]))
+        if key == now:
+            take(0, int(count[0]) - int(page[0] == last))
+            begin = 1
+        if begin < len(starts):
+            if now is None:  # the first suffix of the task
+                now, pages = key, 0
+                take(0, int(count[0]))
+                begin = 1
+            if begin < len(starts):
                 end(first)
-                first = now is None
-                now, pages, last, waiting = (h, s), 0, None, []
-            if p != last:
-                pages, last = pages + 1, p
-                if pages == PAGES:
-                    out.extend((None, None, *x, None) for x in waiting)
-                    waiting = []
-            if own:
-                if pages >= PAGES:
-                    out.append((None, None, p, i, None))
-                else:
-                    waiting.append((p, i))
-        yield batch()
+                first = False
+                inner = np.zeros(len(starts), bool)
+                inner[begin : len(starts) - 1] = True
+                mark = np.repeat(inner & (count >= PAGES), stops - starts) & own
+                found.append((page[mark], place[mark]))
+                k = len(starts) - 1
+                now, pages = (raw[int(starts[k])].as_py(), int(host[starts[k]])), 0
+                take(k, int(count[k]))
+        yield told(found)
     end(True)
-    yield batch()
+    yield told([])
 
 
 def repeated(parsed: DataFrame) -> DataFrame:
@@ -336,12 +383,11 @@ def repeated(parsed: DataFrame) -> DataFrame:
     else:  # texts are dealt by page: a host's pages are many
         asked = parsed.join(parsed.select("page", "host").join(hosts, "host", "left_semi").select("page"), "page", "left_semi")
     asked = asked.select("host", "page", "kinds", "texts")
-    suffixes = materialize(asked.mapInArrow(_suffixes, "host string, suffix binary, page long, place int, own boolean"), "suffixes")
+    suffixes = asked.mapInArrow(_suffixes, _SUFFIX)
     n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "suffix", "page"]  # all places of a suffix in a page are in one task
-    found = materialize(suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_repeats, "host string, suffix binary, page long, place int, n long"), "repeats")
-    drop(suffixes)
-    edges = found.where("n > 0").groupBy("host", "suffix").agg(F.sum("n").alias("pages")).where(F.col("pages") >= PAGES)
+    order = ["suffix", "host", "page"]  # all places of a suffix in a page are in one task
+    found = materialize(suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_repeats, "suffix binary, host long, page long, place int, n long"), "repeats")
+    edges = found.where("n > 0").groupBy("suffix", "host").agg(F.sum("n").alias("pages")).where(F.col("pages") >= PAGES)
     late = found.where("n = 0").join(edges, ["host", "suffix"], "left_semi").select("page", "place")
     return found.where("n is null").select("page", "place").unionByName(late).groupBy("page").agg(F.collect_set("place").alias("places"))
 
