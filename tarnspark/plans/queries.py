@@ -815,3 +815,13 @@ def q66_links(spark, sf_dir):
         "c_custkey", U.reviews_link(place).alias("reviews"), U.contact_url(F.concat(F.lit("https://"), k, F.lit(".org/a?b")), F.lit("/contact")).alias("contact"),
         U.listing_search_url(F.concat("c_name", F.lit(" & Co")), F.col("c_mktsegment"), F.lit("AL")).alias("search"), U.listing_profile(path).alias("profile"), found.alias("m"),
     ).select("c_custkey", "reviews", "contact", "search", "profile", "m.*")
+
+
+@query("SELECT DISTINCT user_id, event_type, md5(user_id || '|' || event_type) AS made FROM events")
+def q67_claimed_outputs(spark, sf_dir):
+    """The output of each claim, written with it, from two drops that share most keys."""
+    land, out, check = _drops(spark, sf_dir, F.col("event_id") % 2 == 0, "work")
+    for _ in range(2):
+        made = claims.work(land(), ["user_id", "event_type"], lambda c: c.select("user_id", "event_type", F.md5(F.concat_ws("|", F.col("user_id").cast("string"), "event_type").cast("binary")).alias("made")))
+        claims.run_available(made, out, check)
+    return spark.read.schema("user_id long, event_type string, made string").parquet(out)

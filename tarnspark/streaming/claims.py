@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,12 @@ def claim(stream: DataFrame, keys: list[str], event_time: str | None = None, del
     return stream.dropDuplicates(keys)
 
 
+def work(stream: DataFrame, keys: list[str], output: Callable[[DataFrame], DataFrame], event_time: str | None = None, delay: str | None = None) -> DataFrame:
+    """What ``output`` makes of each key, once: the claim is state of the same query that writes the output, so a batch commits both or neither. A job that stops between
+    claiming and writing loses no claim: the batch runs again from the state before it. ``output`` gives rows from rows, without state."""
+    return output(claim(stream, keys, event_time, delay))
+
+
 STATUS = "key string, status string, attempts long, ts timestamp, seq long"
 
 

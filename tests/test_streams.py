@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarnspark.operators import temporal
@@ -88,3 +89,18 @@ def test_claims_are_settled_or_set_free(spark, tmp_path):
     assert first == [("a", 0, 60, "done")]
     second = run([(7, "c", 30), (9, "c", 70), (11, "x", 400), (10, "x", 400)])
     assert sorted(second, key=repr) == sorted([("a", 0, 60, "done"), ("b", 0, None, "free"), ("c", 10, 70, "done"), ("d", 20, None, "free"), ("x", 400, 400, "done"), ("y", 50, None, "free")], key=repr)
+
+
+def test_a_stop_between_claim_and_output_loses_nothing(spark, tmp_path):
+    """A batch whose output fails has claimed nothing: after a restart each key's output is there once, also those claimed before."""
+    def run(rows, name, broken):
+        s = land(spark, f"{tmp_path}/in", name, rows) if rows else claims.read_drops(spark, f"{tmp_path}/in/*", spark.createDataFrame([], SCHEMA).schema)
+        fail = F.when(F.col("key") == F.lit(broken), F.raise_error(F.lit("stopped")).cast("string")).otherwise(F.concat(F.lit("made of "), "key"))
+        claims.run_available(claims.work(s, ["key"], lambda c: c.select("key", fail.alias("made"))), f"{tmp_path}/out", f"{tmp_path}/check")
+
+    run([(1, "a", 0), (2, "a", 1)], "1", "none")
+    with pytest.raises(Exception, match="stopped"):
+        run([(3, "b", 2), (4, "c", 3), (5, "a", 4)], "2", "c")
+    run(None, "", "none")
+    got = sorted((r.key, r.made) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(k, f"made of {k}") for k in "abc"]
