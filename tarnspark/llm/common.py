@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnspark.operators.skew import hot_groups
+
 #: Rows of a lookup table that may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -61,6 +63,22 @@ def with_docs(docs: DataFrame, rows: DataFrame, keys: tuple[str, ...] = ("doc_id
     return docs.join(rows.hint("merge"), list(keys))
 
 
+def salted_join(rows: DataFrame, one: DataFrame, key: str, spread: str, most: int, how: str = "inner", keys: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined with ``one``, which has a row for each key. The rows of a key with over ``most`` of them are dealt to parts by the column ``spread``, and the
+    key's row goes to each part, so that no task holds a hot key. Tables of ``most`` rows or fewer are joined as they are. ``keys`` is a written table with
+    the keys of ``rows``, where that is none itself."""
+    keys = rows if keys is None else keys
+    if keys.count() <= most:
+        return rows.join(one, key, how)
+    hot = hot_groups(keys, [key], most)
+    if hot.isEmpty():
+        return rows.join(one, key, how)
+    hot = lookup(hot)
+    dealt = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    copies = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import drop, lookup, materialize
+from tarnspark.llm.common import drop, lookup, materialize, salted_join
 from tarnspark.llm.components import components
 from tarnspark.llm.words import Hashes, fold_words, grams, mix
 
 SHINGLE, SIMILARITY, SKETCHES, PICKS, SMALL, LEVELS = 5, 0.8, 16, 3, 16, 1
 #: Counters of shingles, 4 bytes each, that the prefix filter sends to every task.
 SLOTS = 1 << 20
+#: Pairs of one document whose texts one task compares.
+TEXT_PAIRS = 50_000
 _MULTIPLIERS = mix(np.arange(SKETCHES, dtype=np.uint64), 77) | np.uint64(1)
 _SKETCH = "doc_id long, content binary, n int, sketch array<long>"
 
@@ -129,12 +131,13 @@ def _verify(batches):
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar. Only texts of documents in pairs are moved."""
+    """The pairs (a, b) whose texts are similar. Only texts of documents in pairs are moved, and the pairs of a document that has many, as hubs do, are dealt to several tasks."""
     ids = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     own = docs.join(lookup(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     own = materialize(own, "texts")
     left, right = own.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), own.withColumnsRenamed({"doc_id": "b", "text": "text_b"})
-    good = materialize(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links")
+    both = salted_join(salted_join(pairs, left, "a", "b", TEXT_PAIRS), right, "b", "a", TEXT_PAIRS, keys=pairs)
+    good = materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links")
     drop(ids)
     drop(own)
     return good
