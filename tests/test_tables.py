@@ -103,9 +103,10 @@ def test_sketches_merge_within_their_bounds(spark):
     exact = some.select("v").distinct().count()
     assert abs(about - exact) <= 6 * 0.83 / 64 * exact and abs(about - whole) <= 2
     exact = {r.v: r["count"] for r in some.groupBy("v").count().collect()}
+    n = some.count()
     asked = some.select("v").distinct().unionByName(spark.createDataFrame([(10**9,)], "v long"))
     for width, depth in ((256, 3), (2048, 5)):
         months = summaries.count_sketches(df, ["day"], "v", width, depth)
         assert months.groupBy("day").count().agg(F.max("count")).first()[0] <= width * depth
         over = [r.about - exact.get(r.v, 0) for r in summaries.counts_of(months.where("day between 2 and 5"), asked, "v", width, depth).collect()]
-        assert min(over) >= 0 and sum(x > 2.72 / width * some.count() for x in over) <= len(over) * 2.72**-depth + 3
+        assert min(over) >= 0 and sum(x > 2.72 / width * n for x in over) <= len(over) * 2.72**-depth + 3
