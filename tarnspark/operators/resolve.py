@@ -63,12 +63,23 @@ def fuzzy_match(left: DataFrame, right: DataFrame, block: list[str], left_id: st
 
     A pair of at least ``threshold`` shares all but a few tokens: of a set of n tokens at most n - ceil(threshold * n) are not shared,
     so some shared token is among the first n - ceil(threshold * n) + 1 of any fixed order. Both sides explode that prefix in order of
-    frequency within the right side's block, rarest first.
+    frequency within the right side's block, rarest first. Rows of a side with the same tokens in a block are matched once: on the right the one of the least
+    ordinal stands for them, on the left each gets what their tokens found.
     """
+    of = F.array_sort(F.array_distinct(tokens)).alias("_set")
+    asked = left.where((F.size(tokens) > 0) & F.col(left_id).isNotNull()).select(F.col(left_id).alias("_left"), *block, of).withColumn("_own", F.sha2(F.to_json(F.struct(*block, "_set")), 256))
+    known = right.where(F.size(tokens) > 0).select(F.struct((-F.col(ordinal)).alias("_neg"), F.col(right_id).alias("_r")).alias("_first"), *block, of)
+    lefts = asked.groupBy(*block, "_set").agg(F.first("_own").alias("_l")).withColumnRenamed("_set", "_a")
+    rights = known.groupBy(*block, "_set").agg(F.max("_first").alias("_first")).select("_first._r", (-F.col("_first._neg")).alias("_ord"), *block, F.col("_set").alias("_b"))
+    sets = _fuzzy_sets(lefts, rights, block, threshold, stop)
+    best = asked.join(sets, asked["_own"] == sets["_l"]).groupBy("_left").agg(F.max("_best").alias("_best"))
+    return best.select(F.col("_left").alias(left_id), F.col("_best._r").alias(right_id), "_best.score")
 
-    a = left.select(left_id, *block, F.col(tokens).alias("_a")).where((F.size("_a") > 0))
-    b = right.select(right_id, F.col(ordinal).alias("_ord"), *block, F.col(tokens).alias("_b")).where(F.size("_b") > 0)
-    frequency = right.select(*block, F.explode(tokens).alias("_t")).groupBy(*block, "_t").agg(F.count("*").alias("_f"))
+
+def _fuzzy_sets(a: DataFrame, b: DataFrame, block: list[str], threshold: float, stop) -> DataFrame:
+    """_l and ``_best`` (score, negative ordinal, _r), the best right set for each left one: ``a`` (_l, block, _a) and ``b`` (_r, _ord, block, _b) have a row for each set of tokens."""
+    left_id, right_id = "_l", "_r"
+    frequency = b.select(*block, F.explode("_b").alias("_t")).groupBy(*block, "_t").agg(F.count("*").alias("_f"))
 
     def prefix(df, own, ident):
         exploded = df.select(ident, *block, F.size(own).alias("_n"), F.explode(own).alias("_t")).join(frequency, [*block, "_t"], "left")
@@ -83,8 +94,7 @@ def fuzzy_match(left: DataFrame, right: DataFrame, block: list[str], left_id: st
     near &= F.least(F.col(f"_left_{left_id}"), F.col(f"_left_{right_id}")) * (1 + threshold) + 1e-9 >= threshold * (n + m)
     pairs = x.join(y, [*block, "_t"]).where(near).select(left_id, right_id).distinct()
     scored = pairs.join(a.select(left_id, "_a"), left_id).join(b.select(right_id, "_ord", "_b"), right_id).withColumn("score", score(F.col("_a"), F.col("_b"), stop)).where(F.col("score") >= threshold)
-    best = F.max(F.struct("score", (-F.col("_ord")).alias("_neg"), right_id)).alias("_best")
-    return scored.groupBy(left_id).agg(best).select(left_id, F.col(f"_best.{right_id}").alias(right_id), F.col("_best.score").alias("score"))
+    return scored.groupBy(left_id).agg(F.max(F.struct("score", (-F.col("_ord")).alias("_neg"), right_id)).alias("_best"))
 
 
 def match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, ordinal: str, threshold: float = THRESHOLD, stop=rules.STOP_TOKENS) -> DataFrame:
