@@ -15,3 +15,9 @@ def test_repeated_names_match_once(spark, monkeypatch):
     monkeypatch.setattr(resolve, "_fuzzy_sets", lambda a, b, *rest: (sizes.extend([a.count(), b.count()]), plain(a, b, *rest))[1])
     got = resolve.fuzzy_match(df, right, ["block"], "id", "other", "ord", stop=()).collect()
     assert sizes == [3, 3] and sorted(map(tuple, got)) == [(i, 1000 + i % 3, 1.0) for i in range(300)]
+
+
+def test_frames_are_not_read_again(spark):
+    df = spark.range(9).select(F.lit(1).alias("key"), F.timestamp_seconds("id").alias("ts"))
+    plan = temporal.moving_sums(df, ["key"], "ts", 5, {"n": F.lit(1)})._jdf.queryExecution().optimizedPlan().toString()
+    assert "RangeFrame" not in plan.replace("UnboundedPreceding", "") and "unboundedfollowing" not in plan.lower()
