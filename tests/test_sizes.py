@@ -21,3 +21,16 @@ def test_frames_are_not_read_again(spark):
     df = spark.range(9).select(F.lit(1).alias("key"), F.timestamp_seconds("id").alias("ts"))
     plan = temporal.moving_sums(df, ["key"], "ts", 5, {"n": F.lit(1)})._jdf.queryExecution().optimizedPlan().toString()
     assert "RangeFrame" not in plan.replace("UnboundedPreceding", "") and "unboundedfollowing" not in plan.lower()
+
+
+def test_few_rows_of_a_key_are_not_multiplied(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("key"), "id", F.timestamp_seconds("id").alias("s"), F.timestamp_seconds(F.col("id") * 3 + 1).alias("e"))
+    plan = temporal.overlap_join(df, df.withColumnRenamed("id", "other"), ["key"], ("s", "e"), ("s", "e"), ["other"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_bins_hold_few_points_outside_an_interval(spark):
+    lengths = [120, 240, 480, 3600, 86_400]
+    for x in lengths:
+        level = spark.range(1).select(temporal._level(F.lit(x * 1_000_000))).first()[0] - temporal._FINER
+        assert temporal._LEVEL**level <= x * 1_000_000 / 4
