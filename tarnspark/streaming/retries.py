@@ -47,52 +47,71 @@ class Retries(StatefulProcessor):
         self.last = handle.getValueState("last", "attempt int, due long, ends long")  # milliseconds; due is 0 if nothing is due
         self.history = handle.getListState("history", "status string")
 
-    def _forget(self) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.last.clear()
-        self.history.clear()
+    def _load(self) -> None:
+        """The state of the key at hand, which its rows then change in memory: a call to the store for a batch's key, not for each of its rows."""
+        self.now = tuple(self.last.get()) if self.last.exists() else None  # attempt, due, ends
+        self.said = [s for (s,) in self.history.get()] if self.now else []
+        self.before = (self.now, list(self.said))
+
+    def _store(self) -> None:
+        now, said = self.before
+        if self.now == now and self.said == said:
+            return
+        timer = lambda x: x and (x[1] or x[2])
+        if timer(now) != timer(self.now):
+            for t in list(self.handle.listTimers()) if now else ():
+                self.handle.deleteTimer(t)
+            if self.now:
+                self.handle.registerTimer(timer(self.now))
+        if not self.now:
+            self.last.clear()
+            self.history.clear()
+            return
+        if self.now != now:
+            self.last.update(self.now)
+        if self.said != said:
+            self.history.put([(s,) for s in self.said])
 
-    def _set(self, attempt: int, due: int, ends: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.last.update((attempt, due, ends))
-        self.handle.registerTimer(due or ends)
+    def _forget(self) -> None:
+        self.now, self.said = None, []
 
     def _row(self, key: str, status: str, attempt: int, at: int) -> Row:
-        said = ",".join(s for (s,) in self.history.get()) if self.history.exists() else ""
-        return Row(key=key, status=status, attempt=attempt, at=at, history=said)
+        return Row(key=key, status=status, attempt=attempt, at=at, history=",".join(self.said))
 
     def _until(self, key: str, now: int) -> Iterator[Row]:
         """What fell due up to ``now``: rows of a batch come before its timers, so that a batch's size doesn't change results."""
-        if self.last.exists():
-            attempt, due, ends = self.last.get()
+        if self.now:
+            attempt, due, ends = self.now
             if due and due <= now:
                 yield self._row(key, "pending", attempt, due)
                 due = 0
             if ends <= now:
                 self._forget()
             else:
-                self._set(attempt, due, ends)
+                self.now = (attempt, due, ends)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        self._load()
         for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
             now = r.millis
             yield from self._until(key[0], now)
             if r.status in self.terminal:
                 self._forget()
             elif r.status in self.failed:
-                attempt = (self.last.get()[0] if self.last.exists() else 0) + 1
-                self.history.appendValue((r.status,))
+                attempt = (self.now[0] if self.now else 0) + 1
+                self.said.append(r.status)
                 if attempt >= self.attempts:
                     yield self._row(key[0], "exhausted", attempt, now)
                     self._forget()
                 else:
                     wait = backoff_seconds(attempt, self.first, self.most)
-                    self._set(attempt, now + int(wait * 1000), now + int(self.idle * 1000))
+                    self.now = (attempt, now + int(wait * 1000), now + int(self.idle * 1000))
+        self._store()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        self._load()
         yield from self._until(key[0], max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()))
+        self._store()
 
     def close(self) -> None:
         pass

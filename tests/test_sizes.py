@@ -34,3 +34,31 @@ def test_bins_hold_few_points_outside_an_interval(spark):
     for x in lengths:
         level = spark.range(1).select(temporal._level(F.lit(x * 1_000_000))).first()[0] - temporal._FINER
         assert temporal._LEVEL**level <= x * 1_000_000 / 4
+
+
+class _Store:
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            if name in ("update", "put"):
+                self.value = args[0]
+            elif name == "clear":
+                self.value = None
+            return self.value is not None if name == "exists" else self.value
+
+        return call
+
+
+def test_state_calls_of_a_batch():
+    made = Retries(("error",), ("done",), 4, 3, 30, 100)
+    stores, timers = {}, []
+    made.init(SimpleNamespace(
+        getValueState=lambda n, s: stores.setdefault(n, _Store()), getListState=lambda n, s: stores.setdefault(n, _Store()), listTimers=lambda: list(timers),
+        deleteTimer=timers.remove, registerTimer=timers.append,
+    ))
+    rows = [SimpleNamespace(ts=i, seq=i, millis=i * 1000, status="done" if i % 7 == 6 else "error") for i in range(1000)]
+    out = list(made.handleInputRows(("k",), iter(rows), None))
+    assert len(out) == 143 and {r.status for r in out} == {"exhausted"} and sum(s.calls for s in stores.values()) <= 6 and len(timers) == 1
