@@ -9,7 +9,7 @@ UTF-8 never holds; the score is the log10 probability of all bytes of a text wit
 The work. One pass counts the strings of DEPTH + 1 bytes and the words of all texts. Tables of nodes, one for each depth, are aggregated upwards
 (counts and probabilities) and joined downwards (mixtures), which gives the log probability of each string that any text has. A
 second pass sums them for each text: the ``HELD`` most frequent strings and words, a table of fixed size at any input, are sent to the
-tasks; a text's others are exploded and joined with their tables. No string or word that isn't held has more than 1 / HELD of all occurrences, so no key is hot.
+tasks; a text's others are exploded and joined with their tables by a shuffle, as are all tables that grow with the texts, so that the driver holds no more at a larger input. No string or word that isn't held has more than 1 / HELD of all occurrences, so no key is hot.
 
 Defined cases: a null or empty text is its end alone; a null doc_id isn't held out; repeated rows each count and score; a very long text is read in
 pieces cut at white space; with no training text every probability is that of an empty tree (a half a bit) and the base has N = V = 0; an empty table
@@ -199,10 +199,11 @@ def string_scores(strings: DataFrame, depth: int) -> DataFrame:
             level = level.withColumns({"above0": F.lit(0.0), "above1": F.lit(0.0), "rest": F.lit(1.0)})
         else:
             up = mixed.select(F.col("node").alias("_up"), F.col("p0").alias("above0"), F.col("p1").alias("above1"), F.col("left").alias("rest"))
-            level = level.join(up, F.col("node").bitwiseAND((1 << (8 * d)) - 1) == F.col("_up"))
+            # a table's size on disk says little of its rows in memory: a deep level is not broadcast
+            level = level.join(up.hint("merge") if d > 2 else up, F.col("node").bitwiseAND((1 << (8 * d)) - 1) == F.col("_up"))
         share = F.col("rest") * F.col("stop") / n
         mixed = level.select("node", (F.col("above0") + share * (F.col("n0") + 0.5)).alias("p0"), (F.col("above1") + share * (F.col("n1") + 0.5)).alias("p1"), (F.col("rest") * (1 - F.col("stop"))).alias("left"))
-    taken = bits.join(mixed.select("node", "p0", "p1"), "node").groupBy("string").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p1")).otherwise(F.col("p0")))).alias("score"), F.max("seen").alias("seen"), F.max("total").alias("total"))
+    taken = bits.join(mixed.select("node", "p0", "p1").hint("merge"), "node").groupBy("string").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p1")).otherwise(F.col("p0")))).alias("score"), F.max("seen").alias("seen"), F.max("total").alias("total"))
     return materialize(taken.select("string", "seen", "total", "score"), "strings")
 
 
@@ -311,12 +312,12 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, held: int = HELD) -> DataFr
     held_words = most_frequent(words, held).select("word", "seen").toArrow().combine_chunks()
     send = lambda t: spark.sparkContext.broadcast([t.column(i).combine_chunks() for i in range(t.num_columns)])
     first = materialize(docs.mapInArrow(_score(depth, send(held_strings), send(held_words)), _SCORED).withColumn("row", F.monotonically_increasing_id()), "scored")
-    by_string = first.select("row", F.inline("strings")).join(strings.select("string", F.col("score").alias("s")), "string").groupBy("row").agg(F.sum(F.col("n") * F.col("s")).alias("more_score"))
-    by_word = first.select("row", F.inline("words")).join(words.where("seen > 0").select("word", F.col("seen").alias("c")), "word").groupBy("row").agg(
+    by_string = first.select("row", F.inline("strings")).join(strings.select("string", F.col("score").alias("s")).hint("merge"), "string").groupBy("row").agg(F.sum(F.col("n") * F.col("s")).alias("more_score"))
+    by_word = first.select("row", F.inline("words")).join(words.where("seen > 0").select("word", F.col("seen").alias("c")).hint("merge"), "word").groupBy("row").agg(
         F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more_base")
     )
     zero = lambda c: F.coalesce(c, F.lit(0))
-    out = first.drop("strings", "words").join(by_string, "row", "left").join(by_word, "row", "left")
+    out = first.drop("strings", "words").join(by_string.hint("merge"), "row", "left").join(by_word.hint("merge"), "row", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + zero("more_known")).alias("n_known"), F.lit(size["n"]).cast("long").alias("train_tokens"),
         (F.col("base") + zero("more_base") - F.col("n_tokens") * math.log10(size["n"] + size["v"] + 1)).alias("base_score"), (F.col("score") + zero("more_score")).alias("score"),
