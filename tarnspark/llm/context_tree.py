@@ -43,6 +43,8 @@ _SPACE = re.compile(rb"[ \t-\r]")
 #: The end of a text as a word: no word is or begins with a space.
 END_WORD = b" "
 _LONG_WORD = 64
+#: Whether a byte belongs to a word: white space and the end of a text don't.
+_IN_WORD = np.array([i != 32 and not 9 <= i <= 13 and i != _END[0] for i in range(256)])
 
 
 def held_out() -> Column:
@@ -96,8 +98,26 @@ def _strings(group: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return s[own], n - depth
 
 
-def _words(piece: bytes, depth: int) -> list[bytes]:
-    return [w if len(w) <= _LONG_WORD else _word_key(w) for w in piece[depth:].rstrip(_END).split()]
+def _words(group: list[bytes], depth: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The number of each word of the pieces in a table of distinct ones, that table as keys, and how many words each piece has. Words are cut and told apart as arrays."""
+    data = np.frombuffer(b"".join(group), dtype=np.uint8)
+    n = np.array([len(p) for p in group])
+    starts = np.cumsum(n) - n
+    inside = _IN_WORD[data]
+    for k in range(depth):
+        inside[starts + k] = False
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    first, last = edges[::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+    distinct = found.dictionary
+    long = np.flatnonzero(np.diff(np.frombuffer(distinct.buffers()[1], np.int32)[: len(distinct) + 1]) > _LONG_WORD).tolist() if len(distinct) else []
+    if long:
+        keys = distinct.to_pylist()
+        for i in long:
+            keys[i] = _word_key(keys[i])
+        distinct = pa.array(keys, pa.binary())
+    return found.indices.to_numpy(), distinct, np.diff(np.searchsorted(first, np.append(starts, len(data))))
 
 
 def _summed(keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
@@ -112,19 +132,20 @@ _COUNTS = pa.schema([("string", pa.int64()), ("word", pa.binary()), ("seen", pa.
 
 def _count(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {True: Counter(), False: Counter()}
+        words: list[pa.Table] = []
+        ends_seen, ends_total, waiting = 0, 0, 0
         held: list[list[np.ndarray]] = []
 
         def strings_out() -> pa.RecordBatch:
             s, seen, total = held.pop()
             return pa.record_batch([pa.array(s), pa.nulls(len(s), pa.binary()), pa.array(seen), pa.array(total)], schema=_COUNTS)
 
-        def words_out() -> pa.RecordBatch:
-            seen = [*[1] * len(words[True]), *[0] * len(words[False])]
-            total = np.array([*words[True].values(), *words[False].values()], dtype=np.int64)
-            keys = [*words[True], *words[False]]
-            words[True].clear(), words[False].clear()
-            return pa.record_batch([pa.nulls(len(keys), pa.int64()), pa.array(keys, pa.binary()), pa.array(total * np.array(seen, dtype=np.int64)), pa.array(total)], schema=_COUNTS)
+        def merged() -> pa.Table:
+            return pa.concat_tables(words).group_by("word", use_threads=False).aggregate([("seen", "sum"), ("total", "sum")]).select(["word", "seen_sum", "total_sum"]).rename_columns(["word", "seen", "total"])
+
+        def words_out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            for b in table.combine_chunks().to_batches():
+                yield pa.record_batch([pa.nulls(b.num_rows, pa.int64()), *b.columns], schema=_COUNTS)
 
         for batch in batches:
             train = batch.column(0).to_pylist()
@@ -138,16 +159,25 @@ def _count(depth: int):
                 held.append(_summed(*[np.concatenate(c) for c in zip(held.pop(), new)]) if held else _summed(*new))
                 if len(held[0][0]) > WAITING:
                     yield strings_out()
-                for i, piece in zip(at, group):
-                    c = words[train[i]]
-                    c.update(_words(piece, depth))
-                    c[END_WORD] += piece.endswith(_END)
-                if sum(map(len, words.values())) > WAITING:
-                    yield words_out()
+                number, distinct, each = _words(group, depth)
+                marks = np.array([bool(train[i]) for i in at])
+                ends = np.array([piece.endswith(_END) for piece in group])
+                ends_seen, ends_total = ends_seen + int(np.count_nonzero(ends & marks)), ends_total + int(np.count_nonzero(ends))
+                seen = np.bincount(number[np.repeat(marks, each)], minlength=len(distinct))
+                words.append(pa.table([distinct, pa.array(seen), pa.array(np.bincount(number, minlength=len(distinct)))], ["word", "seen", "total"]))
+                waiting += len(distinct)
+                if waiting > WAITING:
+                    words = [merged()]
+                    waiting = len(words[0])
+                    if waiting > WAITING // 2:
+                        yield from words_out(words.pop())
+                        waiting = 0
         if held:
             yield strings_out()
-        if any(words.values()):
-            yield words_out()
+        if ends_total:
+            words.append(pa.table([pa.array([END_WORD], pa.binary()), pa.array([ends_seen]), pa.array([ends_total])], ["word", "seen", "total"]))
+        if words:
+            yield from words_out(merged())
 
     return run
 
@@ -277,14 +307,15 @@ def _score(depth: int, strings, words):
                     odd_strings.update(zip(of[odd].tolist(), s[odd].tolist()))
                     got[odd] = 0.0
                 score += np.bincount(of, weights=got, minlength=m)
-                each = [_words(p, depth) + [END_WORD] * p.endswith(_END) for p in group]
-                flat = [w for ws in each for w in ws]
-                of = np.repeat(at, [len(ws) for ws in each])
-                got = np.array(list(map(logs.get, flat)), dtype=float)
+                number, distinct, each = _words(group, depth)
+                ended = np.array([i for i, p in zip(at, group) if p.endswith(_END)], dtype=np.int64)
+                of = np.concatenate([np.repeat(at, each), ended])
+                number = np.concatenate([number, np.full(len(ended), len(distinct))])
+                keys = [*distinct.to_numpy(zero_copy_only=False).tolist(), END_WORD]
+                got = np.array(list(map(logs.get, keys)), dtype=float)[number]
                 odd = np.isnan(got)
                 if odd.any():
-                    where = np.flatnonzero(odd).tolist()
-                    odd_words.update(zip(of[odd].tolist(), [flat[i] for i in where]))
+                    odd_words.update(zip(of[odd].tolist(), [keys[i] for i in number[odd].tolist()]))
                     got[odd] = 0.0
                 tokens += np.bincount(of, minlength=m)
                 known += np.bincount(of, weights=got > 0, minlength=m).astype(np.int64)

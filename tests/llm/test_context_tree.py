@@ -154,3 +154,14 @@ def test_most_frequent_never_holds_more(spark):
     df = spark.createDataFrame([(i, 1 + i % 5 + (5000 if i == 7 else 0)) for i in range(100)], "string long, total long")
     assert [C.most_frequent(df, n).count() for n in (0, 1, 20, 21, 40, 100)] == [0, 1, 1, 21, 21, 100] or [C.most_frequent(df, n).count() <= n for n in (0, 1, 20, 21, 40, 100)] == [True] * 6
     assert C.most_frequent(df, 1).first()["string"] == 7
+
+
+def test_words_are_cut_as_arrays():
+    long = "w" * 70 + "é"
+    texts = ["", " \t a\x0bb\x0cb  ", f"{long} b {long}", "é\xa0é x", "\x1c\x1d y"]
+    for depth in (0, 2, 4):
+        group = [p for t in texts for p in C._pieces(data(t), depth)]
+        number, distinct, each = C._words(group, depth)
+        keys = distinct.to_pylist()
+        plain = [[w if len(w) <= 64 else C._word_key(w) for w in data(t).split()] for t in texts]
+        assert each.tolist() == [len(ws) for ws in plain] and [keys[i] for i in number.tolist()] == [w for ws in plain for w in ws]
