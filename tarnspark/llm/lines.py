@@ -34,8 +34,10 @@ from tarnspark.llm.words import FOLD_DIGITS, mix, utf8
 
 SIMILARITY, LEAST_WORDS, GATE, BLOCKS = 0.8, 3, 17, 2
 BANDS, PICKS, FEW_WORDS, WINDOW, NEXT, ORDERS = 6, 3, 12, 15, 2, 16
-#: Code points from which on pairs of lines are compared one by one, if few are of about one length.
-LONG = 400
+#: Fewer pairs than this for each 64 rows of their band are compared one by one.
+FEW = 10
+#: So many pairs are compared at once even if their lengths differ more.
+TOGETHER = 256
 #: Rows of keys that a task of the search gets, and those of one key that it holds at once.
 TASK_ROWS, HELD_ROWS = 2_500_000, 1_000_000
 #: Lines of a large group that meet as many others in one piece of work, and how many of them at once.
@@ -52,6 +54,8 @@ _ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
 _BYTES = mix(np.arange(256, dtype=np.uint64), 79)
 #: A byte's bits spread over the eight bytes of a number.
 _LANES = np.array([sum(1 << 8 * b for b in range(8) if i >> b & 1) for i in range(256)], np.uint64)
+#: What is left of a number behind each eighth of its bits: shifts by which the rows below are counted.
+_EIGHTHS = np.arange(8, 72, 8, dtype=np.uint64)[:, None]
 
 
 #: As the other signs become blanks, line breaks stay.
@@ -371,82 +375,118 @@ def trimmed(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
     return (x, y) if len(x) <= len(y) else (y, x)
 
 
-def distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
-    """Edit distances of pairs (shorter, longer) of code points if they are at most ``band``, else some upper bound: columns of bits of all pairs at once,
-    64 rows in a number, along the diagonal. A pair is left as soon as a whole column of its band lies above ``band``."""
-    n = len(pairs)
+def distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: int | list[int]) -> np.ndarray:
+    """Edit distances of pairs (shorter, longer) of code points that are at most ``most``, for others some number above it: columns of bits of all pairs at once,
+    64 rows in a number. A path of so few edits stays within half of them from the diagonals of its ends, and only these rows are worked on; a pair is left as soon as
+    all its rows of a column lie above its bound."""
     m, t = (np.array([len(p[i]) for p in pairs]) for i in (0, 1))
-    out = t.copy()
+    falling = np.argsort(-t, kind="stable")  # so the pairs that a column belongs to stand first
+    given, pairs, own, m, t, most = pairs, [pairs[i] for i in falling.tolist()], falling, m[falling], t[falling], np.broadcast_to(most, len(pairs))[falling]
+    out = np.empty(len(pairs), np.int64)
+    out[own] = np.maximum(t, most + 1)
+    n = len(pairs)
     flat = np.concatenate([c for p in pairs for c in p])
     seen = np.zeros(int(flat.max()) + 1, np.int64)
     seen[flat] = 1
     kinds = int(seen.sum())
     codes = (np.cumsum(seen) - 1)[flat]
     size = np.stack([m, t], 1).ravel()
-    starts = np.cumsum(size) - size
-    blocks, one, every = -(-int(m.max()) // 64), np.uint64(1), np.arange(n)
+    first = np.repeat(np.arange(2 * n) % 2 == 0, size)
+    blocks = -(-int(m.max()) // 64)
     rows = np.full((n, 64 * blocks), kinds)  # a kind of its own behind the end
-    rows[np.arange(64 * blocks) < m[:, None]] = codes[np.repeat(np.arange(2 * n) % 2 == 0, size)]
+    rows[np.arange(64 * blocks) < m[:, None]] = codes[first]
     place = np.zeros((blocks, kinds + 1, n), np.uint64)
     for i in range(64):
-        place[np.arange(blocks), rows[:, i::64], every[:, None]] |= one << np.uint64(i)
-    own, at = every, starts[1::2]
+        place[np.arange(blocks), rows[:, i::64], np.arange(n)[:, None]] |= np.uint64(1 << i)
+    columns = np.full((n, int(t[0])), kinds)
+    columns[np.arange(int(t[0])) < t[:, None]] = codes[~first]
+    columns = np.ascontiguousarray(columns.T)
+
+    above, below = ((most + t - m) // 2).max(), ((most - t + m) // 2).max()
     up, down = np.full((blocks, n), _ALL), np.zeros((blocks, n), np.uint64)
     bottom = np.zeros((blocks, n), np.int64)  # the distance in the last row of each block
-    begun = 0
-    with np.errstate(over="ignore"):
-        for j in range(int(t.max())):
-            here = t > j
-            all_here = bool(here.all())
-            c = codes[np.where(here, at + j, 0)]
-            start, stop = max(0, j - band) // 64, min(blocks, (j + band) // 64 + 1)
-            for b in range(begun, stop):
-                bottom[b] = (bottom[b - 1] if b else j) + 64
-            begun = max(begun, stop)
-            more, less = np.ones(len(own), np.uint64), np.zeros(len(own), np.uint64)
-            for b in range(start, stop):
-                same, v, w = place[b, c, every], up[b], down[b]
-                across = same | w
-                same |= less
-                diagonal = (((same & v) + v) ^ v) | same
-                above, below = w | ~(diagonal | v), v & diagonal
-                more_next, less_next = above >> np.uint64(63), below >> np.uint64(63)
-                above, below = above << one | more, below << one | less
-                v_next, w_next = below | ~(across | above), above & across
-                step = more_next.astype(np.int64) - less_next.astype(np.int64)
-                if all_here:
-                    up[b], down[b] = v_next, w_next
-                    bottom[b] += step
-                else:
-                    up[b], down[b] = np.where(here, v_next, v), np.where(here, w_next, w)
-                    bottom[b] += np.where(here, step, 0)
-                more, less = more_next, less_next
-            if j % 32 == 31 and stop > start:
-                # neighbouring rows differ by at most one, so the ends of a block bound what is between
-                least = bottom[start] - 64 if start else (j + 1 + bottom[0] - 64) // 2
-                for b in range(start + 1, stop):
-                    least = np.minimum(least, (bottom[b - 1] + bottom[b] - 64) // 2)
-                stay = np.flatnonzero(~here | (least <= band))
-                if not len(stay):
+    begun, at, places = 0, np.arange(n), place.reshape(blocks, -1)
+    a, b, c, across, more, less = np.empty((6, n), np.uint64)
+    top = np.full(n, 63, np.uint64)
+    here, ends = n, np.searchsorted(-t, -np.arange(int(t[0])), side="left")  # pairs that have a column j
+    for j in range(int(t[0])):
+        here = int(ends[j])
+        if not here:
+            break
+        start, stop = max(0, j - above) // 64, min(blocks, (j + below) // 64 + 1)
+        for k in range(begun, stop):
+            up[k, :here], down[k, :here] = _ALL, 0
+            bottom[k, :here] = (bottom[k - 1, :here] if k else j) + 64
+        begun = stop
+        kind = columns[j, :here] * len(own) + at[:here]
+        x, y, z, w, p, q = a[:here], b[:here], c[:here], across[:here], more[:here], less[:here]
+        p.fill(1)
+        q.fill(0)
+        for k in range(start, stop):
+            v, u, same = up[k, :here], down[k, :here], places[k].take(kind)
+            np.bitwise_or(same, u, out=w)
+            same |= q
+            np.bitwise_and(same, v, out=x)
+            x += v
+            x ^= v
+            x |= same
+            np.bitwise_or(x, v, out=y)
+            np.invert(y, out=y)
+            y |= u
+            x &= v
+            np.right_shift(y, top[:here], out=z)
+            y += y
+            y |= p
+            p[:] = z
+            np.right_shift(x, top[:here], out=z)
+            x += x
+            x |= q
+            q[:] = z
+            np.bitwise_and(y, w, out=u)
+            np.bitwise_or(y, w, out=v)
+            np.invert(v, out=v)
+            v |= x
+            step = bottom[k, :here]
+            step += p.view(np.int64)
+            step -= q.view(np.int64)
+        if j % 32 == 31 and stop > start:
+            # neighbouring rows differ by at most one, so rows eight apart bound what is between; what is left costs the difference of its lengths at least
+            x, y = up[start:stop, None, :here], down[start:stop, None, :here]
+            points = (bottom[start:stop, None, :here] - np.bitwise_count(x >> _EIGHTHS) + np.bitwise_count(y >> _EIGHTHS)).reshape(-1, here)
+            head = points[:1] - np.bitwise_count(up[start, :here] & np.uint64(255)) + np.bitwise_count(down[start, :here] & np.uint64(255))
+            points = np.concatenate([head, points])
+            ahead = (t - m)[:here] - (j + 1) + np.arange(64 * start, 64 * stop + 1, 8)[:, None]
+            least = (points[:-1] + points[1:] - 8) // 2 + np.maximum(0, np.maximum(ahead[:-1], -ahead[1:]))
+            stay = np.r_[least.min(axis=0) <= most[:here], np.ones(len(own) - here, bool)]
+            if not stay.any():
+                return out
+            if stay.sum() < 0.8 * len(own):
+                stay = np.flatnonzero(stay)
+                own, m, t, most = own[stay], m[stay], t[stay], most[stay]
+                if len(own) * int(t[0]) < FEW * (stop - start) * (int(t[0]) - j):
+                    out[own] = [long_distance(*(c.tolist() for c in given[i]), bound) for i, bound in zip(own.tolist(), most.tolist(), strict=True)]
                     return out
-                if len(stay) < 0.7 * len(own):
-                    own, at, m, t = own[stay], at[stay], m[stay], t[stay]
-                    place, up, down, bottom, every = place[:, :, stay], up[:, stay], down[:, stay], bottom[:, stay], np.arange(len(stay))
+                place, up, down, bottom, columns = place[:, :, stay], up[:, stay], down[:, stay], bottom[:, stay], columns[:, stay]
+                places, at, ends = place.reshape(blocks, -1), at[: len(own)], np.searchsorted(-t, -np.arange(len(columns)), side="left")
+            still = slice(0, int(np.count_nonzero(t > j + 1)) or None)
+            above, below = ((most + t - m)[still] // 2).max(), ((most - t + m)[still] // 2).max()
+    every = np.arange(len(own))
     last, rows = (m - 1) // 64, ((m - 1) % 64 + 1).astype(np.uint64)
     beyond = np.where(rows == 64, np.uint64(0), _ALL << (rows % np.uint64(64)))
-    out[own] = bottom[last, every] - np.bitwise_count(up[last, every] & beyond).astype(np.int64) + np.bitwise_count(down[last, every] & beyond)
+    found = bottom[last, every] - np.bitwise_count(up[last, every] & beyond).astype(np.int64) + np.bitwise_count(down[last, every] & beyond)
+    out[own] = np.where(t - m <= most, found, np.maximum(t, most + 1))
     return out
 
 
 def long_distance(x: list[int], y: list[int], most: int | None = None) -> int:
-    """The edit distance of one pair, or some number above ``most`` if it is more: columns of bits in numbers of any length, for lines so long that few stand together."""
+    """The edit distance of one pair, or some number above ``most`` if it is more: columns of bits in numbers of any length, for pairs of which few stand together."""
     place: dict[int, int] = {}
     for i, c in enumerate(x):
         place[c] = place.get(c, 0) | 1 << i
     full, top = (1 << len(x)) - 1, 1 << len(x) - 1
     up, down, distance = full, 0, len(x)
     spare = len(y) + (len(x) + len(y) if most is None else most)  # a column takes one off at most
-    for c in y:
+    for j, c in enumerate(y, 1):
         same = place.get(c, 0)
         across = same | down
         diagonal = (((same & up) + up) ^ up) | across
@@ -457,6 +497,13 @@ def long_distance(x: list[int], y: list[int], most: int | None = None) -> int:
             return distance if most is None else max(distance, most + 1)
         above, below = (above << 1 | 1) & full, below << 1 & full
         up, down = below | ~(across | above) & full, above & across
+        if most is not None and j % 64 == 0:
+            # rows of the column that a path of ``most`` edits can pass, 16 apart, and the difference of the lengths that are left
+            rows = list(range(max(0, j - most), min(len(x), j + most) + 16, 16))
+            values = [j + (up & (1 << i) - 1).bit_count() - (down & (1 << i) - 1).bit_count() for i in (min(i, len(x)) for i in rows)]
+            left = [len(y) - j - len(x) + i for i in rows]
+            if all((v + w - 16) // 2 + max(0, d, -e) > most for v, w, d, e in zip(values, values[1:], left, left[1:])):
+                return most + 1
     return distance
 
 
@@ -472,28 +519,20 @@ def similar(pairs: list[tuple[str, str]]) -> np.ndarray:
                 out[i] = True
             elif len(x):
                 rest.append((len(y), i, most, x, y))
-    narrow = [r for r in rest if len(r[4]) - len(r[3]) <= r[2] // 5]
-    wide = [r for r in rest if len(r[4]) - len(r[3]) > r[2] // 5]
-    for part_of, rest in ((5, narrow), (1, wide)):  # most similar lines are found in a narrow band, and the others join the wide ones
-        rest.sort(key=lambda r: r[:2])
-        at = 0
-        while at < len(rest):  # pairs of about one length together
-            size = max(1, min(2048, 1_000_000 // (rest[at][0] + 64)))
-            while rest[min(at + size, len(rest)) - 1][0] > 1.25 * rest[at][0] + 64:
-                size = size // 2
-            part = rest[at : at + size]
-            at += size
-            band = max(r[2] // part_of for r in part)
-            if part[-1][0] > LONG and len(part) < 16 * (band // 32 + 2):
-                for r in part:
-                    out[r[1]] = long_distance(r[3].tolist(), r[4].tolist(), r[2]) <= r[2]
-                continue
-            found = distances([r[3:] for r in part], band)
-            for r, d in zip(part, found.tolist(), strict=True):
-                if d <= r[2]:
-                    out[r[1]] = True
-                elif part_of > 1:
-                    wide.append(r)
+    rest.sort(key=lambda r: (r[2] // 64, r[0], r[1]))
+    at = 0
+    while at < len(rest):  # pairs of bands of about one width together
+        size = max(1, min(2048, 2_000_000 // (rest[at][0] + 64)))
+        while size > 1 and (rest[min(at + size, len(rest)) - 1][0] > (1.5 if size > TOGETHER else 3) * rest[at][0] + 64 or rest[min(at + size, len(rest)) - 1][2] // 64 > (rest[at][2] // 64) * (1 if size > TOGETHER else 1.5)):
+            size = size // 2
+        part = rest[at : at + size]
+        at += size
+        if len(part) < FEW * (part[-1][2] // 64 + 1):
+            found = [long_distance(r[3].tolist(), r[4].tolist(), r[2]) for r in part]
+        else:
+            found = distances([r[3:] for r in part], [r[2] for r in part]).tolist()
+        for r, d in zip(part, found, strict=True):
+            out[r[1]] = d <= r[2]
     return out
 
 

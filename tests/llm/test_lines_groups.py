@@ -89,3 +89,22 @@ def test_distances_above_the_band_are_left_early():
     for band in (20, 60, 180, 900):
         assert all(d == w if w <= band else d > band for d, w in zip(L.distances(pairs, band).tolist(), true, strict=True))
         assert all((L.long_distance(x.tolist(), y.tolist(), band) <= band) == (w <= band) for (x, y), w in zip(pairs[:20], true, strict=False))
+
+
+def test_each_pair_has_its_own_bound():
+    rng = np.random.default_rng(8)
+    pairs = []
+    for n in rng.integers(1, 700, 400).tolist():
+        x = rng.integers(97, 103, n)
+        y = np.concatenate([rng.integers(97, 103, rng.integers(0, 40)), np.where(rng.random(n) < rng.choice([0.02, 0.2, 0.9]), rng.integers(97, 103, n), x)])
+        pairs.append((x, y))
+    true = [L.long_distance(x.tolist(), y.tolist()) for x, y in pairs]
+    bounds = [max(0, t + int(rng.integers(-30, 30))) for t in true]
+    for few in (0, 10):
+        L_few, L.FEW = L.FEW, few
+        try:
+            got = L.distances(pairs, bounds).tolist()
+        finally:
+            L.FEW = L_few
+        assert all(d == t if t <= b else d > b for d, t, b in zip(got, true, bounds, strict=True))
+    assert all((L.long_distance(x.tolist(), y.tolist(), b) <= b) == (t <= b) for (x, y), t, b in zip(pairs, true, bounds, strict=True))
