@@ -8,9 +8,9 @@ Lines are lower-cased, digits become 0 and other signs blanks. Equal normalised
   finds any change of one word. Blocks alone find few pairs of edit similarity 0.8 (README gives the measured share).
 
 All lines under a key meet. Pairs within ``GATE`` bits (those that differ in one word, whatever their bits) whose lengths allow it are verified by the edit similarity of the normalised lines
-(1 - distance / longer length >= ``SIMILARITY``) in three rounds: first those with the nearest line and the first line of a group, then the other pairs of groups of up to ``WINDOW`` + 1 lines and,
-in larger ones, neighbours in ``ORDERS`` orders of the SimHash, at last all other pairs of larger groups. A round leaves out pairs whose lines are connected already, which gives the groups that
-verifying all would give. The last one deals a group to squares of ``PART`` lines by ``PART``, so that no task holds a group; a group whose lines stay apart costs the square of its size.
+(1 - distance / longer length >= ``SIMILARITY``) in two rounds: first those with the next line by SimHash and, in groups of over ``WINDOW`` + 1 lines, with the first one, then all other pairs.
+Pairs whose lines are connected already are left out, which gives the groups that verifying all would give. The second round deals a group to squares of ``PART`` lines by ``PART``, so that no task
+holds a group, and compares lines where they meet: a text is sent to a square once, not with each of its pairs. A group whose lines stay apart costs the square of its size in comparisons.
 The first occurrence (least doc_id, then line number) of each group is kept. Which lines share a key is by chance: README gives the measured recall.
 
 Lines with fewer than ``LEAST_WORDS`` words are always kept. Defined cases: null and empty texts have one blank line; rows without a
@@ -25,23 +25,27 @@ from functools import lru_cache, partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnspark.llm.common import drop, materialize
+from tarnspark.llm.common import drop, materialize, new_path
 from tarnspark.llm.components import components
 from tarnspark.llm.words import FOLD_DIGITS, mix, utf8
 
 SIMILARITY, LEAST_WORDS, GATE, BLOCKS = 0.8, 3, 17, 2
-BANDS, PICKS, FEW_WORDS, WINDOW, NEXT, ORDERS = 6, 3, 12, 15, 2, 16
+BANDS, PICKS, FEW_WORDS, WINDOW = 6, 3, 12, 15
+#: Lines of more code points than this are first aligned by their words, of which so many are passed over at once; further ones are looked up.
+ALIGNED, AHEAD, FAR = 150, 12, 200
 #: Fewer pairs than this for each 64 rows of their band are compared one by one.
 FEW = 10
 #: So many pairs are compared at once even if their lengths differ more.
 TOGETHER = 256
 #: Rows of keys that a task of the search gets, and those of one key that it holds at once.
 TASK_ROWS, HELD_ROWS = 2_500_000, 1_000_000
-#: Lines of a large group that meet as many others in one piece of work, and how many of them at once.
-PART, SLICE = 4096, 256
+#: Lines of a large group that meet as many others in one piece of work, and how many of them at once; groups of up to ``SMALL`` lines meet together with others.
+PART, SLICE, SMALL = 512, 256, 32
+#: Pairs that are compared before those that got connected are left out, and those that wait for it at most.
+TURN, TOO_MANY = 4096, 1_000_000
 #: A line's length is sent as its logarithm to the base of ``STEP``; similar lines differ by so many steps at most.
 STEP = 1.02
 STEPS = int(np.log(1 / SIMILARITY) / np.log(STEP)) + 1
@@ -226,7 +230,8 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def meet(key: np.ndarray, sim: np.ndarray, code: np.ndarray, length: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of the pairs of the first two rounds that pass the gate, and whether they are of the first; rows come sorted by key and SimHash."""
+    """Codes of pairs that pass the gate, and whether they are of the first round: all of small groups, of large ones those with the
+    first line and a neighbour; rows come sorted by key and SimHash."""
     fresh = _fresh(key, code)
     key, sim, code = key[fresh], sim[fresh], code[fresh]
     length = np.zeros(len(key), np.int16) if length is None else length[fresh]
@@ -236,24 +241,16 @@ def meet(key: np.ndarray, sim: np.ndarray, code: np.ndarray, length: np.ndarray
         ok = (np.bitwise_count(sim[a] ^ sim[b]) <= GATE) & (code[a] != code[b]) & (np.abs(length[a] - length[b]) <= STEPS)
         found.append((np.minimum(code[a[ok]], code[b[ok]]), np.maximum(code[a[ok]], code[b[ok]]), np.full(ok.sum(), early)))
 
-    def neighbours(order, most, early=False):
-        k = key[order]
-        for gap in range(1, min(most + 1, len(order))):
-            at = np.flatnonzero(k[gap:] == k[:-gap])
-            if not len(at):
-                return
-            near(order[at], order[at + gap], early and gap == 1)
-
     first, size, is_large = _groups(key)
-    neighbours(np.flatnonzero(~is_large), WINDOW, True)
+    at = np.flatnonzero(key[1:] == key[:-1])
+    near(at, at + 1, True)
     large = np.flatnonzero(is_large)
-    if len(large):
-        near(np.repeat(first, size)[large], large, True)
-        neighbours(large, NEXT, True)
-        for turn in range(64 // ORDERS, 64, 64 // ORDERS):
-            turned = sim[large] << np.uint64(turn) | sim[large] >> np.uint64(64 - turn)
-            neighbours(large[np.lexsort((turned, key[large]))], NEXT)
-    x, y, early = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
+    near(np.repeat(first, size)[large], large, True)
+    small = np.flatnonzero(~is_large)
+    for gap in range(2, WINDOW + 1):
+        at = np.flatnonzero(key[small][gap:] == key[small][:-gap])
+        near(small[at], small[at + gap], False)
+    x, y, early = (np.concatenate(c) for c in zip(*found, strict=True))
     order = np.lexsort((~early, y, x))
     x, y, early = x[order], y[order], early[order]
     once = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if len(x) else np.empty(0, bool)
@@ -261,7 +258,7 @@ def meet(key: np.ndarray, sim: np.ndarray, code: np.ndarray, length: np.ndarray
 
 
 def _meet(batches, members=False):
-    """The pairs of ``meet`` and, with ``members``, the rows of large groups: code as x, SimHash as y, no value of early."""
+    """The pairs of ``meet`` or, with ``members``, those of the first round and the rows of large groups and of lines with other pairs: code as x, SimHash as y, no value of early. Rows come sorted by key."""
     held, size = [], 0
 
     def take(rest: bool):
@@ -269,18 +266,23 @@ def _meet(batches, members=False):
         nonlocal held, size
         table = pa.Table.from_batches(held)
         key, sim, code = table.column("key").to_numpy(), table.column("sim").to_numpy().view(np.uint64), table.column("code").to_numpy()
-        length = table.column("size").to_numpy() if members else None
+        length = table.column("size").to_numpy() if members else np.zeros(len(key), np.int16)
         stop = len(key) if rest else int(np.searchsorted(key, key[-1]))
         keep = stop if stop else len(key) - WINDOW
         held = [] if rest else table.slice(keep).to_batches() if stop else [*table.slice(0, 1).to_batches(), *table.slice(keep).to_batches()]
         size = sum(b.num_rows for b in held)
-        now = slice(stop or len(key))
+        key = key[: stop or len(key)]
+        same = key[1:] == key[:-1]
+        on = np.flatnonzero(np.r_[False, same] | np.r_[same, False])  # a line alone under a key meets none
+        on = on[np.lexsort((code[on], sim[on], key[on]))]
+        key, sim, code, length = key[on], sim[on], code[on], length[on]
         if not members:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in meet(key[now], sim[now], code[now])], ["x", "y", "early"])
-        key, sim, code, length = key[now], sim[now], code[now], length[now]
-        pairs = pa.table([pa.array(c) for c in meet(key, sim, code, length)], ["x", "y", "early"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in meet(key, sim, code, length)], ["x", "y", "early"])
+        x, y, early = meet(key, sim, code, length)
+        pairs = pa.table([pa.array(c[early]) for c in (x, y, early)], ["x", "y", "early"])
         on = np.flatnonzero(_fresh(key, code))
-        on = on[_groups(key[on])[2]]
+        _, many, is_large = _groups(key[on])
+        on = on[is_large | (np.repeat(many, many) > 2) & np.isin(code[on], np.r_[x[~early], y[~early]])]
         rows = pa.table([pa.array(c[on]) for c in (code, sim.view(np.int64), key, length)], ["x", "y", "key", "size"])
         return pa.concat_tables([pairs, rows], promote_options="default").select(["x", "y", "early", "key", "size"]).combine_chunks()
 
@@ -298,39 +300,119 @@ def _meet(batches, members=False):
 
 
 def candidates(docs: DataFrame, distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (x, y) of line codes of the first two rounds, and whether they are of the first; key, code, sim and size of the lines of large groups. Both read one written table."""
+    """Pairs (x, y) of line codes of the first round; key, code, sim and size of the lines that meet others too. Both read one written table."""
     rows = distinct.count() * (BANDS + BLOCKS + 1)
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
     keyed = docs.where("doc_id is not null").select("text").mapInArrow(_key_rows, "key long, sim long, code long, size short")
-    met = keyed.repartition(n, "key").sortWithinPartitions("key", "sim", "code").mapInArrow(partial(_meet, members=True), "x long, y long, early boolean, key long, size short")
+    met = keyed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(partial(_meet, members=True), "x long, y long, early boolean, key long, size short")
     met = materialize(met, "met")
-    pairs = materialize(met.where("early is not null").groupBy("x", "y").agg(F.max("early").alias("early")), "line_pairs")
+    pairs = materialize(met.where("early is not null").select("x", "y").distinct(), "line_pairs")
     members = materialize(met.where("early is null").select("key", F.col("x").alias("code"), F.col("y").alias("sim"), "size"), "members")
     drop(met)
     return pairs, members
 
 
-def _cross(batches):
-    """Codes of the pairs of a square that pass the gate and are of different components; rows come sorted by square."""
+def _within(starts: np.ndarray, stops: np.ndarray, across: np.ndarray, part: np.ndarray, passes):
+    """Places of the pairs of the squares from ``starts`` to ``stops`` that pass; ``across``: those of two parts only."""
+    size = stops - starts
+    small = np.flatnonzero(np.repeat(size <= SMALL, size))
+    ends = np.repeat(stops, size)
+    for gap in range(1, min(SMALL, int(size.max()))):
+        a = small[small + gap < ends[small]]
+        b = a + gap
+        a, b = a[ok := passes(a, b) & ((part[a] != part[b]) | ~across[a])], b[ok]
+        yield a, b
+    for first, stop in zip(starts[size > SMALL].tolist(), stops[size > SMALL].tolist(), strict=True):
+        whole = np.arange(first, stop)
+        left, right = (whole[part[whole] == part[first]], whole[part[whole] != part[first]]) if across[first] else (whole, whole)
+        for at in range(0, len(left), SLICE):
+            a, b = np.nonzero(passes(left[at : at + SLICE, None], right))
+            a, b = left[at + a], right[b]
+            yield (a, b) if across[first] else (a[a < b], b[a < b])
+
+
+def _keys_of(lists) -> np.ndarray:
+    """A row of the keys of each list, filled up with the largest number."""
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.full((len(size), int(size.max())), np.iinfo(np.int64).max)
+    out[np.arange(out.shape[1]) < size[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def _first_met(shared: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether no lesser key than theirs is shared by the rows of each pair."""
+    out = np.ones(len(a), bool)
+    for at in range(0, len(a), TURN):
+        x, y = a[at : at + TURN], b[at : at + TURN]
+        again = (shared[x][:, :, None] == shared[y][:, None, :]).any(axis=2) & (shared[x] < key[x, None])
+        out[at : at + TURN] = ~again.any(axis=1)
+    return out
+
+
+def _cross(batches, linked=False):
+    """Codes (x, y) of the pairs of each square that pass the gate and are of different components; rows come sorted by square. With ``linked``, those of similar
+    lines alone: the nearest of each component are compared first, and pairs that are connected by then are left out."""
     held = None
 
     def squares(table):
         key, i, j, part, comp, sim, code, size = (table.column(c).to_numpy() for c in ("key", "i", "j", "part", "comp", "sim", "code", "size"))
         sim = sim.view(np.uint64)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-        for first, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
-            whole = np.arange(first, stop)
-            left, right = whole[part[whole] == i[first]], whole[part[whole] == j[first]]
-            for at in range(0, len(left), SLICE):
-                rows = left[at : at + SLICE, None]
-                ok = (comp[rows] != comp[right]) & (np.abs(size[rows] - size[right]) <= STEPS)
-                ok &= np.bitwise_count(sim[rows] ^ sim[right]) <= GATE
-                a, b = np.nonzero(ok)
-                a, b = code[left[at + a]], code[right[b]]
-                if i[first] == j[first]:
-                    a, b = a[a < b], b[a < b]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["x", "y"])
+        label = np.unique(comp, return_inverse=True)[1]
+        root = np.arange(label.max() + 1)
+
+        def passes(a, b):
+            return (np.bitwise_count(sim[a] ^ sim[b]) <= GATE) & (np.abs(size[a] - size[b]) <= STEPS) & (root[label[a]] != root[label[b]])
+
+        def join(a, b):
+            for p, q in zip(label[a].tolist(), label[b].tolist(), strict=True):
+                while root[p] != p:
+                    root[p] = p = root[root[p]]
+                while root[q] != q:
+                    root[q] = q = root[root[q]]
+                root[max(p, q)] = min(p, q)
+            while (root != root[root]).any():
+                root[:] = root[root]
+
+        def links(a, b):
+            x, y = np.minimum(code[a], code[b]), np.maximum(code[a], code[b])
+            order = np.lexsort((y, x))
+            x, y = x[order], y[order]
+            order = order[np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]]  # lines meet under several keys
+            a, b = a[order], b[order]
+            order = np.argsort(np.bitwise_count(sim[a] ^ sim[b]), kind="stable")
+            a, b = a[order], b[order]
+            rows = np.unique(np.r_[a, b])
+            texts = dict(zip(rows.tolist(), table.column("text").take(pa.array(rows)).to_pylist(), strict=True))
+            now = np.zeros(len(a), bool)
+            now[np.unique(label[a], return_index=True)[1]] = True
+            while len(a):
+                now[: 0 if now.any() else TURN] = True
+                ok = np.flatnonzero(now)[similar([(texts[p], texts[q]) for p, q in zip(a[now].tolist(), b[now].tolist(), strict=True)])]
+                yield a[ok], b[ok]
+                join(a[ok], b[ok])
+                rest = ~now & (root[label[a]] != root[label[b]])
+                a, b, now = a[rest], b[rest], np.zeros(np.count_nonzero(rest), bool)
+
+        def batch(a, b):
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(code[a], code[b])), pa.array(np.maximum(code[a], code[b]))], ["x", "y"])
+
+        found = _within(starts, np.r_[starts[1:], len(key)], i != j, part, passes)
+        if not linked:
+            yield from (batch(a, b) for a, b in found)
+            return
+        shared = _keys_of(table.column("keys").combine_chunks())
+        waiting, count = [], 0
+        for a, b in found:
+            first = _first_met(shared, key, a, b)
+            pair = a[first], b[first]
+            waiting.append(pair)
+            count += len(pair[0])
+            if count >= TOO_MANY:
+                yield from (batch(a, b) for a, b in links(*(np.concatenate(c) for c in zip(*waiting, strict=True))))
+                waiting, count = [], 0
+        if count:
+            yield from (batch(a, b) for a, b in links(*(np.concatenate(c) for c in zip(*waiting, strict=True))))
 
     for b in batches:
         if b.num_rows:
@@ -345,18 +427,20 @@ def _cross(batches):
         yield from squares(held)
 
 
-def cross_pairs(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """All pairs (x, y) of codes of lines in one large group that pass the gate and are of different components (code, comp). A group is dealt to parts, and each two
-    parts meet in a square of their own."""
+def cross_links(members: DataFrame, comps: DataFrame, own: DataFrame) -> DataFrame:
+    """Links (a, b) of codes of similar lines in one group that pass the gate and are of different components (code, comp), as far as they are needed to connect them. A group is
+    dealt to parts, and each two parts meet in a square of their own, to which each of their lines sends its text once."""
     rows = members.join(comps, "code", "left").withColumn("comp", F.coalesce("comp", "code"))
     rows = materialize(rows, "labelled")
     apart = rows.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).where("least < most")
     dealt = rows.join(apart.select("key", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "key").withColumn("part", F.pmod(F.xxhash64("code"), "parts").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "comp", "sim", "code", "size")
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cross, "x long, y long").distinct()
-    found = materialize(found, "cross")
+    # the keys under which a line meets others by the same hash: two lines are compared under the least that they share
+    dealt = dealt.repartition(n, "code").withColumn("keys", F.collect_set("key").over(Window.partitionBy("code", "sim")))
+    dealt = dealt.join(own.select("code", "text"), "code").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "comp", "sim", "code", "size", "keys", "text")
+    found = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(partial(_cross, linked=True), "x long, y long")
+    found = materialize(found.select(F.col("x").alias("a"), F.col("y").alias("b")), "line_links")
     drop(rows)
     return found
 
@@ -405,6 +489,7 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: int | list[int])
     above, below = ((most + t - m) // 2).max(), ((most - t + m) // 2).max()
     up, down = np.full((blocks, n), _ALL), np.zeros((blocks, n), np.uint64)
     bottom = np.zeros((blocks, n), np.int64)  # the distance in the last row of each block
+    soon = (most - (t - m)).min()  # the diagonal costs no more than its columns
     begun, at, places = 0, np.arange(n), place.reshape(blocks, -1)
     a, b, c, across, more, less = np.empty((6, n), np.uint64)
     top = np.full(n, 63, np.uint64)
@@ -449,7 +534,7 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: int | list[int])
             step = bottom[k, :here]
             step += p.view(np.int64)
             step -= q.view(np.int64)
-        if j % 32 == 31 and stop > start:
+        if j % 32 == 31 and j >= soon and stop > start:
             # neighbouring rows differ by at most one, so rows eight apart bound what is between; what is left costs the difference of its lengths at least
             x, y = up[start:stop, None, :here], down[start:stop, None, :here]
             points = (bottom[start:stop, None, :here] - np.bitwise_count(x >> _EIGHTHS) + np.bitwise_count(y >> _EIGHTHS)).reshape(-1, here)
@@ -479,32 +564,74 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: int | list[int])
 
 
 def long_distance(x: list[int], y: list[int], most: int | None = None) -> int:
-    """The edit distance of one pair, or some number above ``most`` if it is more: columns of bits in numbers of any length, for pairs of which few stand together."""
+    """The edit distance of one pair, the shorter text first, or some number above ``most`` if it is more: columns of bits in numbers of any length, for pairs of which few stand
+    together. Columns are worked on in runs, each on the rows that a path of so few edits can pass."""
+    m, t = len(x), len(y)
+    if m > t:
+        return long_distance(y, x, most)
+    most = t if most is None else most
+    if t - m > most:
+        return t
     place: dict[int, int] = {}
     for i, c in enumerate(x):
         place[c] = place.get(c, 0) | 1 << i
-    full, top = (1 << len(x)) - 1, 1 << len(x) - 1
-    up, down, distance = full, 0, len(x)
-    spare = len(y) + (len(x) + len(y) if most is None else most)  # a column takes one off at most
-    for j, c in enumerate(y, 1):
-        same = place.get(c, 0)
-        across = same | down
-        diagonal = (((same & up) + up) ^ up) | across
-        above, below = down | ~(diagonal | up) & full, up & diagonal
-        distance += bool(above & top) - bool(below & top)
-        spare -= 1
-        if distance > spare:
-            return distance if most is None else max(distance, most + 1)
-        above, below = (above << 1 | 1) & full, below << 1 & full
-        up, down = below | ~(across | above) & full, above & across
-        if most is not None and j % 64 == 0:
-            # rows of the column that a path of ``most`` edits can pass, 16 apart, and the difference of the lengths that are left
-            rows = list(range(max(0, j - most), min(len(x), j + most) + 16, 16))
-            values = [j + (up & (1 << i) - 1).bit_count() - (down & (1 << i) - 1).bit_count() for i in (min(i, len(x)) for i in rows)]
-            left = [len(y) - j - len(x) + i for i in rows]
-            if all((v + w - 16) // 2 + max(0, d, -e) > most for v, w, d, e in zip(values, values[1:], left, left[1:])):
+    above, below, step = (most + t - m) // 2, (most - t + m) // 2, max(256, most // 4)
+    up = down = begin = end = distance = 0  # rows from begin to end, and the distance in the last of them
+    for at in range(0, t, step):
+        until = min(t, at + step)
+        skip, begin = max(0, at - above) - begin, max(0, at - above)
+        more, old, end = min(m, until + below) - end, end, min(m, until + below)
+        up, down, distance = up >> skip | (1 << more) - 1 << old - begin, down >> skip, distance + more
+        full, top = (1 << end - begin) - 1, 1 << end - begin - 1
+        window = {c: v >> begin & full for c, v in place.items()}
+        for c in y[at:until]:
+            same = window.get(c, 0)
+            across = same | down
+            diagonal = (((same & up) + up) ^ up) | across
+            over, under = down | ~(diagonal | up) & full, up & diagonal
+            distance += bool(over & top) - bool(under & top)
+            over, under = (over << 1 | 1) & full, under << 1 & full
+            up, down = under | ~(across | over) & full, over & across
+        if until > most - t + m:
+            # rows of the column eight apart bound those between; what is left costs the difference of its lengths at least
+            bits = [np.bitwise_count(np.frombuffer(v.to_bytes(-(-(end - begin) // 8), "little"), np.uint8)).astype(np.int64) for v in (up, down)]
+            values = np.r_[0, np.cumsum(bits[0] - bits[1])]
+            values += distance - values[-1]
+            left = t - until - m + np.minimum(np.arange(begin, end + 8, 8)[: len(values)], end)
+            if ((values[:-1] + values[1:] - 8) // 2 + np.maximum(0, np.maximum(left[:-1], -left[1:])) > most).all():
                 return most + 1
-    return distance
+    return distance if distance <= most else max(distance, most + 1)
+
+
+def aligned(a: str, b: str, most: int) -> bool:
+    """Whether the words that follow one another in both texts show a path of at most ``most`` edits, where a run of other words costs its longer side. False tells nothing."""
+    x, y = [*a.split(" "), "", ""], [*b.split(" "), "", ""]
+    i, j, spent, n, m = 0, 0, 0, len(x) - 2, len(y) - 2
+    while i < n or j < m:
+        if x[i] == y[j]:
+            i += 1
+            j += 1
+            continue
+        for s in range(1, AHEAD + 1):
+            for d in range(max(0, s - m + j), min(s, n - i) + 1):
+                if x[i + d] == y[j + s - d] and x[i + d + 1] == y[j + s - d + 1]:
+                    break
+            else:
+                continue
+            break
+        else:
+            near = {}
+            for e in range(min(FAR, m - j) - 1, -1, -1):
+                near[y[j + e], y[j + e + 1]] = e
+            s, d = min(((d + near[p], d) for d in range(min(FAR, n - i)) if (p := (x[i + d], x[i + d + 1])) in near), default=(0, 0))
+            if not s:
+                return False
+        spent += max(d + sum(map(len, x[i : i + d])), s - d + sum(map(len, y[j : j + s - d])))
+        i += d
+        j += s - d
+        if spent > most or spent > most * (0.3 + 2 * i / n):  # above, or far from what similar lines have here
+            return False
+    return True
 
 
 def similar(pairs: list[tuple[str, str]]) -> np.ndarray:
@@ -514,6 +641,9 @@ def similar(pairs: list[tuple[str, str]]) -> np.ndarray:
     for i, (a, b) in enumerate(pairs):
         most = int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9)
         if abs(len(a) - len(b)) <= most:
+            if len(a) > ALIGNED and aligned(a, b, most):
+                out[i] = True
+                continue
             x, y = trimmed(a, b)
             if len(y) <= most:
                 out[i] = True
@@ -562,9 +692,16 @@ def line_texts(codes: DataFrame, docs: DataFrame) -> DataFrame:
             texts = pa.array([lines[i].decode("utf-8", "replace") for i in want], pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(code[want]), pa.array([ids[i] for i in want], pa.binary()), texts], ["code", "id", "text"])
 
-    found = docs.where("doc_id is not null").select("text").mapInArrow(fetch, "code long, id binary, text string")
-    own = materialize(found.join(codes.hint("merge"), "code", "left_semi").dropDuplicates(["code"]), "line_texts")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = docs.where("doc_id is not null").select("text").mapInArrow(fetch, "code long, id binary, text string").repartition(n, "code")
+    found = found.join(codes.hint("merge"), "code", "left_semi").dropDuplicates(["code"])
+    # in buckets, so that the joins with pairs and squares don't shuffle all texts again
+    path = new_path(spark, "line_texts")
+    name = path.rpartition("/")[2].replace("-", "_")
+    found.write.bucketBy(n, "code").sortBy("code").format("parquet").option("compression", "zstd").option("path", path).saveAsTable(name)
     drop(codes)
+    own = spark.table(name)
+    own._tarn_path, own._tarn_table = path, name
     return own
 
 
@@ -574,52 +711,44 @@ def verify(pairs: DataFrame, own: DataFrame) -> DataFrame:
     near = F.abs(F.length("text_x") - F.length("text_y")) <= F.floor(F.greatest(F.length("text_x"), F.length("text_y")) * (1 - SIMILARITY) + 1e-9)
     # the distance is the costly step: a fixed number of partitions keeps it from being merged into few tasks by its bytes
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = pairs.select("x", "y").join(left, "x").repartition(n, "y").join(right.repartition(n, "y"), "y").where(near).select("x", "y", "text_x", "text_y")
+    both = pairs.select("x", "y").join(left, "x").repartition(n, "y").join(right, "y").where(near).select("x", "y", "text_x", "text_y")
     return materialize(both.mapInArrow(_similar, "a long, b long"), "line_links")
 
 
-def _joined(pairs: DataFrame, own: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """code and comp once the similar ones of these pairs are connected too."""
-    links = verify(pairs, own)
-    edges = links if comps is None else links.unionByName(comps.select(F.col("code").alias("a"), F.col("comp").alias("b")))
-    nodes = components(edges)
-    out = nodes.withColumnRenamed("id", "code")
-    out._tarn_path = nodes._tarn_path
-    drop(links)
-    return out
-
-
 def connect(pairs: DataFrame, members: DataFrame, own: DataFrame) -> DataFrame:
-    """code and comp of the lines that similar ones are known of, by the three rounds."""
-    comps = _joined(pairs.where("early"), own, None)
-    ends = [comps.select(F.col("code").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "xy"]
-    apart = pairs.where("not early").join(ends[0], "x", "left").join(ends[1], "y", "left").where("not coalesce(comp_x = comp_y, false)")
-    apart = materialize(apart.select("x", "y"), "line_pairs")
-    second = _joined(apart, own, comps)
-    rest = cross_pairs(members, second)
-    last = _joined(rest.join(pairs, ["x", "y"], "left_anti"), own, second)  # the others were verified before
-    for df in (comps, apart, second, rest):
+    """code and comp of the lines that similar ones are known of, by the two rounds."""
+    links = verify(pairs, own)
+    nodes = components(links)
+    comps = nodes.withColumnRenamed("id", "code")
+    more = cross_links(members, comps, own)
+    last = components(more.unionByName(nodes.select(F.col("id").alias("a"), F.col("comp").alias("b"))))
+    for df in (links, nodes, more):
         drop(df)
-    return last
+    out = last.withColumnRenamed("id", "code")
+    out._tarn_path = last._tarn_path
+    return out
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (those that are judged) and removed, the sorted numbers of the lines that go, for every document."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = materialize(slim.where("doc_id is not null").mapInArrow(_lines, "doc_id long, line int, id binary"), "lines")
-    distinct = materialize(found.groupBy("id").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")), "distinct")
+    # a number that orders as (doc_id, line): a struct's least is found by sorting, a number's by hashing
+    found = found.withColumn("place", F.expr("cast(doc_id as decimal(20, 0)) * 2147483648BD + line"))
+    distinct = materialize(found.groupBy("id").agg(F.min("place").alias("first"), F.count("*").alias("n")), "distinct")
     pairs, members = candidates(slim, distinct)
     codes = pairs.select(F.explode(F.array("x", "y")).alias("code")).unionByName(members.select("code"))
     own = line_texts(codes, slim)
     by_code = connect(pairs, members, own)
     comps = materialize(own.select("id", "code").join(by_code, "code").select("id", "comp"), "line_comps")
+    docs.sparkSession.sql(f"drop table {own._tarn_table}")
     for df in (pairs, members, own, by_code):
         drop(df)
     groups = distinct.join(comps, "id").select("id", "first", "comp")
     best = groups.groupBy("comp").agg(F.min("first").alias("keep"))
     alone = distinct.where("n > 1").join(comps, "id", "left_anti").select("id", F.col("first").alias("keep"))
     repeated = groups.join(best, "comp").select("id", "keep").unionByName(alone)
-    gone = found.join(repeated, "id").where(F.struct("doc_id", "line") != F.col("keep"))
+    gone = found.join(repeated, "id").where(F.col("place") != F.col("keep"))
     gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
     counts = found.groupBy("doc_id").agg(F.size(F.collect_set("line")).alias("n_lines"))  # one partial set a document, as its lines come from one task
     ids = slim.select("doc_id").join(counts, "doc_id", "left").join(gone, "doc_id", "left")
