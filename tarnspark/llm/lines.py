@@ -387,8 +387,9 @@ def _cross(batches, linked=False):
             now = np.zeros(len(a), bool)
             now[np.unique(label[a], return_index=True)[1]] = True
             while len(a):
-                now[: 0 if now.any() else TURN] = True
-                ok = np.flatnonzero(now)[similar([(texts[p], texts[q]) for p, q in zip(a[now].tolist(), b[now].tolist(), strict=True)])]
+                nearest = bool(now.any())
+                now[: 0 if nearest else TURN] = True
+                ok = np.flatnonzero(now)[similar([(texts[p], texts[q]) for p, q in zip(a[now].tolist(), b[now].tolist(), strict=True)], nearest)]
                 yield a[ok], b[ok]
                 join(a[ok], b[ok])
                 rest = ~now & (root[label[a]] != root[label[b]])
@@ -634,14 +635,14 @@ def aligned(a: str, b: str, most: int) -> bool:
     return True
 
 
-def similar(pairs: list[tuple[str, str]]) -> np.ndarray:
-    """Whether the edit similarity of each pair of texts is at least ``SIMILARITY``."""
+def similar(pairs: list[tuple[str, str]], align: bool = True) -> np.ndarray:
+    """Whether the edit similarity of each pair of texts is at least ``SIMILARITY``. Pairs that are mostly not similar are faster without being aligned first."""
     out = np.zeros(len(pairs), bool)
     rest = []
     for i, (a, b) in enumerate(pairs):
         most = int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9)
         if abs(len(a) - len(b)) <= most:
-            if len(a) > ALIGNED and aligned(a, b, most):
+            if align and len(a) > ALIGNED and aligned(a, b, most):
                 out[i] = True
                 continue
             x, y = trimmed(a, b)
